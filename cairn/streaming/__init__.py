@@ -1,0 +1,2 @@
+"""Deliberately empty: every table here is built by batch transforms, and no
+streaming operator is in scope."""

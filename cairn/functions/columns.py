@@ -29,9 +29,12 @@ def cast_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     A value that does not fit becomes NULL instead of failing the job.
     """
-    return df.select(
-        *[F.col(_quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    return df.select(*cast_columns(schema))
+
+
+def cast_columns(schema: T.StructType) -> list[Column]:
+    """The columns of :func:`cast_projection`."""
+    return [F.col(_quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields]
 
 
 def project(df: DataFrame, mapping: Mapping[str, ColumnLike]) -> DataFrame:

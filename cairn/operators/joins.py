@@ -57,7 +57,7 @@ def below_broadcast_threshold(df: DataFrame) -> bool:
     session = df.sparkSession._jsparkSession
     limit = session.sessionState().conf().autoBroadcastJoinThreshold()
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(estimate.toString()) <= limit
+    return int(str(estimate)) <= limit
 
 
 def _same_hashable_types(facts: DataFrame, lookup: DataFrame, keys: Mapping[str, str]) -> bool:

@@ -53,6 +53,8 @@ class SilverSpec:
     schema: T.StructType
     rules: tuple[Rule, ...] = ()
     derive: Callable[[], Derivations] = field(default=_nothing)
+    # Columns that are always computed, whatever the input holds.
+    computed: tuple[str, ...] = ()
 
 
 def rules(*conditions: str) -> tuple[Rule, ...]:
@@ -85,7 +87,7 @@ def silver_transform(
     dated = _dated(df, spec, load_time)
     valid = apply_rules(dated, (*spec.rules, *extra_rules))
     # Only columns that reach the output take part in the dedup.
-    inputs = [f.name for f in schema.fields if f.name in df.columns and not _recomputed(f.name, df, spec)]
+    inputs = [name for name in schema.names if name in df.columns and name not in spec.computed]
     latest = keep_latest(valid.select(*inputs), spec.keys, CHANGED)
     if ROW_ID in schema.names:
         missing_id = (
@@ -105,16 +107,6 @@ def _dated(df: DataFrame, spec: SilverSpec, load_time: Column | None) -> DataFra
     return numbers.withColumn(CHANGED, C.default_load_time(CHANGED, load_time))
 
 
-def _recomputed(name: str, df: DataFrame, spec: SilverSpec) -> bool:
-    return name in _COMPUTED.get(spec.name, ())
-
-
-# Columns that are always computed, whatever the input holds.
-_COMPUTED = {
-    "sales_salesorderdetail": ("LineTotal",),
-    "sales_salesorderheader": ("TotalDue",),
-}
-
 # Table names, keys, column names and types of the silver layer.
 
 _SPECS = (
@@ -300,6 +292,7 @@ _SPECS = (
         ),
         rules=rules("OrderQty > 0") + not_negative("UnitPrice", "UnitPriceDiscount"),
         derive=lambda: {"LineTotal": C.line_total("UnitPrice", "UnitPriceDiscount", "OrderQty")},
+        computed=("LineTotal",),
     ),
     SilverSpec(
         "sales_salesorderheader",
@@ -334,6 +327,7 @@ _SPECS = (
         ),
         rules=not_negative("SubTotal", "TaxAmt", "Freight") + rules("Status BETWEEN 0 AND 8"),
         derive=lambda: {"TotalDue": C.guarded_total("SubTotal", "TaxAmt", "Freight")},
+        computed=("TotalDue",),
     ),
     SilverSpec(
         "sales_salesorderheadersalesreason",

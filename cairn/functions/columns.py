@@ -29,12 +29,12 @@ def cast_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     A value that does not fit becomes NULL instead of failing the job.
     """
-    return df.select(*cast_columns(schema))
+    return df.selectExpr(*cast_expressions(schema))
 
 
-def cast_columns(schema: T.StructType) -> list[Column]:
-    """The columns of :func:`cast_projection`."""
-    return [F.col(_quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+def cast_expressions(schema: T.StructType) -> list[str]:
+    """The columns of :func:`cast_projection` as SQL."""
+    return [f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
 
 
 def project(df: DataFrame, mapping: Mapping[str, ColumnLike]) -> DataFrame:
@@ -54,16 +54,16 @@ def default_random_id(column: ColumnLike) -> Column:
     return F.coalesce(_col(column), F.expr("uuid()"))
 
 
-def default_key_id(column: ColumnLike, label: str, keys: Sequence[ColumnLike]) -> Column:
+def default_key_id(column: str, label: str, keys: Sequence[str]) -> Column:
     """NULL becomes a UUID-shaped hash of ``label`` and the key.
 
     The value is the same on each execution, so a recomputed task or a second
     run of the job yields the same row.
     """
-    parts = [F.coalesce(_col(k).cast("string"), F.lit("")) for k in keys]
-    digest = F.md5(F.concat_ws("|", F.lit(label), *parts))
-    slices = [F.substring(digest, start, size) for start, size in _UUID_SLICES]
-    return F.coalesce(_col(column), F.concat_ws("-", *slices))
+    parts = ", ".join(f"coalesce(CAST(`{k}` AS STRING), '')" for k in keys)
+    digest = f"md5(concat_ws('|', '{label}', {parts}))"
+    slices = ", ".join(f"substr({digest}, {start}, {size})" for start, size in _UUID_SLICES)
+    return F.expr(f"coalesce(`{column}`, concat_ws('-', {slices}))")
 
 
 _UUID_SLICES = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 _RANK = "__cairn_rank"
 
@@ -31,9 +30,12 @@ def keep_latest(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in keys and c != order]
-    newest_first = [F.col(order).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in tie_break]]
-    window = Window.partitionBy(*keys).orderBy(*newest_first)
-    return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
+    newest_first = ", ".join(
+        [f"`{order}` DESC NULLS LAST", *[f"`{c}` ASC NULLS FIRST" for c in tie_break]]
+    )
+    per_key = ", ".join(f"`{k}`" for k in keys)
+    rank = f"row_number() OVER (PARTITION BY {per_key} ORDER BY {newest_first}) AS {_RANK}"
+    return df.selectExpr("*", rank).where(f"{_RANK} = 1").drop(_RANK)
 
 
 def current_rows(

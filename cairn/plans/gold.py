@@ -429,9 +429,8 @@ def fact_internet_sales(
         },
     )
     schema = GOLD_SCHEMAS["FactInternetSales"]
-    fact = C.cast_columns(widen_ids(schema) if wide_ids else schema)
     extra = [name for name in measures if name not in schema.names] if cost else []
-    return sales.select(*fact, *extra)
+    return sales.selectExpr(*C.cast_expressions(widen_ids(schema) if wide_ids else schema), *extra)
 
 
 def fact_internet_sales_reason(

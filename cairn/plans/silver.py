@@ -97,6 +97,18 @@ def silver_transform(
     return require_layout(C.cast_projection(latest.withColumns(dict(derived)), schema), schema)
 
 
+def silver_keys(df: DataFrame, spec: SilverSpec, wide_ids: bool = False) -> DataFrame:
+    """The keys of :func:`silver_transform`, each once.
+
+    Which row of a key wins does not matter here, so the sort and window give
+    way to a hash aggregation over the key columns.
+    """
+    valid = apply_rules(C.numeric_text_as_numbers(df, spec.schema), spec.rules)
+    schema = widen_ids(spec.schema) if wide_ids else spec.schema
+    keys = T.StructType([schema[name] for name in spec.keys])
+    return C.cast_projection(valid, keys).distinct()
+
+
 def silver_rejects(df: DataFrame, spec: SilverSpec, load_time: Column | None = None) -> DataFrame:
     """Input rows that the rules of ``spec`` drop, with the rules' names."""
     return rejected_rows(_dated(df, spec, load_time), spec.rules)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.plans import gold
-from cairn.plans.silver import SILVER, silver_transform
+from cairn.plans.silver import SILVER, silver_keys, silver_transform
 from cairn.plans.warehouse import GOLD_INPUTS, GOLD_MODELS, check_gold
 from harness.registry import query
 from harness.retail import raw, raw_for_duckdb
@@ -32,13 +32,29 @@ def silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     )
 
 
+# Inputs of which a model uses nothing but the key.
+_KEY_INPUTS = {
+    "DimCustomer": ("address",),
+    "FactInternetSales": ("product", "customer", "special_offer", "territory"),
+    "FactInternetSalesReason": ("detail", "reason", "order_reason"),
+}
+
+
+def _silver_keys(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return silver_keys(raw(spark, sf_dir, table), SILVER[table], wide_ids=True)
+
+
 def gold_model(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
     """One gold model on top of the silver plans."""
     if model == "ft_agg_product_day":
         inputs = {arg: gold_model(spark, sf_dir, name) for arg, name in GOLD_INPUTS[model].items()}
         options = {}
     else:
-        inputs = {arg: silver(spark, sf_dir, name) for arg, name in GOLD_INPUTS[model].items()}
+        only_keys = _KEY_INPUTS.get(model, ())
+        inputs = {
+            arg: (_silver_keys if arg in only_keys else silver)(spark, sf_dir, name)
+            for arg, name in GOLD_INPUTS[model].items()
+        }
         options = {} if model == "DimDate" else {"silver_unique": True}
         if model == "FactInternetSales":
             options["wide_ids"] = True

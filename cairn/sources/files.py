@@ -65,8 +65,8 @@ def with_lineage(df: DataFrame) -> DataFrame:
 def discover(spark: SparkSession, root: str) -> dict[str, PlannedLoad]:
     """What lies in the folders directly below ``root``, by file stem.
 
-    Files beside those folders are skipped. A stem found twice keeps the entry
-    listed last.
+    Files beside those folders and hidden entries are skipped. A stem found
+    twice keeps the entry listed last.
     """
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -83,7 +83,9 @@ def discover(spark: SparkSession, root: str) -> dict[str, PlannedLoad]:
 
 
 def _listed(fs, path) -> list:
-    return sorted(fs.listStatus(path), key=lambda status: status.getPath().getName())
+    """Visible entries of a folder, by name."""
+    entries = {status.getPath().getName(): status for status in fs.listStatus(path)}
+    return [entries[name] for name in sorted(entries) if not name.startswith(("_", "."))]
 
 
 def load_plan(spark: SparkSession, plan: dict[str, PlannedLoad]) -> DataFrame:

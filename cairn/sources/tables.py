@@ -44,7 +44,7 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet") -> int:
     """Replace the table's rows and schema. Returns the number of rows."""
     version = _new_version(df.sparkSession, table)
     rows = _save_counted(df, version, fmt)
-    _publish(df.sparkSession, table, version, fmt)
+    _publish(df.sparkSession, table, version, fmt, df.schema)
     return rows
 
 
@@ -68,13 +68,14 @@ def upsert_table(
         return write_table(source, table, fmt)
     target = read_table(spark, table)
     version = _new_version(spark, table)
-    rows = _save_counted(written_rows(target, source, keys), version, fmt)
-    staged = spark.read.format(fmt).load(version)
+    written = written_rows(target, source, keys)
+    rows = _save_counted(written, version, fmt)
+    staged = spark.read.format(fmt).schema(written.schema).load(version)
     if not duplicate_keys(staged, keys).isEmpty():
         raise DuplicateKeys(f"the source for {table} repeats a value of {', '.join(keys)}")
     kept = kept_rows(target, staged, keys, unmatched, delete_where)
-    _save(_padded(kept, staged.schema), version, fmt, mode="append")
-    _publish(spark, table, version, fmt)
+    _save(_padded(kept, written.schema), version, fmt, mode="append")
+    _publish(spark, table, version, fmt, written.schema)
     return rows
 
 
@@ -104,9 +105,8 @@ def _new_version(spark: SparkSession, table: str) -> str:
     return f"{location.rstrip('/')}/versions/{name.lower()}/{uuid.uuid4().hex}"
 
 
-def _publish(spark: SparkSession, table: str, version: str, fmt: str) -> None:
-    """Point the table to a version folder, following its schema."""
-    schema = spark.read.format(fmt).load(version).schema
+def _publish(spark: SparkSession, table: str, version: str, fmt: str, schema: T.StructType) -> None:
+    """Point the table to a version folder with the given schema."""
     if table_exists(spark, table):
         current = read_table(spark, table).schema
         added = _appended_columns(current, schema)

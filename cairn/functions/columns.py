@@ -49,9 +49,15 @@ def _quoted(name: str) -> str:
 # -- defaults for NULLs ----------------------------------------------------
 
 
+def _filled(column: ColumnLike, default: Column) -> Column:
+    """``coalesce``, except that the result stays nullable like all columns of
+    a table, so that equal tables have equal schemas."""
+    return F.nvl2(_col(column), _col(column), default)
+
+
 def default_random_id(column: ColumnLike) -> Column:
     """NULL becomes a random UUID, a new one on each execution."""
-    return F.coalesce(_col(column), F.expr("uuid()"))
+    return _filled(column, F.expr("uuid()"))
 
 
 def default_key_id(column: str, label: str, keys: Sequence[str]) -> Column:
@@ -63,7 +69,7 @@ def default_key_id(column: str, label: str, keys: Sequence[str]) -> Column:
     parts = ", ".join(f"coalesce(CAST(`{k}` AS STRING), '')" for k in keys)
     digest = f"md5(concat_ws('|', '{label}', {parts}))"
     slices = ", ".join(f"substr({digest}, {start}, {size})" for start, size in _UUID_SLICES)
-    return F.expr(f"coalesce(`{column}`, concat_ws('-', {slices}))")
+    return _filled(column, F.expr(f"concat_ws('-', {slices})"))
 
 
 _UUID_SLICES = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
@@ -71,12 +77,12 @@ _UUID_SLICES = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
 
 def default_load_time(column: ColumnLike, load_time: Column | None = None) -> Column:
     """NULL becomes the load time (the current timestamp unless given)."""
-    return F.coalesce(_col(column), F.current_timestamp() if load_time is None else load_time)
+    return _filled(column, F.current_timestamp() if load_time is None else load_time)
 
 
 def default_account_number(column: ColumnLike, customer_id: ColumnLike) -> Column:
     """NULL becomes ``AW`` and the customer id, zero-padded to nine digits."""
-    return F.coalesce(_col(column), F.concat(F.lit("AW"), F.format_string("%09d", _col(customer_id))))
+    return _filled(column, F.concat(F.lit("AW"), F.format_string("%09d", _col(customer_id))))
 
 
 # -- derivations -----------------------------------------------------------

@@ -18,8 +18,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on ``{facts column: lookup column}``.
 
-    The two sides must not share column names. No side is forced to be
-    broadcast: Spark does it for a lookup below its size threshold.
+    The two sides must not share column names. ``how`` is any join type that
+    keeps or drops rows of ``facts``: left, inner, left_semi, left_anti. No
+    side is forced to be broadcast: Spark does it for a lookup below its size
+    threshold.
 
     A lookup above the threshold is joined by sort-merge, where one fact key
     may hold a third of all rows. Spark splits such a partition at run time,
@@ -35,16 +37,18 @@ def lookup_join(
     return facts.join(lookup, reduce(and_, equal), how)
 
 
-def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows of ``left`` without a partner in ``right``; NULL matches nothing.
 
     Rows with a NULL key cannot match, so they skip the join; else all of them
-    would be hashed to one task.
+    would be hashed to one task. Copies of a key in ``right`` are removed
+    before the shuffle, unless ``unique`` states that there are none.
     """
     missing = any_null(keys)
-    matchable = left.where(~missing)
-    known = right.select(*keys)
-    return matchable.join(known, list(keys), "left_anti").unionByName(left.where(missing))
+    partner = {k: f"__partner_{k}" for k in keys}
+    known = right.select(*[F.col(k).alias(name) for k, name in partner.items()])
+    known = known if unique else known.distinct()
+    return lookup_join(left.where(~missing), known, partner, "left_anti").unionByName(left.where(missing))
 
 
 def any_null(columns: Sequence[str]) -> Column:

@@ -72,11 +72,11 @@ def kept_rows(
     join at all.
     """
     if unmatched is Unmatched.KEEP:
-        return anti_join(target, source, keys)
+        return anti_join(target, source, keys, unique=True)
     if delete_where is None:
         return target.where(any_null(keys))
     spared = any_null(keys) | ~F.coalesce(F.expr(delete_where), F.lit(False))
-    return anti_join(target.where(spared), source, keys)
+    return anti_join(target.where(spared), source, keys, unique=True)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

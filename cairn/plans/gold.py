@@ -440,7 +440,8 @@ def fact_internet_sales_reason(
 
     Only keys reach the output, so each input is made distinct first (a
     repeated order cannot multiply its lines), and the final dedup is a
-    hash-aggregated distinct.
+    hash-aggregated distinct. Orders meet their few reasons before their many
+    lines, so only one join sees an order with a huge number of lines.
     """
     reasons = _known_keys(reason, "sales_salesreason", "SalesReasonID", "SalesReasonKey", silver_unique)
     links = _current(
@@ -455,9 +456,10 @@ def fact_internet_sales_reason(
     )
     orders = header.select("SalesOrderID", "SalesOrderNumber")
     orders = orders if silver_unique else orders.distinct()
-    known_links = links.join(reasons, F.col("SalesReasonID") == F.col("SalesReasonKey"), "left_semi")
+    known_links = lookup_join(links, reasons, {"SalesReasonID": "SalesReasonKey"}, "left_semi")
+    order_reasons = orders.join(known_links, "SalesOrderID").withColumnRenamed("SalesOrderID", "OrderID")
     return C.project(
-        lines.join(orders, "SalesOrderID").join(known_links, "SalesOrderID"),
+        lookup_join(lines, order_reasons, {"SalesOrderID": "OrderID"}, "inner"),
         {
             "SalesOrderNumber": "SalesOrderNumber",
             "SalesOrderLineNumber": "SalesOrderDetailID",

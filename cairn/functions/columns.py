@@ -68,11 +68,10 @@ def default_key_id(column: str, label: str, keys: Sequence[str]) -> Column:
     """
     parts = ", ".join(f"coalesce(CAST(`{k}` AS STRING), '')" for k in keys)
     digest = f"md5(concat_ws('|', '{label}', {parts}))"
-    slices = ", ".join(f"substr({digest}, {start}, {size})" for start, size in _UUID_SLICES)
-    return _filled(column, F.expr(f"concat_ws('-', {slices})"))
+    return _filled(column, F.regexp_replace(F.expr(digest), *_HEX_TO_UUID))
 
 
-_UUID_SLICES = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+_HEX_TO_UUID = (r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
 
 
 def default_load_time(column: ColumnLike, load_time: Column | None = None) -> Column:

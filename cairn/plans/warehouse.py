@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from cairn.operators.merge import Unmatched
 from cairn.operators.schema import require_columns, require_layout
@@ -32,17 +32,15 @@ class Warehouse:
         self,
         spark: SparkSession,
         tables: Iterable[str] = tuple(SILVER),
-        load_time: Column | None = None,
-        wide_ids: bool = False,
+        **options,
     ) -> dict[str, int]:
         """Clean raw tables and merge them into silver; rows that are gone from
-        the source are deleted. Returns the rows written per table."""
+        the source are deleted. ``options`` go to :func:`silver_transform`.
+        Returns the rows written per table."""
         written = {}
         for name in tables:
             spec = SILVER[name]
-            clean = silver_transform(
-                read_table(spark, f"{self.bronze}.{name}"), spec, load_time, wide_ids=wide_ids
-            )
+            clean = silver_transform(read_table(spark, f"{self.bronze}.{name}"), spec, **options)
             written[name] = upsert_table(clean, f"{self.silver}.{name}", spec.keys, Unmatched.DELETE)
         return written
 

@@ -29,9 +29,10 @@ def read_files(
 
     JSON files hold one document each, which may span lines.
     """
-    reader = spark.read.format(fmt).options(**options)
+    reader = spark.read.format(fmt)
     if fmt == "json":
         reader = reader.option("multiLine", True)
+    reader = reader.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cairn.functions import columns as C
 from cairn.operators.compare import except_all, frames_equal, row_differences
@@ -15,7 +14,7 @@ from cairn.operators.quality import Rule, rejected_rows, validate
 from cairn.operators.schema import require_columns, require_layout
 from cairn.plans.gold import ft_agg_product_day
 from cairn.plans.silver import DORMANT_PRODUCT_RULES, SILVER, silver_transform
-from cairn.plans.types import columns
+from cairn.plans.types import DATE_TIME, DAY, INT, LONG, MONEY, SHORT, WEIGHT, columns
 from harness.layers import LOAD_TIME, silver
 from harness.registry import query
 from harness.retail import raw, raw_for_duckdb, source
@@ -96,16 +95,14 @@ def latest_per_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cast_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text that is no number becomes NULL and does not fail the job."""
-    schema = T.StructType.fromJson(
-        columns(
-            l_orderkey=T.LongType(),
-            l_quantity=T.ShortType(),
-            line_text=T.IntegerType(),
-            l_extendedprice=T.DecimalType(19, 4),
-            l_discount=T.DecimalType(8, 2),
-            l_shipdate=T.TimestampType(),
-            ship_day=T.DateType(),
-        ).jsonValue()
+    schema = columns(
+        l_orderkey=LONG,
+        l_quantity=SHORT,
+        line_text=INT,
+        l_extendedprice=MONEY,
+        l_discount=WEIGHT,
+        l_shipdate=DATE_TIME,
+        ship_day=DAY,
     )
     text = F.when(F.col("l_returnflag") == "A", F.lit("NULL")).otherwise(F.col("l_linenumber").cast("string"))
     lines = source(spark, sf_dir, "lineitem")
@@ -513,46 +510,48 @@ def _checked(spark: SparkSession, sf_dir: str, table: str, require) -> DataFrame
 # The target holds the orders up to 1999, the source those from 1998 on with a
 # changed price: both overlap for two years. Some keys are NULL on both sides.
 
-_MERGE_KEY = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderkey END"
-_TARGET_SQL = f"""SELECT {_MERGE_KEY} AS id, o_custkey AS customer, o_totalprice AS amount, o_orderstatus AS state
+MERGE_KEY = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderkey END"
+TARGET_SQL = f"""SELECT {MERGE_KEY} AS id, o_custkey AS customer, o_totalprice AS amount, o_orderstatus AS state
                   FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'"""
-_SOURCE_SQL = f"""SELECT {_MERGE_KEY} AS id, o_custkey AS customer, o_totalprice + 1 AS amount, o_orderstatus AS state
+_SOURCE_SQL = f"""SELECT {MERGE_KEY} AS id, o_custkey AS customer, o_totalprice + 1 AS amount, o_orderstatus AS state
                   FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'"""
 _UNMATCHED_SQL = "NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)"
 
 
-def _merge_sql(kept: str) -> str:
-    return f"""WITH t AS ({_TARGET_SQL}), s AS ({_SOURCE_SQL})
+def merge_sql(kept: str) -> str:
+    return f"""WITH t AS ({TARGET_SQL}), s AS ({_SOURCE_SQL})
                SELECT * FROM s UNION ALL SELECT * FROM t WHERE {_UNMATCHED_SQL} AND ({kept})"""
 
 
-def _merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = source(spark, sf_dir, "orders")
-    sides = [spark.sql(q.replace("FROM orders", "FROM {orders}"), orders=orders) for q in (_TARGET_SQL, _SOURCE_SQL)]
-    return sides[0], sides[1]
+    target, changes = (
+        spark.sql(side.replace("FROM orders", "FROM {orders}"), orders=orders) for side in (TARGET_SQL, _SOURCE_SQL)
+    )
+    return target, changes
 
 
-@query("merge_upsert", _merge_sql("TRUE"))
+@query("merge_upsert", merge_sql("TRUE"))
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, changes = _merge_sides(spark, sf_dir)
+    target, changes = merge_sides(spark, sf_dir)
     return merge_frames(target, changes, ["id"])
 
 
-@query("merge_upsert_delete", _merge_sql("t.id IS NULL"))
+@query("merge_upsert_delete", merge_sql("t.id IS NULL"))
 def merge_upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, changes = _merge_sides(spark, sf_dir)
+    target, changes = merge_sides(spark, sf_dir)
     return merge_frames(target, changes, ["id"], Unmatched.DELETE)
 
 
-@query("merge_conditional_delete", _merge_sql("t.id IS NULL OR NOT coalesce(t.state = 'F' AND t.amount > 1000, FALSE)"))
+@query("merge_conditional_delete", merge_sql("t.id IS NULL OR NOT coalesce(t.state = 'F' AND t.amount > 1000, FALSE)"))
 def merge_conditional_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, changes = _merge_sides(spark, sf_dir)
+    target, changes = merge_sides(spark, sf_dir)
     return merge_frames(target, changes, ["id"], Unmatched.DELETE, "state = 'F' AND amount > 1000")
 
 
 @query(
     "merge_schema_evolution",
-    f"""WITH t AS ({_TARGET_SQL}),
+    f"""WITH t AS ({TARGET_SQL}),
              s AS (SELECT id, customer, amount, amount * 2 AS doubled FROM ({_SOURCE_SQL}))
         SELECT s.id, s.customer, s.amount, t.state, s.doubled FROM s LEFT JOIN t ON s.id = t.id
         UNION ALL
@@ -560,6 +559,6 @@ def merge_conditional_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def merge_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source adds ``doubled`` and lacks ``state``."""
-    target, changes = _merge_sides(spark, sf_dir)
+    target, changes = merge_sides(spark, sf_dir)
     changes = changes.withColumn("doubled", F.col("amount") * 2).drop("state")
     return merge_frames(target, changes, ["id"])

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.operators.merge import Unmatched
-from cairn.plans.warehouse import Warehouse
 from cairn.session import scratch_dir
 from cairn.sources.files import (
     LINEAGE_COLUMN,
@@ -27,7 +26,7 @@ from cairn.sources.files import (
     read_files,
 )
 from cairn.sources.tables import create_layers, read_table, table_exists, upsert_table, write_table
-from harness.operators import _MERGE_KEY, _merge_sides, _merge_sql, _TARGET_SQL
+from harness.operators import MERGE_KEY, TARGET_SQL, merge_sides, merge_sql
 from harness.registry import query
 from harness.retail import source
 
@@ -188,19 +187,19 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- tables ----------------------------------------------------------------
 
 
-@query("merge_create", _TARGET_SQL)
+@query("merge_create", TARGET_SQL)
 def merge_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upsert into a table that does not exist creates it."""
-    target, _ = _merge_sides(spark, sf_dir)
+    target, _ = merge_sides(spark, sf_dir)
     table = f"{_database(spark, 'created')}.orders"
     upsert_table(target, table, ["id"])
     return read_table(spark, table)
 
 
-@query("merge_table", _merge_sql("t.id IS NULL OR NOT coalesce(t.state = 'F', FALSE)"))
+@query("merge_table", merge_sql("t.id IS NULL OR NOT coalesce(t.state = 'F', FALSE)"))
 def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge on a table: written, merged into and read back."""
-    target, changes = _merge_sides(spark, sf_dir)
+    target, changes = merge_sides(spark, sf_dir)
     table = f"{_database(spark, 'merged')}.orders"
     upsert_table(target, table, ["id"])
     upsert_table(changes, table, ["id"], Unmatched.DELETE, "state = 'F'")
@@ -209,14 +208,14 @@ def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "overwrite_table",
-    f"SELECT {_MERGE_KEY} AS id, count(*) AS copies, max(o_totalprice) AS amount FROM orders GROUP BY ALL",
+    f"SELECT {MERGE_KEY} AS id, count(*) AS copies, max(o_totalprice) AS amount FROM orders GROUP BY ALL",
 )
 def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by a summary of itself, with another schema."""
-    target, _ = _merge_sides(spark, sf_dir)
+    target, _ = merge_sides(spark, sf_dir)
     table = f"{_database(spark, 'replaced')}.orders"
     orders = source(spark, sf_dir, "orders")
-    write_table(orders.selectExpr(f"{_MERGE_KEY} AS id", "o_totalprice AS amount"), table)
+    write_table(orders.selectExpr(f"{MERGE_KEY} AS id", "o_totalprice AS amount"), table)
     summary = read_table(spark, table).groupBy("id").agg(
         F.count(F.lit(1)).alias("copies"), F.max("amount").alias("amount")
     )

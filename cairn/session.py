@@ -30,16 +30,16 @@ MAX_SHUFFLE_PARTITIONS = 50_000
 def tune(spark: SparkSession, input_folder: str | None = None) -> SparkSession:
     """Apply the runtime settings the operators are written for.
 
-    Given the folder that is going to be read, shuffles start with enough
-    partitions for its size, so that each fits into memory; adaptive execution
-    merges what turns out to be small.
+    Given the folder that is going to be read, the size of its files decides
+    with how many partitions shuffles start, so that each fits into memory and
+    every core has work; adaptive execution merges what turns out to be small.
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     if input_folder is not None:
         wanted = shuffle_partitions(folder_bytes(spark, input_folder))
-        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", max(wanted, usual))
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", max(wanted, cores))
     return spark
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.plans import gold
-from cairn.plans.silver import SILVER, silver_keys, silver_transform
+from cairn.plans.silver import SILVER, silver_keys, silver_rejects, silver_transform
 from cairn.plans.warehouse import GOLD_INPUTS, GOLD_MODELS, check_gold
 from harness.registry import query
 from harness.retail import raw, raw_for_duckdb
@@ -344,6 +344,50 @@ def gold_sql(model: str) -> str:
     return f"WITH {tables} {_GOLD_SQL[model]}"
 
 
+# -- variants --------------------------------------------------------------
+
+_COST_TABLES = [*GOLD_INPUTS["FactInternetSales"].values(), "production_productcosthistory"]
+_COST_SQL = f"""
+    WITH {", ".join(f"{t} AS ({silver_sql(t)})" for t in _COST_TABLES)}
+    SELECT fis.*, CAST(fis.OrderQty * CAST(fis.UnitPrice AS DECIMAL(18,4)) AS DECIMAL(38,6)) AS ExtendedAmount,
+           CAST(CAST(fis.UnitPrice AS DECIMAL(18,4)) * CAST(fis.UnitPriceDiscount AS DECIMAL(18,4))
+                AS DECIMAL(38,6)) AS DiscountAmount,
+           CAST(fis.OrderQty * CAST(pch.StandardCost AS DECIMAL(18,4)) AS DECIMAL(38,6)) AS TotalProductCost
+    FROM ({_FACT_SQL}) fis
+    LEFT JOIN {_latest('production_productcosthistory', 'ProductID', 'StandardCost')} pch
+           ON fis.ProductKey = pch.ProductID"""
+
+
+@query("gold_FactInternetSales_costs", _COST_SQL)
+def fact_with_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with its optional amounts, from the latest cost per product."""
+    model = "FactInternetSales"
+    inputs = {
+        arg: (_silver_keys if arg in _KEY_INPUTS[model] else silver)(spark, sf_dir, table)
+        for arg, table in GOLD_INPUTS[model].items()
+    }
+    costs = silver(spark, sf_dir, "production_productcosthistory")
+    fact = gold.fact_internet_sales(**inputs, cost_history=costs, silver_unique=True, wide_ids=True)
+    amounts = ("ExtendedAmount", "DiscountAmount", "TotalProductCost")
+    return fact.withColumns({name: F.col(name).cast("decimal(38,6)") for name in amounts})
+
+
+@query(
+    "silver_rejects",
+    f"""SELECT SalesOrderDetailID, CarrierTrackingNumber,
+               concat_ws(' / ', CASE WHEN NOT OrderQty > 0 THEN 'OrderQty > 0' END,
+                         CASE WHEN NOT UnitPrice >= 0 THEN 'UnitPrice >= 0' END,
+                         CASE WHEN NOT UnitPriceDiscount >= 0 THEN 'UnitPriceDiscount >= 0' END) AS broken
+        FROM ({raw_for_duckdb('sales_salesorderdetail')})
+        WHERE NOT (OrderQty > 0 AND UnitPrice >= 0 AND UnitPriceDiscount >= 0)""",
+)
+def rejected_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines the silver rules drop, with the rules they break."""
+    rejects = silver_rejects(raw(spark, sf_dir, "sales_salesorderdetail"), SILVER["sales_salesorderdetail"])
+    broken = F.concat_ws(" / ", "failed_rules").alias("broken")
+    return rejects.select("SalesOrderDetailID", "CarrierTrackingNumber", broken)
+
+
 # -- registration ----------------------------------------------------------
 
 

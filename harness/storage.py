@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.operators.merge import Unmatched
+from cairn.plans.warehouse import GOLD_INPUTS, Warehouse
 from cairn.session import scratch_dir
 from cairn.sources.files import (
     LINEAGE_COLUMN,
@@ -24,11 +25,13 @@ from cairn.sources.files import (
     load_plan,
     read_delimited,
     read_files,
+    with_lineage,
 )
 from cairn.sources.tables import create_layers, read_table, table_exists, upsert_table, write_table
+from harness.layers import LOAD_TIME, gold_sql
 from harness.operators import MERGE_KEY, TARGET_SQL, merge_sides, merge_sql
 from harness.registry import query
-from harness.retail import source
+from harness.retail import raw, source
 
 _LOADED = ("customer", "orders", "lineitem")
 
@@ -184,6 +187,26 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, _orders_as_text(spark, sf_dir), sep="|", schema=schema)
 
 
+# -- the layers as tables --------------------------------------------------
+
+
+@query("warehouse_tables", gold_sql("ft_agg_product_day"))
+def warehouse_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tables, silver tables, fact, dimension and aggregate, each written
+    and read back."""
+    suffix = uuid.uuid4().hex[:12]
+    lake = Warehouse(f"bronze_{suffix}", f"silver_{suffix}", f"gold_{suffix}")
+    lake.create(spark, scratch_dir(spark, "warehouse"))
+    inputs = ("FactInternetSales", "DimProduct")
+    tables = sorted({table for model in inputs for table in GOLD_INPUTS[model].values()})
+    for table in tables:
+        write_table(with_lineage(raw(spark, sf_dir, table)), f"{lake.bronze}.{table}")
+    load_time = F.lit(LOAD_TIME).cast("timestamp")
+    lake.refresh_silver(spark, tables, load_time=load_time, stable_row_ids=True, wide_ids=True)
+    lake.refresh_gold(spark, [*inputs, "ft_agg_product_day"], wide_ids=True, silver_unique=True)
+    return read_table(spark, f"{lake.gold}.ft_agg_product_day")
+
+
 # -- tables ----------------------------------------------------------------
 
 

@@ -17,7 +17,7 @@ def test_tune_measures_the_folder(spark, conf, tmp_path):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     conf(key, "4")
     tune(spark, str(tmp_path))
-    assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+    assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism
 
 
 def test_scratch_lies_in_the_shared_folder(spark):

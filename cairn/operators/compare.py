@@ -6,9 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# A row with more surplus copies than this is written out by several tasks.
+COPIES_PER_TASK = 100_000
+
+
 def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` that ``right`` lacks, counting copies."""
-    return left.exceptAll(right)
+    """Rows of ``left`` that ``right`` lacks, counting copies.
+
+    Copies are counted before the shuffle and written out after it. A row that
+    occurs very often is cut into chunks of copies, which are spread over the
+    tasks.
+    """
+    names = left.columns
+    surplus = row_differences(left, right).withColumn("surplus", F.col("left_rows") - F.col("right_rows"))
+    last_chunk = F.floor((F.col("surplus") - 1) / F.lit(COPIES_PER_TASK))
+    chunks = surplus.where("surplus > 0").select(
+        *names, "surplus", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("chunk")
+    )
+    open_copies = F.col("surplus") - F.col("chunk") * F.lit(COPIES_PER_TASK)
+    size = F.least(F.lit(COPIES_PER_TASK).cast("long"), open_copies)
+    spread = chunks.repartition(*names, "chunk")
+    return spread.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("copy")).drop("copy")
 
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_HASHED_ALIKE = (T.IntegralType, T.StringType, T.DateType, T.TimestampType)
+_HASHED_ALIKE = (T.StringType(), T.DateType(), T.TimestampType(), T.TimestampNTZType())
 
 
 def lookup_join(
@@ -32,8 +32,8 @@ def lookup_join(
     and makes the hot partition splittable.
     """
     equal = [F.col(left) == F.col(right) for left, right in keys.items()]
-    if not below_broadcast_threshold(lookup) and _same_hashable_types(facts, lookup, keys):
-        equal.append(_hash(keys.keys()) == _hash(keys.values()))
+    if not below_broadcast_threshold(lookup):
+        equal.extend(_equal_hashes(facts, lookup, keys))
     return facts.join(lookup, reduce(and_, equal), how)
 
 
@@ -64,10 +64,21 @@ def below_broadcast_threshold(df: DataFrame) -> bool:
     return int(str(estimate)) <= limit
 
 
-def _same_hashable_types(facts: DataFrame, lookup: DataFrame, keys: Mapping[str, str]) -> bool:
-    pairs = [(facts.schema[left].dataType, lookup.schema[right].dataType) for left, right in keys.items()]
-    return all(a == b and isinstance(a, _HASHED_ALIKE) for a, b in pairs)
+def _equal_hashes(facts: DataFrame, lookup: DataFrame, keys: Mapping[str, str]) -> list[Column]:
+    """The comparison of the keys' hashes, if equal keys have equal hashes.
 
-
-def _hash(columns) -> Column:
-    return F.xxhash64(*[F.col(c) for c in columns])
+    Whole numbers are hashed as 64-bit numbers, whatever their width. Types
+    whose equal values may differ in their bits have no comparison.
+    """
+    left, right = [], []
+    for a, b in keys.items():
+        kinds = (facts.schema[a].dataType, lookup.schema[b].dataType)
+        if all(isinstance(kind, T.IntegralType) for kind in kinds):
+            left.append(F.col(a).cast("long"))
+            right.append(F.col(b).cast("long"))
+        elif kinds[0] == kinds[1] and kinds[0] in _HASHED_ALIKE:
+            left.append(F.col(a))
+            right.append(F.col(b))
+        else:
+            return []
+    return [F.xxhash64(*left) == F.xxhash64(*right)]

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keep-latest sends one row per key and map task: plan top rows per group
+    # below the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     # Split a hot join partition even when that costs one more shuffle later.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -369,10 +369,9 @@ def join_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = source(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     events = source(spark, sf_dir, "events")
     links = events.select(F.floor(F.col("event_id") / 3).cast("long").alias("order_id"), "event_type").distinct()
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(links, F.col("l_orderkey") == F.col("order_id"))
-        .select("o_orderkey", "l_linenumber", "event_type")
+    linked = orders.join(links, F.col("o_orderkey") == F.col("order_id"), "inner")
+    return lookup_join(lines, linked, {"l_orderkey": "o_orderkey"}, "inner").select(
+        "o_orderkey", "l_linenumber", "event_type"
     )
 
 

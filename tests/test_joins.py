@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cairn.operators.dedup import current_rows, keep_latest
@@ -26,7 +28,44 @@ def test_keys_of_different_width_still_match(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     facts = spark.createDataFrame([(1,), (2,)], "k int")
     lookup = spark.createDataFrame([(1,), (5,)], "key long")
-    assert rows(lookup_join(facts, lookup, {"k": "key"}, "inner")) == [(1, 1)]
+    joined = lookup_join(facts, lookup, {"k": "key"}, "inner")
+    assert rows(joined) == [(1, 1)]
+    assert "xxhash64" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_values_with_different_bits_match(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    facts = spark.sql("SELECT CAST(-0.0 AS DOUBLE) AS k")
+    lookup = spark.sql("SELECT CAST(0.0 AS DOUBLE) AS key")
+    assert lookup_join(facts, lookup, {"k": "key"}, "inner").count() == 1
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 9)), max_size=20),
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from("ab")), max_size=6),
+    st.sampled_from(["left", "inner", "left_semi", "left_anti"]),
+    st.sampled_from(["10485760", "-1"]),
+)
+def test_against_brute_force(spark, facts, lookup, how, limit):
+    expected = []
+    for k, v in facts:
+        partners = [(key, name) for key, name in lookup if k is not None and key == k]
+        if how in ("left", "inner"):
+            expected += [(k, v, *p) for p in partners or ([(None, None)] if how == "left" else [])]
+        elif bool(partners) == (how == "left_semi"):
+            expected.append((k, v))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        joined = lookup_join(
+            spark.createDataFrame(facts, "k int, v int"),
+            spark.createDataFrame(lookup, "key long, name string"),
+            {"k": "key"},
+            how,
+        )
+        assert rows(joined) == sorted(expected, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_broadcast_only_below_the_threshold(spark, conf):

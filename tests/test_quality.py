@@ -1,6 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
-from cairn.operators.compare import except_all, frames_equal, row_differences
+from cairn.operators.compare import COPIES_PER_TASK, except_all, frames_equal, row_differences
 from cairn.operators.quality import Rule, apply_rules, rejected_rows, validate
 from cairn.operators.schema import (
     SchemaMismatch,
@@ -69,6 +70,18 @@ def test_comparison_counts_copies(spark):
     assert frames_equal(left, left.repartition(3))
 
 
+def test_a_row_with_very_many_copies_is_written_by_several_tasks(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    copies = 3 * COPIES_PER_TASK + 7
+    left = spark.range(copies + 2).selectExpr("CAST(NULL AS INT) AS a", "IF(id < 2, 'x', 'hot') AS b")
+    right = spark.createDataFrame([(None, "hot"), (None, "x"), (None, "other")], "a int, b string")
+    out = except_all(left, right)
+    assert out.columns == ["a", "b"]
+    assert rows(out.groupBy("a", "b").count()) == [(None, "hot", copies - 1), (None, "x", 1)]
+    per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) < copies - 1
+
+
 def test_comparison_wants_equal_schemas(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert not frames_equal(df, df.selectExpr("CAST(a AS LONG) AS a"))

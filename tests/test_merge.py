@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cairn.operators.merge import DuplicateKeys, Unmatched, duplicate_keys, merge_frames
 from cairn.session import scratch_dir
@@ -122,6 +123,25 @@ def test_duplicate_source_keys_leave_the_table_as_it_was(spark, sides, database)
     assert rows(read_table(spark, table)) == ordered(*TARGET)
 
 
+def test_a_failed_write_leaves_the_table_as_it_was(spark, sides, database):
+    target, source = sides
+    table = f"{database}.orders"
+    write_table(target, table)
+    broken = source.withColumn("v", F.when(F.col("k") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    for attempt in (lambda: upsert_table(broken, table, ["k"]), lambda: write_table(broken, table)):
+        with pytest.raises(Exception, match="lost"):
+            attempt()
+        assert rows(read_table(spark, table)) == ordered(*TARGET)
+
+
+def test_a_target_of_only_null_keys_is_kept_whole(spark):
+    target = spark.range(1000).selectExpr("CAST(NULL AS INT) AS k", "CAST(id AS STRING) AS v")
+    source = spark.createDataFrame([(1, "s", 5)], "k int, v string, n int")
+    for unmatched in Unmatched:
+        merged = merge_frames(target, source, ["k"], unmatched)
+        assert merged.count() == 1001 and merged.where("n = 5").count() == 1
+
+
 def test_a_table_can_be_replaced_from_itself_with_another_schema(spark, sides, database):
     table = f"{database}.orders"
     write_table(sides[0], table)

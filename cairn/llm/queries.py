@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import mixing, quality_rules
+from cairn.llm import decontaminate, html_text, mixing, quality_rules, url_filter, warc
 from cairn.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found, name = html_text.extract(pages, keep=["page_id", "url"])
+    return found.select("page_id", "url", F.col(name).alias("text"), F.length(name).cast("long").alias("n_chars"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,7 +39,51 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back."""
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(pages)
+    index = warc.write_archives(pages, folder)
+    read = warc.read_records(index, folder, payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark windows cover."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, _ = decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+# The rules of the production list, with the longest fitting one deciding.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged, _ = url_filter.classify(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_html_text": op5_html_text,
     "op6_quality_rules": op6_quality_rules,
+    "op7_warc": op7_warc,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_url_filter": op10_url_filter,
 }

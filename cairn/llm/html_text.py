@@ -7,9 +7,9 @@ adverts and reader comments within the region are left out.
 
 Weights come from labelled pages: those whose author marked one ``article`` or
 ``main`` element. Each kind of token weighs the logarithm of how much more often
-it occurs inside than outside. At most ``MAX_LABELLED`` labelled pages are
-used, the ones with the smallest hashes; kinds that no labelled page shows have
-the default weights below.
+it occurs inside than outside. About ``MAX_LABELLED`` labelled pages are used
+(all, if there are fewer), chosen by their hash; kinds that no labelled page
+shows have the default weights below.
 
 Edge cases: NULL and empty pages, and pages without words, give an empty text.
 Unclosed and crossed tags are tolerated; a script or style without end reaches
@@ -227,11 +227,13 @@ def learn_weights(pages: DataFrame, column: str = "html", limit: int = MAX_LABEL
     """Token weights from the labelled pages."""
     source = F.col(quoted(column))
     one = (F.regexp_count(source, F.lit(r"(?i)<article\b")) == 1) | (F.regexp_count(source, F.lit(r"(?i)<main\b")) == 1)
-    chosen = pages.where(one).select(F.xxhash64(source).alias("h"), source.alias("source")).orderBy("h").limit(limit)
+    labelled = pages.where(one).select(source.alias("source"))
+    share = min(1.0, limit / max(1, labelled.count()))
+    chosen = labelled.where(F.shiftrightunsigned(F.xxhash64("source"), 1) <= int(share * (2**63 - 1)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = counted(batch.column(1).to_pylist())
+            found = counted(batch.column(0).to_pylist())
             rows = [(kind, inside, n) for (kind, inside), n in found.items() if _known(kind)]
             columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["kind", "inside", "n"])

@@ -41,7 +41,7 @@ from cairn.llm.text import quoted
 from cairn.session import scratch_dir
 
 SMALLEST = 100
-FILE_BYTES = 512 << 20
+FILE_BYTES = 256 << 20
 # Ranges closer than GAP are read as one; records are dealt to tasks by segment.
 GAP, MOST_READ, SEGMENT = 64 << 10, 8 << 20, 32 << 20
 DATE = "1970-01-01T00:00:00Z"
@@ -112,28 +112,21 @@ def write_archives(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = opened(folder)
         files.create_dir(path)
-        out, name, offset = None, "", 0
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                if out is None or offset >= FILE_BYTES:
-                    if out is not None:
-                        out.close()
-                    name, offset = f"{uuid.uuid4().hex}.warc.gz", 0
-                    out = files.open_output_stream(f"{path}/{name}")
-                data = gzip.compress(
-                    record(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"]), 4, mtime=0
-                )
-                out.write(data)
-                kind = "response" if row["refers_to"] is None else "revisit"
-                rows.append(
-                    (name, offset, len(data), row["url"], row["digest"], row["page_id"], kind, row["refers_to"])
-                )
-                offset += len(data)
-            if rows:
-                yield _batch(rows, INDEX)
-        if out is not None:
-            out.close()
+        records = (row for batch in batches for row in batch.to_pylist())
+        row = next(records, None)
+        while row is not None:
+            # Index rows leave the task when their archive is complete.
+            rows, name, offset = [], f"{uuid.uuid4().hex}.warc.gz", 0
+            with files.open_output_stream(f"{path}/{name}") as out:
+                while row is not None and offset < FILE_BYTES:
+                    own = (row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"])
+                    data = gzip.compress(record(*own), 4, mtime=0)
+                    out.write(data)
+                    kind = "response" if row["refers_to"] is None else "revisit"
+                    rows.append((name, offset, len(data), own[1], own[3], own[0], kind, own[4]))
+                    offset += len(data)
+                    row = next(records, None)
+            yield _batch(rows, INDEX)
 
     return stored(marked(pages, page_id, url, html).mapInArrow(write, INDEX), "warc-index")
 
@@ -191,13 +184,9 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
         for batch in batches:
             for group in ranges(batch.select(["file", "offset", "length", "url"]).to_pylist()):
                 if group[0]["file"] != name:
-                    if source is not None:
-                        source.close()
                     name = group[0]["file"]
                     source = files.open_input_file(f"{path}/{name}")
                 yield _batch(list(rows_of(group, source)), schema)
-        if source is not None:
-            source.close()
 
     segment = F.floor(F.col("offset") / SEGMENT)
     placed = index.repartition("file", segment).sortWithinPartitions("file", "offset")

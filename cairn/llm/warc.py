@@ -117,7 +117,7 @@ def write_archives(
         while row is not None:
             # Index rows leave the task when their archive is complete.
             rows, name, offset = [], f"{uuid.uuid4().hex}.warc.gz", 0
-            with files.open_output_stream(f"{path}/{name}") as out:
+            with files.open_output_stream(f"{path}/{name}", compression=None) as out:
                 while row is not None and offset < FILE_BYTES:
                     own = (row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"])
                     data = gzip.compress(record(*own), 4, mtime=0)

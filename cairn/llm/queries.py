@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import decontaminate, html_text, mixing, quality_rules, url_filter, warc
+from cairn.llm import decontaminate, html_text, mixing, quality_rules, training_order, url_filter, warc
 from cairn.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences in training order; a row per slot."""
+    docs = table(spark, sf_dir, "documents")
+    return training_order.materialise(docs, training_order.shard_folder(docs)).drop("file")
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -81,6 +87,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_training_order": op3_training_order,
     "op5_html_text": op5_html_text,
     "op6_quality_rules": op6_quality_rules,
     "op7_warc": op7_warc,

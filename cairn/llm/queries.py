@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import decontaminate, html_text, mixing, quality_rules, training_order, url_filter, warc
+from cairn.llm import decontaminate, html_text, mixing, pu_quality, quality_rules, training_order, url_filter, warc
 from cairn.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,20 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt without those held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    held_out = F.coalesce(pu_quality.remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    trusted = labels.where((F.col("quality") == 1) & ~held_out).select("doc_id")
+    model = pu_quality.learn(docs.where(~held_out), trusted)
+    scored, name = pu_quality.score(docs, model)
+    score = F.col(name)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences in training order; a row per slot."""
     docs = table(spark, sf_dir, "documents")
@@ -87,6 +101,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_pu_quality": op2_pu_quality,
     "op3_training_order": op3_training_order,
     "op5_html_text": op5_html_text,
     "op6_quality_rules": op6_quality_rules,

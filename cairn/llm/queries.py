@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import decontaminate, html_text, mixing, pu_quality, quality_rules, training_order, url_filter, warc
+from cairn.llm import decontaminate, html_text, mixing, ngram_join, pu_quality, quality_rules, training_order, url_filter, warc
 from cairn.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicate documents of every document."""
+    return ngram_join.component_ids(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that benchmark windows cover."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op5_html_text": op5_html_text,
     "op6_quality_rules": op6_quality_rules,
     "op7_warc": op7_warc,
+    "op8_ngram_join": op8_ngram_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_url_filter": op10_url_filter,
 }

@@ -12,10 +12,11 @@ bytes. A reader finds a slot by arithmetic and can stop and go on anywhere.
 Two passes over the texts: the first counts tokens per input partition, which
 gives every partition its place in the stream; the second cuts sequences and
 sends each to the partition of its shard. A sequence that crosses partitions
-arrives as fragments. Both passes run on one RDD, whose partitions are fixed,
-and the second checks its counts against the first. The input must therefore be
-read in the same order each time, as a table is; anything else is written to
-the shared folder first (``table=False``).
+arrives as fragments. Both passes must read the same partitions: the number
+that file splits depend on is held fixed meanwhile, however many executors
+there are, and the second pass checks its counts against the first. The input
+must therefore be a table scan; anything else is written to the shared folder
+first (``table=False``).
 
 A writer puts its shard into a new file and reports it when it is closed, so a
 task that ran twice leaves an unused file and nothing else.
@@ -32,12 +33,14 @@ import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm.mixing import stored
@@ -54,7 +57,11 @@ ROUNDS = 6
 # Fixed value: how the public 50k byte-pair vocabulary splits text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+SPLITS = "spark.sql.files.minPartitionNum"
+
 FRAGMENT = "sequence long, slot long, at int, tokens binary, doc_ids array<long>"
+KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
+FRAGMENTS = 256
 MANIFEST = (
     "slot long, sequence long, shard long, offset long, n_tokens long, doc_ids array<long>, sha256 string, file string"
 )
@@ -72,7 +79,20 @@ def encoding(vocabulary: str):
 
 def token_ids(text: str | None, vocabulary: str) -> np.ndarray:
     """The tokens of a text and the end token."""
-    return np.array([*encoding(vocabulary).encode_ordinary(text or ""), END], np.uint16)
+    tokens = encoding(vocabulary).encode_to_numpy(text or "", disallowed_special=())
+    return np.append(tokens.astype(np.uint16), np.uint16(END))
+
+
+@contextmanager
+def fixed_splits(spark: SparkSession) -> Iterator[None]:
+    """Split files alike while this lasts, whatever executors come and go."""
+    before = spark.conf.get(SPLITS, None)
+    spark.conf.set(SPLITS, before or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SPLITS)
 
 
 class Permutation:
@@ -156,12 +176,23 @@ def materialise(
     """Write the shards below the folder; the manifest, a row per slot."""
     spark = docs.sparkSession
     chosen = docs.select(F.col(quoted(id_column)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
-    rdd = (chosen if table else stored(chosen, "order-input")).rdd
+    chosen = chosen if table else stored(chosen, "order-input")
 
-    def count(part: int, rows) -> Iterator[tuple[int, int]]:
-        yield part, sum(len(token_ids(row.text, vocabulary)) for row in rows)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum(len(token_ids(text, vocabulary)) for b in batches for text in b.column("text").to_pylist())
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, total)], names=["part", "n"])
 
-    counts = dict(rdd.mapPartitionsWithIndex(count).collect())
+    with fixed_splits(spark):
+        counts = dict(chosen.mapInArrow(count, "part long, n long").collect())
+        return _placed(chosen, counts, folder, length, shard_slots, key, vocabulary)
+
+
+def _placed(
+    chosen: DataFrame, counts: dict[int, int], folder: str, length: int, shard_slots: int, key: int, vocabulary: str
+) -> DataFrame:
+    """Second pass: cut the stream, whose token counts per partition are known."""
+    spark = chosen.sparkSession
     starts, total = {}, 0
     for part in sorted(counts):
         starts[part] = total
@@ -170,14 +201,16 @@ def materialise(
     order = Permutation(n_sequences, key)
     shared = spark.sparkContext.broadcast((starts, counts))  # two numbers per partition
 
-    def cut(part: int, rows) -> Iterator[tuple]:
-        begin, expected = shared.value[0][part], shared.value[1][part]
-        made = 0
-        for fragment in fragments(((r.doc_id, r.text) for r in rows), begin, length, order, vocabulary):
-            made += len(fragment[3]) // 2
-            yield fragment
-        if made != expected:
-            raise RuntimeError(f"partition {part} had {expected} tokens and now has {made}; pass table=False")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made = TaskContext.get().partitionId(), 0
+        rows = (row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        found = fragments(rows, shared.value[0].get(part, 0), length, order, vocabulary)
+        while some := list(islice(found, FRAGMENTS)):
+            made += sum(len(f[3]) // 2 for f in some)
+            columns = [pa.array([f[i] for f in some], kind) for i, kind in enumerate(KINDS)]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in FRAGMENT.split(", ")])
+        if made != shared.value[1].get(part):
+            raise RuntimeError(f"partition {part} now has {made} tokens; pass table=False")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = opened(folder)
@@ -199,7 +232,7 @@ def materialise(
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in MANIFEST.split(", ")])
 
-    frame = spark.createDataFrame(rdd.mapPartitionsWithIndex(cut), FRAGMENT, verifySchema=False)
+    frame = chosen.mapInArrow(cut, FRAGMENT)
     n_shards = max(1, -(-n_sequences // shard_slots))
     dealt = frame.repartitionById(n_shards, F.floor(F.col("slot") / shard_slots).cast("int"))
     return stored(dealt.sortWithinPartitions("slot", "at").mapInArrow(write, MANIFEST), "order-manifest")

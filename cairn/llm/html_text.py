@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.llm.arrow import slices
-from cairn.llm.text import fresh, quoted
+from cairn.llm.text import fresh, hash_share, quoted
 
 MAX_LABELLED = 5_000
 WORD_LIMIT, TAG_RANGE = 3.0, (-3.0, -0.1)
@@ -228,8 +228,8 @@ def learn_weights(pages: DataFrame, column: str = "html", limit: int = MAX_LABEL
     source = F.col(quoted(column))
     one = (F.regexp_count(source, F.lit(r"(?i)<article\b")) == 1) | (F.regexp_count(source, F.lit(r"(?i)<main\b")) == 1)
     labelled = pages.where(one).select(source.alias("source"))
-    share = min(1.0, limit / max(1, labelled.count()))
-    chosen = labelled.where(F.shiftrightunsigned(F.xxhash64("source"), 1) <= int(share * (2**63 - 1)))
+    share = limit / max(1, labelled.count())
+    chosen = labelled.where(hash_share(F.col("source"), share))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.llm.arrow import raw_texts, slices
-from cairn.llm.text import fresh, quoted
+from cairn.llm.text import fresh, hash_share, quoted
 
 MAX_POSITIVE, MAX_UNLABELLED = 5_000, 15_000
 STEPS, RATE, DECAY = 400, 0.05, 1e-3
@@ -166,11 +166,6 @@ def remainder(id_column: Column, divisor: int) -> Column:
     return F.crc32(id_column.cast("string")) % divisor
 
 
-def share_of(id_column: Column, share: float) -> Column:
-    """True for that share of all ids."""
-    return F.shiftrightunsigned(F.xxhash64(id_column.cast("string")), 1) <= int(share * (2**63 - 1))
-
-
 def featured(docs: DataFrame, text: str) -> np.ndarray:
     """Features of a bounded sample."""
 
@@ -198,12 +193,12 @@ def learn(
     """
     key = F.col(quoted(id_column))
     ids = positives.select(F.col(positives.columns[0]).alias("trusted_id")).where("trusted_id is not null").distinct()
-    chosen = ids.where(share_of(F.col("trusted_id"), min(1.0, max_positive / max(1, ids.count()))))
+    chosen = ids.where(hash_share(F.col("trusted_id"), max_positive / max(1, ids.count())))
     trusted = docs.select(key.alias("id"), F.col(quoted(text)).alias("t")).join(
         chosen, F.col("id") == F.col("trusted_id"), "left_semi"
     )
-    share = min(1.0, max_unlabelled / max(1, docs.count()))
-    open_texts = docs.where(share_of(key, share)).select(F.col(quoted(text)).alias("t"))
+    share = max_unlabelled / max(1, docs.count())
+    open_texts = docs.where(hash_share(key, share)).select(F.col(quoted(text)).alias("t"))
     p, u = featured(trusted, "t"), featured(open_texts, "t")
     if not len(p) or not len(u):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.5)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import decontaminate, html_text, mixing, ngram_join, pu_quality, quality_rules, training_order, url_filter, warc
+from cairn.llm import decontaminate, html_text, interpolation, mixing, ngram_join, pu_quality, quality_rules, training_order, url_filter, warc
 from cairn.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,18 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.materialise(docs, training_order.shard_folder(docs)).drop("file")
 
 
+# Remainders of the id's CRC-32 by 7: held out for good, and deleted for learning the weights.
+HELD_OUT, DELETED = 2, 3
+
+
+def op4_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learnt without those held out."""
+    remainder = pu_quality.remainder(F.col("doc_id"), 7)
+    docs = table(spark, sf_dir, "documents")
+    scored, _ = interpolation.score(docs, "doc_id", "text", remainder == HELD_OUT, remainder == DELETED)
+    return scored
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -108,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pu_quality": op2_pu_quality,
     "op3_training_order": op3_training_order,
+    "op4_interpolation": op4_interpolation,
     "op5_html_text": op5_html_text,
     "op6_quality_rules": op6_quality_rules,
     "op7_warc": op7_warc,

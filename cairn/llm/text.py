@@ -30,3 +30,10 @@ def fresh(name: str, taken: list[str]) -> str:
 def quoted(name: str) -> str:
     """A column name as a reference, dots and back-ticks included."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def hash_share(value: Column, share: float) -> Column:
+    """True for about that share of all values, by their hash."""
+    if share >= 1:
+        return F.lit(True)
+    return F.shiftrightunsigned(F.xxhash64(value), 1) <= int(share * 2**62) * 2

@@ -33,17 +33,17 @@ import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import cache
 from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.mixing import stored
+from cairn.llm.splits import fixed_splits
 from cairn.llm.text import quoted
 from cairn.llm.warc import opened
 from cairn.session import scratch_dir
@@ -57,8 +57,6 @@ ROUNDS = 6
 # Fixed value: how the public 50k byte-pair vocabulary splits text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-SPLITS = "spark.sql.files.minPartitionNum"
-
 FRAGMENT = "sequence long, slot long, at int, tokens binary, doc_ids array<long>"
 KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
 FRAGMENTS = 256
@@ -83,18 +81,6 @@ def token_ids(text: str | None, vocabulary: str) -> np.ndarray:
     return np.append(tokens.astype(np.uint16), np.uint16(END))
 
 
-@contextmanager
-def fixed_splits(spark: SparkSession) -> Iterator[None]:
-    """Split files alike while this lasts, whatever executors come and go."""
-    before = spark.conf.get(SPLITS, None)
-    spark.conf.set(SPLITS, before or str(spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(SPLITS)
-
-
 class Permutation:
     """A keyed permutation of the numbers below ``size``."""
 

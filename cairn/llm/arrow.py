@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+Batches = Iterator[pa.RecordBatch]
 
 # Text that is worked on at once inside a task; one longer text is taken alone.
 SLICE_BYTES = 8 << 20
@@ -27,3 +31,16 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         size += n or 0
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def mapped(frame: DataFrame, run: Callable[[Batches], Batches], schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name, dots and repeats included."""
+    names = frame.columns
+    inside = [f"c{i}" for i in range(len(schema))]
+
+    def renamed(batches: Batches) -> Batches:
+        for batch in run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=inside)
+
+    plain = T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(inside, schema, strict=True)])
+    return frame.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, plain).toDF(*schema.names)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.llm.arrow import raw_texts, slices
+from cairn.llm.arrow import mapped, raw_texts, slices
 from cairn.llm.fm_index import FMIndex
 from cairn.llm.text import fresh, quoted
 
@@ -197,7 +197,7 @@ def annotate(
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=schema.names)
 
-    return docs.mapInArrow(search, schema), names
+    return mapped(docs, search, schema), names
 
 
 def contaminated(n_hit, n_words):

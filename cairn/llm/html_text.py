@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.llm.arrow import slices
+from cairn.llm.arrow import mapped, slices
 from cairn.llm.text import fresh, hash_share, quoted
 
 MAX_LABELLED = 5_000
 WORD_LIMIT, TAG_RANGE = 3.0, (-3.0, -0.1)
-PLAIN_WORD, LINK_WORD, ANY_TAG = 1.0, -1.0, -1.0
+PLAIN_WORD, LINK_WORD, BLOCK_TAG, INLINE_TAG = 1.0, -1.0, -1.0, -0.1
 
 # Element names with a meaning of their own.
 RAW = "script|style|noscript|template|title|textarea|select|svg|iframe|object|audio|video|canvas"
@@ -168,7 +168,8 @@ class Page:
                 fallback = LINK_WORD if kind.endswith("link") else PLAIN_WORD
                 score = 0.0 if self.apart[i] or not words else words * weights.get(kind, fallback)
             else:
-                score = 0.0 if self.apart[i] else weights.get(kind, ANY_TAG)
+                fallback = BLOCK_TAG if self.names[i].lstrip("/") in BLOCKS else INLINE_TAG
+                score = 0.0 if self.apart[i] else weights.get(kind, fallback)
             if total <= 0:
                 total, start = 0.0, i
             total += score
@@ -272,4 +273,4 @@ def extract(
                     [*[part.column(c) for c in kept], pa.array(texts, pa.string())], names=[*kept, name]
                 )
 
-    return pages.mapInArrow(run, schema), name
+    return mapped(pages, run, schema), name

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.llm.arrow import raw_texts, slices
+from cairn.llm.arrow import mapped, raw_texts, slices
 from cairn.llm.components import components
 from cairn.llm.mixing import stored
 from cairn.llm.prefix_tree import Member, connect
@@ -425,7 +425,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
                 names = [digest(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string())], names=schema.names)
 
-    tagged = docs.mapInArrow(run, schema)
+    tagged = mapped(docs, run, schema)
     prefix = fresh("cairn_class", docs.columns)
     shown = classes.select(F.col("digest").alias(prefix), F.col("component_id").alias(f"{prefix}_id"), "keeper")
     shown = shown.withColumnRenamed("keeper", f"{prefix}_keeper")

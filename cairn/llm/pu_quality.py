@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.llm.arrow import raw_texts, slices
+from cairn.llm.arrow import mapped, raw_texts, slices
 from cairn.llm.text import fresh, hash_share, quoted
 
 MAX_POSITIVE, MAX_UNLABELLED = 5_000, 15_000
@@ -218,4 +218,4 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame,
                 scores = shared.value(features(raw_texts(part.column(place))))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema), name
+    return mapped(docs, run, schema), name

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.llm.arrow import mapped
 from cairn.llm.mixing import stored
 from cairn.llm.text import fresh, quoted
 
@@ -214,4 +215,4 @@ def classify(
             columns = [pa.array([f[i] for f in found], pa.string()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
-    return split.mapInArrow(judge, schema), names
+    return mapped(split, judge, schema), names

@@ -7,7 +7,7 @@ Texts become sets of 64-bit hashes of five-word shingles; a set is named by a
    of its shingles. Tasks deal the low 32 bits of all hashes to buckets, each
    bucket counts in how many documents each occurs, and the counts return per
    document. Hash collisions add candidates, never lose one. Most documents
-   drop out here.
+   drop out here; only the others' texts are read again.
 2. Global order. The remaining distinct sets deal their whole hashes to buckets,
    which return the exact document frequency of the shared ones. Shingles are
    ordered by frequency, rare first, then hash. Those of one set only stand
@@ -214,6 +214,28 @@ PACKED_SETS = 1000
 PACKED = "bucket int, part string, hashes binary, owners binary, place int, digest string, size long"
 
 
+# Bits of the filter on the ids of likely documents: what is broadcast never
+# exceeds a megabyte. A fuller filter lets more texts through, which an exact
+# join on the sets' digests then drops.
+FILTER_BITS = 1 << 23
+
+
+def filter_place(column: str) -> Column:
+    """The filter bit of an id; all rows without id share one."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(FILTER_BITS))
+
+
+def id_filter(likely: DataFrame) -> np.ndarray:
+    """The bits of all ids, merged by Spark byte by byte."""
+    place = likely.select(filter_place("id").alias("p"))
+    bit = F.call_function("shiftleft", F.lit(1), (F.col("p") % 8).cast("int"))
+    merged = place.groupBy(F.shiftright("p", 3).alias("byte")).agg(F.bit_or(bit).alias("value"))
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for at, value in merged.toLocalIterator():
+        bits[at] = value
+    return bits
+
+
 # --- candidates -----------------------------------------------------------------------------------------------------
 
 
@@ -231,14 +253,16 @@ def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame
     # One row per set and one document to take its text from; copies alone are no candidates.
     likely = stored(likely.groupBy("digest").agg(F.min("doc_id").alias("id")), "join-likely")
     digests = likely.select("digest")
-    ids = likely.select(F.col("id").alias("wanted")).distinct()
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(likely))
+    texts = docs.select("doc_id", "text", filter_place("doc_id").alias("place"))
     schema = "digest string, size long, set binary"
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            for part in slices(batch, "text", PART_BYTES):
+            place = batch.column("place").to_numpy()
+            likely_rows = batch.filter(pa.array(bits.value[place >> 3] >> (place & 7) & 1 == 1))
+            for part in slices(likely_rows, "text", PART_BYTES):
                 sets = [shingles(t, known) for t in raw_texts(part.column("text"))]
                 yield _batch([(digest(s), len(s), s.tobytes()) for s in sets if len(s)], schema)
 

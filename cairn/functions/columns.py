@@ -27,14 +27,35 @@ def _col(value: ColumnLike) -> Column:
 def cast_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` to ``schema``: its columns, its order, its types.
 
-    A value that does not fit becomes NULL instead of failing the job.
+    Text that is no number, date or flag becomes NULL where one is declared. A
+    number that exceeds its declared whole-number type fails the job: an id must
+    not become NULL in silence.
     """
-    return df.selectExpr(*cast_expressions(schema))
+    return df.selectExpr(*cast_expressions(schema, df.schema))
 
 
-def cast_expressions(schema: T.StructType) -> list[str]:
-    """The columns of :func:`cast_projection` as SQL."""
-    return [f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
+def cast_expressions(schema: T.StructType, source: T.StructType | None = None) -> list[str]:
+    """The columns of :func:`cast_projection` as SQL.
+
+    ``source`` tells text from numbers; without it all inputs are taken to be
+    no text.
+    """
+    text = {f.name for f in source.fields if isinstance(f.dataType, T.StringType)} if source else set()
+    return [f"{_cast(f, f.name in text)} AS {_quoted(f.name)}" for f in schema.fields]
+
+
+# Fixed value: how a decimal number is written.
+_NUMBER = r"^\\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*$"
+
+
+def _cast(field: T.StructField, text: bool) -> str:
+    name, kind = _quoted(field.name), field.dataType.simpleString()
+    if not isinstance(field.dataType, T.IntegralType):
+        return f"try_cast({name} AS {kind})"
+    if not text:
+        return f"CAST({name} AS {kind})"
+    # Text such as 5.0 is a whole number too.
+    return f"CAST(CASE WHEN {name} RLIKE '{_NUMBER}' THEN CAST({name} AS DECIMAL(38,6)) END AS {kind})"
 
 
 def project(df: DataFrame, mapping: Mapping[str, ColumnLike]) -> DataFrame:
@@ -43,7 +64,8 @@ def project(df: DataFrame, mapping: Mapping[str, ColumnLike]) -> DataFrame:
 
 
 def _quoted(name: str) -> str:
-    return f"`{name}`"
+    escaped = name.replace("`", "``")
+    return f"`{escaped}`"
 
 
 # -- defaults for NULLs ----------------------------------------------------
@@ -64,9 +86,11 @@ def default_key_id(column: str, label: str, keys: Sequence[str]) -> Column:
     """NULL becomes a UUID-shaped hash of ``label`` and the key.
 
     The value is the same on each execution, so a recomputed task or a second
-    run of the job yields the same row.
+    run of the job yields the same row. Each part of the key carries its length,
+    so that no two keys are hashed alike, NULL and empty text included.
     """
-    parts = ", ".join(f"coalesce(CAST(`{k}` AS STRING), '')" for k in keys)
+    texts = [f"CAST({_quoted(k)} AS STRING)" for k in keys]
+    parts = ", ".join(f"coalesce(concat(length({t}), ':', {t}), '-')" for t in texts)
     digest = f"md5(concat_ws('|', '{label}', {parts}))"
     return _filled(column, F.regexp_replace(F.expr(digest), *_HEX_TO_UUID))
 
@@ -162,17 +186,15 @@ def calendar(day: ColumnLike) -> dict[str, Column]:
 def numeric_text_as_numbers(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Read text columns that ``schema`` declares as numbers as numbers.
 
-    Text such as ``NULL`` becomes NULL. Whole-number columns take their
-    declared type, all other numbers become double; the declared precision is
-    applied later by :func:`cast_projection`.
+    Text that is no number becomes NULL. Whole numbers become 64-bit (a larger
+    one fails), decimals take their declared type digit by digit.
     """
     declared = {f.name: f.dataType for f in schema.fields}
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    changes = {
-        name: F.col(_quoted(name)).try_cast(
-            declared[name] if isinstance(declared[name], T.IntegralType) else T.DoubleType()
-        )
-        for name in text
-        if isinstance(declared.get(name), T.NumericType)
-    }
+    changes = {}
+    for f in df.schema.fields:
+        kind = declared.get(f.name)
+        if not isinstance(f.dataType, T.StringType) or not isinstance(kind, T.NumericType):
+            continue
+        wanted = T.StructField(f.name, T.LongType() if isinstance(kind, T.IntegralType) else kind)
+        changes[f.name] = F.expr(_cast(wanted, True))
     return df.withColumns(changes) if changes else df

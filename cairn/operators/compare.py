@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 # A row with more surplus copies than this is written out by several tasks.
 COPIES_PER_TASK = 100_000
 
+# Columns that are added on the way; input columns may have any other name.
+_SURPLUS, _CHUNK, _COPY = "__cairn_surplus", "__cairn_chunk", "__cairn_copy"
+_LEFT, _RIGHT = "__cairn_left", "__cairn_right"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
 def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` that ``right`` lacks, counting copies.
@@ -17,36 +25,57 @@ def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
     occurs very often is cut into chunks of copies, which are spread over the
     tasks.
     """
-    names = left.columns
-    surplus = row_differences(left, right).withColumn("surplus", F.col("left_rows") - F.col("right_rows"))
-    last_chunk = F.floor((F.col("surplus") - 1) / F.lit(COPIES_PER_TASK))
-    chunks = surplus.where("surplus > 0").select(
-        *names, "surplus", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("chunk")
+    names = [_quoted(c) for c in left.columns]
+    surplus = _counted(left, right).withColumn(_SURPLUS, F.col(_LEFT) - F.col(_RIGHT))
+    last_chunk = F.floor((F.col(_SURPLUS) - 1) / F.lit(COPIES_PER_TASK))
+    chunks = surplus.where(F.col(_SURPLUS) > 0).select(
+        *names, _SURPLUS, F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias(_CHUNK)
     )
-    open_copies = F.col("surplus") - F.col("chunk") * F.lit(COPIES_PER_TASK)
+    open_copies = F.col(_SURPLUS) - F.col(_CHUNK) * F.lit(COPIES_PER_TASK)
     size = F.least(F.lit(COPIES_PER_TASK).cast("long"), open_copies)
-    spread = chunks.repartition(*names, "chunk")
-    return spread.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("copy")).drop("copy")
+    spread = chunks.repartition(*names, _CHUNK)
+    return spread.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias(_COPY)).drop(_COPY)
 
 
-def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows whose number of copies differs, with ``left_rows`` and
-    ``right_rows``.
+def row_differences(
+    left: DataFrame, right: DataFrame, left_rows: str = "left_rows", right_rows: str = "right_rows"
+) -> DataFrame:
+    """Distinct rows whose number of copies differs, with that number on either
+    side.
 
     Both directions come out of one aggregation: each side is read once and
-    copies are counted before the shuffle.
+    copies are counted before the shuffle. Name the counts differently if the
+    frames have columns of these names.
     """
-    names = left.columns
-    tagged = left.select(*names, F.lit(1).alias("left_rows"), F.lit(0).alias("right_rows")).union(
-        right.select(*names, F.lit(0).alias("left_rows"), F.lit(1).alias("right_rows"))
+    names = [_quoted(c) for c in left.columns]
+    counts = [F.col(_LEFT).alias(left_rows), F.col(_RIGHT).alias(right_rows)]
+    return _counted(left, right).where(F.col(_LEFT) != F.col(_RIGHT)).select(*names, *counts)
+
+
+def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row with its number of copies on either side."""
+    names = [_quoted(c) for c in left.columns]
+    there, not_there = F.lit(1), F.lit(0)
+    tagged = left.select(*names, there.alias(_LEFT), not_there.alias(_RIGHT)).union(
+        right.select(*[_quoted(c) for c in right.columns], not_there.alias(_LEFT), there.alias(_RIGHT))
     )
-    return (
-        tagged.groupBy(*names)
-        .agg(F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows"))
-        .where(F.col("left_rows") != F.col("right_rows"))
+    return tagged.groupBy(*names).agg(F.sum(_LEFT).alias(_LEFT), F.sum(_RIGHT).alias(_RIGHT))
+
+
+def comparison(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: ``same_schema`` (nullability included) and ``same_rows``.
+
+    A plan like any other: nothing runs before the result is asked for.
+    """
+    unequal = F.count_if(F.col(_LEFT) != F.col(_RIGHT))
+    same_rows = (
+        _counted(left, right).agg((unequal == 0).alias("same_rows"))
+        if len(left.columns) == len(right.columns)
+        else left.sparkSession.sql("SELECT false AS same_rows")
     )
+    return same_rows.select(F.lit(left.schema == right.schema).alias("same_schema"), "same_rows")
 
 
 def frames_equal(left: DataFrame, right: DataFrame) -> bool:
     """Equal schemas (nullability included) and equal multisets of rows."""
-    return left.schema == right.schema and row_differences(left, right).isEmpty()
+    return left.schema == right.schema and comparison(left, right).first().same_rows

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from enum import Enum
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.operators.joins import any_null, anti_join
+from cairn.operators.joins import any_null, anti_join, spread_join
 
 
 class Unmatched(Enum):
@@ -37,26 +37,57 @@ def merge_frames(
     rows and are NULL in inserted ones. ``delete_where`` narrows
     ``Unmatched.DELETE`` to target rows that satisfy it.
 
-    Keys must be unique on either side; see :func:`duplicate_keys`.
+    A source key that comes twice fails the job. Target keys are taken to be
+    unique. Names are matched as Spark matches them: without regard to case
+    unless the session says otherwise.
     """
+    source, keys = as_in_target(target, source), spelled(target, keys)
     written = written_rows(target, source, keys)
     kept = kept_rows(target, source, keys, unmatched, delete_where)
-    return written.unionByName(kept, allowMissingColumns=True)
+    merged = written.unionByName(kept, allowMissingColumns=True)
+    return merged.unionByName(_no_rows_unless_repeated(source, keys), allowMissingColumns=True)
+
+
+def spelled(target: DataFrame, names: Sequence[str]) -> list[str]:
+    """The names as the target spells them."""
+    if target.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return list(names)
+    known = {c.lower(): c for c in target.columns}
+    return [known.get(name.lower(), name) for name in names]
+
+
+def as_in_target(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The source with the target's spelling of common columns."""
+    return source.toDF(*spelled(target, source.columns))
+
+
+def _no_rows_unless_repeated(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An empty frame whose evaluation fails if a key of the source repeats."""
+    message = f"the source repeats a value of {', '.join(keys)}"
+    failing = F.when(F.col("copies") > 1, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(False))
+    return duplicate_keys(source, keys).where(failing).drop("copies")
 
 
 def written_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Updated and inserted rows: the source in the target's layout.
 
-    The target is read only when it has columns that the source lacks.
+    The target is read only when it has columns that the source lacks. Source
+    rows with a NULL key are spread over the tasks of that join.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
     aligned = source.select(
-        *[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in source.columns]
+        *[_column(c).cast(types[c]).alias(c) if c in types else _column(c) for c in source.columns]
     )
     carried = [c for c in target.columns if c not in source.columns]
     if carried:
-        aligned = aligned.join(target.select(*keys, *carried), list(keys), "left")
-    return aligned.select(*target.columns, *[c for c in source.columns if c not in types])
+        partner = {k: f"__partner_{k}" for k in keys}
+        old = target.select(*[_column(k).alias(name) for k, name in partner.items()], *map(_column, carried))
+        aligned = spread_join(aligned, old, partner, "left").drop(*partner.values())
+    return aligned.select(*map(_column, target.columns), *[_column(c) for c in source.columns if c not in types])
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def kept_rows(
@@ -83,7 +114,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys without NULLs that occur more than once, with their row count."""
     return (
         df.where(~any_null(keys))
-        .groupBy(*keys)
+        .groupBy(*map(_column, keys))
         .agg(F.count(F.lit(1)).alias("copies"))
         .where(F.col("copies") > 1)
     )

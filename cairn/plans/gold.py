@@ -371,7 +371,7 @@ def fact_internet_sales(
     territory: DataFrame,
     cost_history: DataFrame | None = None,
     silver_unique: bool = False,
-    wide_ids: bool = False,
+    wide_ids: bool = True,
 ) -> DataFrame:
     """Lines of online orders with the keys of their dimensions.
 
@@ -381,7 +381,7 @@ def fact_internet_sales(
 
     With ``cost_history`` the extended, discount and cost amounts are added at
     the end; the cost is that of the product's latest history row.
-    ``wide_ids`` keeps ids as 64-bit numbers.
+    Ids are 64-bit numbers unless ``wide_ids`` is off.
     """
     customers = _known_keys(customer, "sales_customer", "CustomerID", "CustomerKey", silver_unique)
     territories = _known_keys(territory, "sales_salesterritory", "TerritoryID", "SalesTerritoryKey", silver_unique)
@@ -430,7 +430,7 @@ def fact_internet_sales(
     )
     schema = GOLD_SCHEMAS["FactInternetSales"]
     extra = [name for name in measures if name not in schema.names] if cost else []
-    return sales.selectExpr(*C.cast_expressions(widen_ids(schema) if wide_ids else schema), *extra)
+    return sales.selectExpr(*C.cast_expressions(widen_ids(schema) if wide_ids else schema, sales.schema), *extra)
 
 
 def fact_internet_sales_reason(

@@ -71,15 +71,16 @@ def silver_transform(
     spec: SilverSpec,
     load_time: Column | None = None,
     stable_row_ids: bool = False,
-    wide_ids: bool = False,
+    wide_ids: bool = True,
     extra_rules: tuple[Rule, ...] = (),
 ) -> DataFrame:
     """Clean ``df`` into the table that ``spec`` declares.
 
     ``load_time`` replaces the current timestamp for undated rows.
     ``stable_row_ids`` derives missing row ids from the key instead of drawing
-    random ones. ``wide_ids`` keeps ids as 64-bit numbers. ``extra_rules`` adds
-    checks that are off by default.
+    random ones. Ids are 64-bit numbers; ``wide_ids=False`` declares them as 32-bit
+    ones, and an id that does not fit then fails. ``extra_rules`` adds checks that
+    are off by default.
     """
     schema = widen_ids(spec.schema) if wide_ids else spec.schema
     derived = spec.derive()
@@ -96,7 +97,7 @@ def silver_transform(
     return require_layout(C.cast_projection(latest.withColumns(dict(derived)), schema), schema)
 
 
-def silver_keys(df: DataFrame, spec: SilverSpec, wide_ids: bool = False) -> DataFrame:
+def silver_keys(df: DataFrame, spec: SilverSpec, wide_ids: bool = True) -> DataFrame:
     """The keys of :func:`silver_transform`, each once.
 
     Which row of a key wins does not matter here, so the sort and window give

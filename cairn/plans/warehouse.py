@@ -45,7 +45,7 @@ class Warehouse:
         return written
 
     def refresh_gold(
-        self, spark: SparkSession, models: Iterable[str] | None = None, wide_ids: bool = False, **options
+        self, spark: SparkSession, models: Iterable[str] | None = None, wide_ids: bool = True, **options
     ) -> dict[str, int]:
         """Rebuild gold models from silver. Returns the rows per model.
 
@@ -65,7 +65,7 @@ class Warehouse:
         return written
 
 
-def check_gold(model: str, frame: DataFrame, wide_ids: bool = False) -> DataFrame:
+def check_gold(model: str, frame: DataFrame, wide_ids: bool = True) -> DataFrame:
     """``frame`` itself if it has the declared schema of ``model``.
 
     The sales fact is checked by exact types, the others by layout.

@@ -27,7 +27,6 @@ RUNTIME_CONF = {
 # their rows in about a third of the space that shuffled rows take.
 PARTITION_BYTES = 128 << 20
 FILE_EXPANSION = 3
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def tune(spark: SparkSession, input_folder: str | None = None) -> SparkSession:
@@ -47,8 +46,8 @@ def tune(spark: SparkSession, input_folder: str | None = None) -> SparkSession:
 
 
 def shuffle_partitions(input_bytes: int) -> int:
-    """Partitions for a shuffle of that much input."""
-    return min(MAX_SHUFFLE_PARTITIONS, 1 + input_bytes * FILE_EXPANSION // PARTITION_BYTES)
+    """Partitions for a shuffle of that much input, each of the same size."""
+    return 1 + input_bytes * FILE_EXPANSION // PARTITION_BYTES
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from collections import Counter
 from collections.abc import Iterable
 from typing import NamedTuple
 
@@ -63,23 +64,32 @@ def with_lineage(df: DataFrame) -> DataFrame:
     return df.withColumn(LINEAGE_COLUMN, F.current_timestamp())
 
 
-def discover(spark: SparkSession, root: str) -> dict[str, PlannedLoad]:
-    """What lies in the folders directly below ``root``, by file stem.
+def discover(spark: SparkSession, root: str, repeated: str = "qualify") -> dict[str, PlannedLoad]:
+    """What lies in the folders directly below ``root``, by table name.
 
-    Files beside those folders and hidden entries are skipped. A stem found
-    twice keeps the entry listed last.
+    A table is named after its file's stem. Stems that several entries share
+    would overwrite each other, so these tables are named ``folder_stem``; with
+    ``repeated="last"`` the entry listed last is kept instead. Files beside
+    those folders and hidden entries are skipped.
     """
+    if repeated not in ("qualify", "last"):
+        raise ValueError(f"repeated is qualify or last, not {repeated}")
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = [
+        (folder.getPath().getName(), posixpath.splitext(entry.getPath().getName())[0], entry.getPath().toString())
+        for folder in _listed(fs, path)
+        if folder.isDirectory()
+        for entry in _listed(fs, folder.getPath())
+    ]
+    times = Counter(stem for _, stem, _ in found)
     plan = {}
-    for folder in _listed(fs, path):
-        if not folder.isDirectory():
-            continue
-        for entry in _listed(fs, folder.getPath()):
-            name = entry.getPath().getName()
-            stem = posixpath.splitext(name)[0]
-            plan[stem] = PlannedLoad(stem, entry.getPath().toString())
+    for folder, stem, location in found:
+        name = f"{folder}_{stem}" if times[stem] > 1 and repeated == "qualify" else stem
+        if name in plan and repeated == "qualify":
+            raise ValueError(f"{location} and {plan[name].file_path} would both be loaded as {name}")
+        plan[name] = PlannedLoad(name, location)
     return plan
 
 

@@ -2,8 +2,11 @@
 
 A table points to one version folder. Each write goes to a new folder next to
 the old ones and becomes visible by moving that pointer, so readers never see
-half a table, a failed job leaves the table as it was, and a table can be
-rewritten from itself.
+half-written rows, a failed job leaves the table as it was, and a table can be
+rewritten from itself. A schema change other than appended columns needs a new
+catalog entry: for a moment between the old and the new one there is no table.
+
+Old versions stay until :func:`drop_old_versions` is called.
 """
 
 from __future__ import annotations
@@ -18,8 +21,10 @@ from pyspark.sql import types as T
 from cairn.operators.merge import (
     DuplicateKeys,
     Unmatched,
+    as_in_target,
     duplicate_keys,
     kept_rows,
+    spelled,
     written_rows,
 )
 
@@ -64,21 +69,45 @@ def upsert_table(
     the search for unmatched rows read the key columns of what was written.
     """
     spark = source.sparkSession
-    if not table_exists(spark, table):
-        return write_table(source, table, fmt)
-    target = read_table(spark, table)
     version = _new_version(spark, table)
-    written = written_rows(target, source, keys)
+    target = read_table(spark, table) if table_exists(spark, table) else None
+    written = source
+    if target is not None:
+        source, keys = as_in_target(target, source), spelled(target, keys)
+        written = written_rows(target, source, keys)
     rows = _save_counted(written, version, fmt)
     staged = spark.read.format(fmt).schema(written.schema).load(version)
     if not duplicate_keys(staged, keys).isEmpty():
         raise DuplicateKeys(f"the source for {table} repeats a value of {', '.join(keys)}")
-    kept = kept_rows(target, staged, keys, unmatched, delete_where)
-    _save(_padded(kept, written.schema), version, fmt, mode="append")
+    if target is not None:
+        kept = kept_rows(target, staged, keys, unmatched, delete_where)
+        _save(_padded(kept, written.schema), version, fmt, mode="append")
     _publish(spark, table, version, fmt, written.schema)
     return rows
 
 
+def drop_old_versions(spark: SparkSession, table: str, keep: int) -> int:
+    """Delete all but the newest ``keep`` versions of a table; how many went.
+
+    The current version always stays, and so does whatever is newer, since a
+    writer may be at work on it. Readers of a deleted version fail, so keep
+    enough for the longest of them.
+    """
+    if keep < 1:
+        raise ValueError("at least the current version is kept")
+    detail = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first()
+    current = detail.data_type.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(current)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if path.getParent().getParent().getName() != "versions":
+        raise ValueError(f"{table} has no versions")
+    age = {s.getPath().getName(): s.getModificationTime() for s in files.listStatus(path.getParent())}
+    older = sorted((n for n in age if age[n] < age[path.getName()]), key=age.__getitem__, reverse=True)
+    for name in older[keep - 1 :]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), name), True)
+    return len(older[keep - 1 :])
+
+
 def _padded(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(
         *[

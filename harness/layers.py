@@ -179,7 +179,8 @@ _ALWAYS_COMPUTED = ("LineTotal", "TotalDue")
 
 
 def _key_row_id(table: str, keys: str) -> str:
-    text = " || '|' || ".join([f"'{table}'", *[f"CAST({k.strip()} AS VARCHAR)" for k in keys.split(",")]])
+    parts = [f"CAST({k.strip()} AS VARCHAR)" for k in keys.split(",")]
+    text = " || '|' || ".join([f"'{table}'", *[f"length({part}) || ':' || {part}" for part in parts]])
     parts = [f"substr(md5({text}), {start}, {size})" for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return "coalesce(rowguid, " + " || '-' || ".join(parts) + ")"
 
@@ -388,6 +389,65 @@ def rejected_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("SalesOrderDetailID", "CarrierTrackingNumber", broken)
 
 
+# Ids beyond 32 bits: every id of the fact's inputs is moved up by that much.
+_LARGE = 5_000_000_000
+_IDS = ("SalesOrderID", "SalesOrderDetailID", "CustomerID", "ProductID", "SpecialOfferID", "TerritoryID")
+_MOVED = ("ProductKey", "CustomerKey", "PromotionKey", "SalesTerritoryKey", "SalesOrderDetailID")
+
+
+@query(
+    "wide_ids_kept",
+    f"""SELECT * REPLACE ({", ".join(f"{c} + {_LARGE} AS {c}" for c in _MOVED)},
+                          CAST(CAST(SalesOrderID AS BIGINT) + {_LARGE} AS VARCHAR) AS SalesOrderID)
+        FROM ({gold_sql("FactInternetSales")})""",
+)
+def wide_ids_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids above 2^31 come through silver and fact unchanged, by default."""
+
+    def moved(table: str) -> DataFrame:
+        df = raw(spark, sf_dir, table)
+        up = {c: F.col(c).cast("long") + F.lit(_LARGE) for c in _IDS if c in df.columns}
+        return silver_transform(
+            df.withColumns(up), SILVER[table], load_time=F.lit(LOAD_TIME).cast("timestamp"), stable_row_ids=True
+        )
+
+    inputs = {arg: moved(table) for arg, table in GOLD_INPUTS["FactInternetSales"].items()}
+    return check_gold("FactInternetSales", gold.fact_internet_sales(**inputs, silver_unique=True))
+
+
+# -- gold with its own dedup -----------------------------------------------
+
+# Inputs that a model takes as they are, and the text that a join needs unchanged.
+_AS_IT_IS = {"DimCustomer": ("customer",), "DimProduct": ("category",)}
+_UNCHANGED = ("SalesOrderNumber", "CountryRegionCode")
+
+
+def _history(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The rows and, for each, two older versions with other texts and amounts."""
+
+    def older(days: int) -> DataFrame:
+        changes = {"ModifiedDate": F.col("ModifiedDate") - F.expr(f"INTERVAL {days} DAYS")}
+        for name, kind in df.dtypes:
+            if name in keys or name in _UNCHANGED:
+                continue
+            if kind == "string":
+                changes[name] = F.concat(F.col(name), F.lit(f" v{days}"))
+            elif kind.startswith("decimal"):
+                changes[name] = (F.col(name) + F.lit(days)).cast(kind)
+        return df.withColumns(changes)
+
+    return older(2).unionByName(df).unionByName(older(1))
+
+
+def gold_from_history(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    """One gold model from inputs with several versions per key."""
+    inputs = {}
+    for arg, table in GOLD_INPUTS[model].items():
+        df = silver(spark, sf_dir, table)
+        inputs[arg] = df if arg in _AS_IT_IS.get(model, ()) else _history(df, SILVER[table].keys)
+    return check_gold(model, GOLD_MODELS[model](**inputs), wide_ids=True)
+
+
 # -- registration ----------------------------------------------------------
 
 
@@ -403,3 +463,12 @@ for _table in SILVER:
     _register_silver(_table)
 for _model in gold.GOLD_SCHEMAS:
     _register_gold(_model)
+
+
+def _register_history(model: str) -> None:
+    query(f"gold_{model}_from_history", gold_sql(model))(lambda spark, sf_dir: gold_from_history(spark, sf_dir, model))
+
+
+for _model in gold.GOLD_SCHEMAS:
+    if _model not in ("DimDate", "ft_agg_product_day"):  # these two dedup nothing
+        _register_history(_model)

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import columns as C
-from cairn.operators.compare import except_all, frames_equal, row_differences
+from cairn.operators.compare import comparison, except_all, row_differences
 from cairn.operators.dedup import current_rows, keep_latest
 from cairn.operators.joins import anti_join, lookup_join
 from cairn.operators.merge import Unmatched, merge_frames
+from cairn.operators.preview import preview
 from cairn.operators.quality import Rule, rejected_rows, validate
 from cairn.operators.schema import require_columns, require_layout
 from cairn.plans.gold import ft_agg_product_day
@@ -126,7 +127,7 @@ def alias_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_KEY_ID_SQL = "md5('orders|' || CAST(SalesOrderID AS VARCHAR))"
+_KEY_ID_SQL = "md5('orders|' || length(CAST(SalesOrderID AS VARCHAR)) || ':' || CAST(SalesOrderID AS VARCHAR))"
 
 
 @query(
@@ -429,7 +430,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("preview_top_n", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def preview_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = source(spark, sf_dir, "orders")
-    return orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(10)
+    return preview(orders, [F.col("o_totalprice").desc(), "o_orderkey"])
 
 
 # -- comparison and schema checks ------------------------------------------
@@ -464,11 +465,16 @@ def differing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def compare_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = source(spark, sf_dir, "lineitem").select(*_KEY_PAIR)
-    return row_differences(lines, lines.distinct()).agg(
-        F.lit(frames_equal(lines, source(spark, sf_dir, "lineitem").select(*_KEY_PAIR))).alias("same_frame_equal"),
-        F.lit(frames_equal(lines, lines.distinct())).alias("distinct_frame_equal"),
-        F.count(F.lit(1)).alias("differing_keys"),
+    same = comparison(lines, source(spark, sf_dir, "lineitem").select(*_KEY_PAIR))
+    other = comparison(lines, lines.distinct())
+    differing = row_differences(lines, lines.distinct()).agg(F.count(F.lit(1)).alias("n"))
+    equal, no_flag, no_count = "same_schema AND same_rows", "CAST(NULL AS BOOLEAN)", "CAST(NULL AS BIGINT)"
+    results = (
+        same.selectExpr(f"{equal} AS same_frame_equal", f"{no_flag} AS distinct_frame_equal", f"{no_count} AS differing_keys")
+        .union(other.selectExpr(no_flag, equal, no_count))
+        .union(differing.selectExpr(no_flag, no_flag, "n"))
     )
+    return results.agg(*[F.max(c).alias(c) for c in results.columns])
 
 
 @query(

@@ -24,11 +24,13 @@ from cairn.sources.files import (
     ingest_file,
     load_plan,
     read_delimited,
+    read_delimited_lines,
     read_files,
     with_lineage,
 )
 from cairn.sources.tables import create_layers, read_table, table_exists, upsert_table, write_table
-from harness.layers import LOAD_TIME, gold_sql
+from cairn.plans.silver import SILVER, silver_transform
+from harness.layers import LOAD_TIME, gold_sql, silver_sql
 from harness.operators import MERGE_KEY, TARGET_SQL, merge_sides, merge_sql
 from harness.registry import query
 from harness.retail import raw, source
@@ -77,20 +79,23 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landing_zone(spark: SparkSession, sf_dir: str) -> str:
     """Files as an extraction leaves them: one folder per subject area."""
     root = scratch_dir(spark, "landing")
-    for folder, tables in {"sales": ("orders", "customer"), "places": ("nation", "region")}.items():
+    for folder, tables in _LANDING.items():
         for table in tables:
             source(spark, sf_dir, table).write.parquet(f"{root}/{folder}/{table}.parquet")
     return root
 
 
-_LANDED = ("customer", "nation", "orders", "region")
+# Two folders hold a file of the same name: both are loaded, under longer names.
+_LANDING = {"sales": ("orders", "customer"), "places": ("nation", "region"), "archive": ("nation",)}
+_LANDED_SQL = " UNION ALL ".join(
+    f"SELECT '{f'{folder}_{t}' if t == 'nation' else t}' AS table_name, count(*) AS row_count, "
+    f"'{folder}' AS folder FROM {t}"
+    for folder, tables in _LANDING.items()
+    for t in tables
+)
 
 
-@query(
-    "bronze_load_plan",
-    "SELECT table_name, row_count, CASE WHEN table_name IN ('orders', 'customer') THEN 'sales' ELSE 'places' END "
-    f"AS folder, TRUE AS table_created FROM ({_counts_sql(_LANDED)})",
-)
+@query("bronze_load_plan", f"SELECT *, TRUE AS table_created FROM ({_LANDED_SQL})")
 def bronze_load_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discover the landing folders and load all that was found."""
     database = _database(spark, "discovered")
@@ -109,7 +114,7 @@ def bronze_load_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("active_tables", f"SELECT * FROM ({_counts_sql(_LANDED)}) WHERE row_count > 20")
+@query("active_tables", f"SELECT table_name, row_count FROM ({_LANDED_SQL}) WHERE row_count > 20")
 def active_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only tables that a control table switches on are loaded. Here it
     switches on those with more than 20 rows."""
@@ -187,6 +192,57 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, _orders_as_text(spark, sf_dir), sep="|", schema=schema)
 
 
+_AMOUNTS = ("SubTotal", "TaxAmt", "Freight", "TotalDue")
+# An order with amounts of 19 digits, numbers written in other ways, and text that is no number.
+_FEW_ORDERS = [
+    {"SalesOrderID": "-1", "SubTotal": "123456789012345.6789", "TaxAmt": "0.0001", "Freight": "2e1", "Status": "5.0"},
+    {"SalesOrderID": "-2.0", "SubTotal": "1", "TaxAmt": "NULL", "Freight": "1", "Status": "5"},
+    {"SalesOrderID": "-3", "SubTotal": "9", "TaxAmt": "8", "Freight": "7", "Status": "five"},
+]
+
+
+@query(
+    "silver_from_text",
+    f"""SELECT SalesOrderID, {", ".join(_AMOUNTS)} FROM ({silver_sql("sales_salesorderheader")})
+        UNION ALL SELECT -1, 123456789012345.6789, 0.0001, 20, 123456789012365.679000
+        UNION ALL
+        SELECT SalesOrderDetailID, UnitPrice, UnitPriceDiscount, OrderQty, LineTotal
+        FROM ({silver_sql("sales_salesorderdetail")})""",
+)
+def silver_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and lines whose raw tables are delimited text, and a few lines in memory."""
+    load_time = F.lit(LOAD_TIME).cast("timestamp")
+
+    def cleaned(df: DataFrame, table: str) -> DataFrame:
+        return silver_transform(df, SILVER[table], load_time=load_time, stable_row_ids=True)
+
+    def from_text(table: str) -> DataFrame:
+        given = raw(spark, sf_dir, table)
+        folder = scratch_dir(spark, "text")
+        texts = given.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in given.columns])
+        texts.write.csv(folder, sep="|", header=True)
+        return cleaned(read_delimited(spark, folder, sep="|", schema=texts.schema), table)
+
+    names = [c for c in SILVER["sales_salesorderheader"].schema.names if c != "TotalDue"]
+    usual = {"OrderDate": "2020-01-01", "DueDate": "2020-01-02", "ShipDate": "2020-01-03", "ModifiedDate": "2020-01-01"}
+    lines = ["|".join(names)]
+    for order in _FEW_ORDERS:
+        values = {"OnlineOrderFlag": "1"} | usual | order
+        lines.append("|".join(values.get(n, "0") for n in names))
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    few = cleaned(read_delimited_lines(spark, lines, sep="|", schema=text), "sales_salesorderheader")
+    headers = from_text("sales_salesorderheader").unionByName(few).select("SalesOrderID", *_AMOUNTS)
+    money, total = "decimal(19,4)", "decimal(38,6)"
+    details = from_text("sales_salesorderdetail").select(
+        "SalesOrderDetailID",
+        "UnitPrice",
+        "UnitPriceDiscount",
+        F.col("OrderQty").cast(money),
+        F.col("LineTotal").cast(total),
+    )
+    return headers.union(details)
+
+
 # -- the layers as tables --------------------------------------------------
 
 

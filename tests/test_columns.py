@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 from decimal import Decimal
 
@@ -16,10 +17,9 @@ def test_cast_projection_orders_columns_and_nulls_bad_text(spark):
     assert rows(out) == [("x", Decimal("7.2500"), None), (None, None, 3)]
 
 
-def test_cast_projection_nulls_an_overflow_unless_ids_are_wide(spark):
+def test_cast_projection_keeps_large_ids_if_they_are_wide(spark):
     df = spark.createDataFrame([(2**40,)], "OrderID long")
     narrow = schema(OrderID=INT)
-    assert rows(C.cast_projection(df, narrow)) == [(None,)]
     assert rows(C.cast_projection(df, widen_ids(narrow))) == [(2**40,)]
     assert widen_ids(narrow)["OrderID"].dataType == LONG
 
@@ -107,7 +107,29 @@ def test_calendar(spark):
 
 def test_numeric_text_becomes_numbers(spark):
     declared = schema(n=INT, m=MONEY, t=TEXT)
-    df = spark.createDataFrame([("12", "1.5", "9"), ("NULL", "x", "NULL")], "n string, m string, t string")
+    amount = "123456789012345.6789"
+    given = [("12", "1.5", "9"), ("NULL", "x", "NULL"), (" 5.0 ", amount, ""), ("4e3", "-.5", "5d"), ("5d", "NaN", None)]
+    df = spark.createDataFrame(given, "n string, m string, t string")
     out = C.numeric_text_as_numbers(df, declared)
-    assert [f.dataType.simpleString() for f in out.schema] == ["int", "double", "string"]
-    assert rows(out) == [(12, 1.5, "9"), (None, None, "NULL")]
+    assert [f.dataType.simpleString() for f in out.schema] == ["bigint", "decimal(19,4)", "string"]
+    assert [(r.n, None if r.m is None else str(r.m)) for r in out.collect()] == [
+        (12, "1.5000"),
+        (None, None),
+        (5, amount),
+        (4000, "-0.5000"),
+        (None, None),
+    ]
+
+
+@pytest.mark.parametrize("value, kind", [(1 << 31, "long"), (3e9, "double"), ("3000000000", "string")])
+def test_a_number_that_does_not_fit_fails(spark, value, kind):
+    df = spark.createDataFrame([(value,)], f"n {kind}")
+    with pytest.raises(Exception, match="OVERFLOW"):
+        C.cast_projection(df, schema(n=INT)).collect()
+
+
+def test_keys_that_look_alike_have_different_ids(spark):
+    keys = [("a|b", "c"), ("a", "b|c"), ("", None), (None, "")]
+    df = spark.createDataFrame([(*k, None) for k in keys], "a string, b string, rowguid string")
+    ids = df.select(C.default_key_id("rowguid", "t", ["a", "b"])).collect()
+    assert len(set(ids)) == 4

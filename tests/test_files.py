@@ -1,3 +1,4 @@
+import pytest
 import json
 
 from pyspark.sql import functions as F
@@ -34,10 +35,15 @@ def test_discover_lists_one_level_of_folders(spark, tmp_path):
     assert found["orders"].file_path.endswith("sales/orders.parquet")
 
 
-def test_equal_stems_keep_the_last(spark, tmp_path):
+def test_equal_stems_are_told_apart_by_their_folder(spark, tmp_path):
     for folder in ("a", "b"):
         spark.range(1).write.parquet(str(tmp_path / folder / "t.parquet"))
-    assert discover(spark, str(tmp_path))["t"].file_path.endswith("b/t.parquet")
+    found = discover(spark, str(tmp_path))
+    assert sorted(found) == ["a_t", "b_t"] and found["b_t"].file_path.endswith("b/t.parquet")
+    assert discover(spark, str(tmp_path), repeated="last")["t"].file_path.endswith("b/t.parquet")
+    spark.range(1).write.parquet(str(tmp_path / "c" / "a_t.parquet"))
+    with pytest.raises(ValueError, match="a_t"):
+        discover(spark, str(tmp_path))
 
 
 def test_ingest_reports_failures_and_goes_on(spark, tmp_path):

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cairn.operators.dedup import current_rows, keep_latest
-from cairn.operators.joins import anti_join, below_broadcast_threshold, lookup_join
+from cairn.operators.joins import SPREAD, anti_join, lookup_join
 from tests.conftest import rows
 
 
@@ -68,11 +68,9 @@ def test_against_brute_force(spark, facts, lookup, how, limit):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_broadcast_only_below_the_threshold(spark, conf):
+def test_no_side_is_forced_to_be_broadcast(spark, conf):
     df = spark.range(1000)
-    assert below_broadcast_threshold(df)
     conf("spark.sql.autoBroadcastJoinThreshold", "1000")
-    assert not below_broadcast_threshold(df)
     joined = lookup_join(
         df.selectExpr("id AS k"), keep_latest(df.selectExpr("id AS key", "id AS ModifiedDate"), "key"), {"k": "key"}
     )
@@ -80,6 +78,18 @@ def test_broadcast_only_below_the_threshold(spark, conf):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_anti_join_reads_the_left_side_once_and_spreads_null_keys(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.range(10).selectExpr("nullif(id % 3, 0) AS k", "id AS v").write.parquet(str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    kept = anti_join(left, spark.createDataFrame([(1,)], "k int"), ["k"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    exchange = next(line for line in plan.split("\n") if "hashpartitioning(k#" in line)
+    assert SPREAD in exchange
+    assert kept.columns == ["k", "v"] and sorted(r.v for r in kept.collect()) == [0, 2, 3, 5, 6, 8, 9]
+
+
 @pytest.mark.parametrize("carry", [[], ["name"]])
 def test_a_hot_key_is_split_although_the_lookup_is_deduplicated(spark, conf, carry):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")

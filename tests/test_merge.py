@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cairn.operators.merge import DuplicateKeys, Unmatched, duplicate_keys, merge_frames
 from cairn.session import scratch_dir
-from cairn.sources.tables import create_layers, read_table, table_exists, upsert_table, write_table
+from cairn.sources.tables import drop_old_versions, create_layers, read_table, table_exists, upsert_table, write_table
 from tests.conftest import rows
 
 SCHEMA = "k int, v string, s string"
@@ -147,3 +147,30 @@ def test_a_table_can_be_replaced_from_itself_with_another_schema(spark, sides, d
     write_table(sides[0], table)
     assert write_table(read_table(spark, table).selectExpr("s", "k * 2 AS double_k").where("k > 1"), table) == 2
     assert rows(read_table(spark, table)) == [("F", 4), ("O", 6)]
+
+
+def test_a_repeated_key_is_found_on_create_and_in_frames(spark, sides, database):
+    target, source = sides
+    with pytest.raises(DuplicateKeys):
+        upsert_table(source.union(source), f"{database}.orders", ["k"])
+    assert not table_exists(spark, f"{database}.orders")
+    for unmatched in Unmatched:
+        with pytest.raises(Exception, match="repeats a value of k"):
+            merge_frames(target, source.union(source), ["k"], unmatched).collect()
+
+
+def test_names_match_without_regard_to_case(spark, conf):
+    target = spark.createDataFrame([(1, "t", 7)], "k int, v string, old int")
+    source = spark.createDataFrame([(1, "s"), (2, "n")], "K int, V string")
+    merged = merge_frames(target, source, ["K"])
+    assert merged.columns == ["k", "v", "old"] and rows(merged) == [(1, "s", 7), (2, "n", None)]
+
+
+def test_old_versions_go_when_asked_to(spark, sides, database):
+    table = f"{database}.orders"
+    for _ in range(4):
+        write_table(sides[0], table)
+    assert drop_old_versions(spark, table, keep=2) == 2 and drop_old_versions(spark, table, keep=2) == 0
+    assert rows(read_table(spark, table)) == ordered(*TARGET)
+    with pytest.raises(ValueError):
+        drop_old_versions(spark, table, keep=0)

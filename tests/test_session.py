@@ -1,12 +1,12 @@
 import pytest
 
-from cairn.session import MAX_SHUFFLE_PARTITIONS, folder_bytes, scratch_dir, shuffle_partitions, tune
+from cairn.session import folder_bytes, scratch_dir, shuffle_partitions, tune
 
 
 def test_shuffles_grow_with_the_input():
     assert shuffle_partitions(0) == 1
     assert shuffle_partitions(10 << 30) == 241
-    assert shuffle_partitions(100 << 40) == MAX_SHUFFLE_PARTITIONS
+    assert shuffle_partitions(100 << 40) == 1 + 3 * (100 << 40) // (128 << 20)
 
 
 def test_tune_measures_the_folder(spark, conf, tmp_path):

@@ -64,13 +64,13 @@ def test_thirteen_text_rows_become_ten_typed_orders(spark):
     expected_lines = [*ORDERS[:-1], ORDERS[-1].removesuffix("00:00:00.000")]
     expected = read_delimited_lines(spark, [HEADER, *expected_lines], sep="|", schema=spec.schema)
     assert expected.count() == 10
-    assert frames_equal(silver_transform(given, spec), expected)
+    assert frames_equal(silver_transform(given, spec, wide_ids=False), expected)
 
 
 @pytest.mark.parametrize("table", SILVER)
 def test_every_table_has_its_declared_layout(spark, table):
     given = frame(spark, table)
-    assert has_layout(silver_transform(given, SILVER[table]), SILVER[table].schema)
+    assert has_layout(silver_transform(given, SILVER[table], wide_ids=False), SILVER[table].schema)
     assert set(SILVER[table].keys) <= set(SILVER[table].schema.names)
     extra = given.withColumn("bronze_ingestion_timestamp", F.current_timestamp())
     assert silver_transform(extra, SILVER[table]).columns == SILVER[table].schema.names
@@ -237,3 +237,13 @@ def test_rejects_name_the_broken_rules(spark):
     given = frame(spark, "sales_salesorderdetail", detail(1), detail(2, OrderQty=0, UnitPrice=Decimal(-1)))
     rejects = silver_rejects(given, SILVER["sales_salesorderdetail"])
     assert rows(rejects.select("SalesOrderDetailID", "failed_rules")) == [(2, ["OrderQty > 0", "UnitPrice >= 0"])]
+
+
+def test_large_ids_are_kept_or_fail_but_never_vanish(spark):
+    given = spark.createDataFrame([(3_000_000_001, T1), (3_000_000_002, T1)], "CustomerID long, ModifiedDate timestamp")
+    spec = SILVER["sales_customer"]
+    given = given.select(*[F.col(n) if n in given.columns else F.lit(None).cast("string").alias(n) for n in spec.schema.names])
+    kept = silver_transform(given, spec)
+    assert sorted(r.CustomerID for r in kept.collect()) == [3_000_000_001, 3_000_000_002]
+    with pytest.raises(Exception, match="OVERFLOW"):
+        silver_transform(given, spec, wide_ids=False).collect()

@@ -73,6 +73,7 @@ def silver_transform(
     stable_row_ids: bool = False,
     wide_ids: bool = True,
     extra_rules: tuple[Rule, ...] = (),
+    distribute_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Clean ``df`` into the table that ``spec`` declares.
 
@@ -80,7 +81,10 @@ def silver_transform(
     ``stable_row_ids`` derives missing row ids from the key instead of drawing
     random ones. Ids are 64-bit numbers; ``wide_ids=False`` declares them as 32-bit
     ones, and an id that does not fit then fails. ``extra_rules`` adds checks that
-    are off by default.
+    are off by default. ``distribute_by`` names a part of the key by which rows are
+    distributed before the dedup, so that a later dedup on that part needs no
+    second shuffle; it fits keys that are nearly unique, since all versions of a
+    row are then sent.
     """
     schema = widen_ids(spec.schema) if wide_ids else spec.schema
     derived = spec.derive()
@@ -88,7 +92,12 @@ def silver_transform(
     valid = apply_rules(dated, (*spec.rules, *extra_rules))
     # Only columns that reach the output take part in the dedup.
     inputs = [name for name in schema.names if name in df.columns and name not in spec.computed]
-    latest = keep_latest(valid.select(*inputs), spec.keys, CHANGED)
+    valid = valid.select(*inputs)
+    if distribute_by:
+        if not set(distribute_by) <= set(spec.keys):
+            raise ValueError(f"{distribute_by} is no part of the key {spec.keys}")
+        valid = valid.repartition(*distribute_by)
+    latest = keep_latest(valid, spec.keys, CHANGED)
     if ROW_ID in schema.names:
         missing_id = (
             C.default_key_id(ROW_ID, spec.name, spec.keys) if stable_row_ids else C.default_random_id(ROW_ID)

@@ -29,11 +29,9 @@ the input only id and text are used, so extra columns cannot clash.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
-from functools import cache
 from itertools import groupby, islice
 
 import numpy as np
@@ -42,9 +40,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.arrow import raw_texts, slices
 from cairn.llm.mixing import stored
 from cairn.llm.splits import fixed_splits
 from cairn.llm.text import quoted
+from cairn.llm.tokens import count as count_tokens
+from cairn.llm.tokens import encode
 from cairn.llm.warc import opened
 from cairn.session import scratch_dir
 
@@ -54,8 +55,8 @@ LENGTH = 2048
 SHARD_SLOTS = 4096
 KEY = 20_240_601
 ROUNDS = 6
-# Fixed value: how the public 50k byte-pair vocabulary splits text.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Text that is tokenised at once in a task.
+PART_BYTES = 16 << 20
 
 FRAGMENT = "sequence long, slot long, at int, tokens binary, doc_ids array<long>"
 KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
@@ -65,22 +66,6 @@ MANIFEST = (
 )
 
 
-@cache
-def encoding(vocabulary: str):
-    """The tokenizer of a ranks file."""
-    import tiktoken
-
-    with open(vocabulary, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
-def token_ids(text: str | None, vocabulary: str) -> np.ndarray:
-    """The tokens of a text and the end token."""
-    tokens = encoding(vocabulary).encode_to_numpy(text or "", disallowed_special=())
-    return np.append(tokens.astype(np.uint16), np.uint16(END))
-
-
 class Permutation:
     """A keyed permutation of the numbers below ``size``."""
 
@@ -122,7 +107,16 @@ class Permutation:
         return self._walk(self._back, slots)
 
 
-def fragments(rows, start: int, length: int, order: Permutation, vocabulary: str) -> Iterator[tuple]:
+def tokenised(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Id and tokens of each text, the end token included."""
+    for batch in batches:
+        for part in slices(batch, "text", PART_BYTES):
+            ids, found = part.column("doc_id").to_pylist(), encode(raw_texts(part.column("text")), vocabulary)
+            for doc_id, tokens in zip(ids, found, strict=True):
+                yield doc_id, np.append(tokens, np.uint16(END))
+
+
+def fragments(texts, start: int, length: int, order: Permutation) -> Iterator[tuple]:
     """The parts of sequences that a partition's texts make up, from a stream position on."""
     held, ids, size, position = [], [], 0, start
 
@@ -131,8 +125,8 @@ def fragments(rows, start: int, length: int, order: Permutation, vocabulary: str
         slot = int(order.slots(np.array([sequence]))[0])
         return sequence, slot, at, np.concatenate(held).tobytes(), list(dict.fromkeys(i for i in ids if i is not None))
 
-    for doc_id, text in rows:
-        tokens, done = token_ids(text, vocabulary), 0
+    for doc_id, tokens in texts:
+        done = 0
         while done < len(tokens):
             room = length - position % length - size
             part = tokens[done : done + room]
@@ -165,7 +159,8 @@ def materialise(
     chosen = chosen if table else stored(chosen, "order-input")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = sum(len(token_ids(text, vocabulary)) for b in batches for text in b.column("text").to_pylist())
+        parts = (p.column("text") for b in batches for p in slices(b, "text", PART_BYTES))
+        total = sum(count_tokens(raw_texts(p), vocabulary) + len(p) for p in parts)
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, total)], names=["part", "n"])
 
@@ -189,8 +184,7 @@ def _placed(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
-        rows = (row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        found = fragments(rows, shared.value[0].get(part, 0), length, order, vocabulary)
+        found = fragments(tokenised(batches, vocabulary), shared.value[0].get(part, 0), length, order)
         while some := list(islice(found, FRAGMENTS)):
             made += sum(len(f[3]) // 2 for f in some)
             columns = [pa.array([f[i] for f in some], kind) for i, kind in enumerate(KINDS)]

@@ -13,6 +13,7 @@ from cairn.llm import (
     ngram_join,
     pu_quality,
     quality_rules,
+    tokens,
     training_order,
     url_filter,
     warc,
@@ -146,7 +147,7 @@ def test_training_order(docs, none):
     texts, own = [], []
     for token in stream:
         if token == training_order.END:
-            texts.append(training_order.encoding(training_order.VOCABULARY).decode(own))
+            texts.append(tokens.encoding(training_order.VOCABULARY)[0].decode(own))
             own = []
         else:
             own.append(token)

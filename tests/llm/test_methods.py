@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from cairn.llm import decontaminate, html_text, interpolation, pu_quality, training_order, url_filter, warc
+from cairn.llm import decontaminate, html_text, interpolation, pu_quality, tokens, training_order, url_filter, warc
 from cairn.llm.fm_index import FMIndex, suffix_array
 from cairn.llm.prefix_tree import Member, build, connect, linked
 
@@ -171,3 +171,14 @@ def test_neighbours_are_read_together():
 
     rows = [row("a", 0, 10), row("a", 10, 5), row("a", 1 << 20, 5), row("b", 0, 9), row("b", 9, warc.MOST_READ)]
     assert [len(g) for g in warc.ranges(rows)] == [2, 1, 1, 1]
+
+
+def test_words_encoded_once_give_the_tokens_of_the_text():
+    rng = random.Random(0)
+    pieces = ["a", "b", " ", "  ", "\n", "\t", "é", "'s", "1", "23", "!", "\u00a0", "\u3000", "don't", "日本", "\x1c", "\r\n"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))).encode() for _ in range(3000)]
+    found = tokens.encode(texts, training_order.VOCABULARY)
+    for text, own in zip(texts, found, strict=True):
+        assert own.tolist() == tokens.encoding(training_order.VOCABULARY)[0].encode_ordinary(text.decode())
+    assert tokens.count(texts, training_order.VOCABULARY) == sum(map(len, found))
+    assert tokens.encode([], training_order.VOCABULARY) == [] and tokens.count([b""], training_order.VOCABULARY) == 0

@@ -45,6 +45,12 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def stored_as(frame: DataFrame, label: str) -> DataFrame:
+    """:func:`stored` for column names that Parquet would not take."""
+    names = frame.columns
+    return stored(frame.toDF(*[f"c{i}" for i in range(len(names))]), label).toDF(*names)
+
+
 def row_hash(id_column: Column, text: Column) -> Column:
     """A 60-bit hash of id and text, from the first 15 digits of their MD5."""
     joined = F.concat(F.coalesce(id_column.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))

@@ -47,7 +47,7 @@ from pyspark.sql import types as T
 
 from cairn.llm.arrow import mapped, raw_texts, slices
 from cairn.llm.components import components
-from cairn.llm.mixing import stored
+from cairn.llm.mixing import stored, stored_as
 from cairn.llm.prefix_tree import Member, connect
 from cairn.llm.text import fresh, quoted
 
@@ -214,20 +214,20 @@ PACKED_SETS = 1000
 PACKED = "bucket int, part string, hashes binary, owners binary, place int, digest string, size long"
 
 
-# Bits of the filter on the ids of likely documents: what is broadcast never
-# exceeds a megabyte. A fuller filter lets more texts through, which an exact
-# join on the sets' digests then drops.
+# Bits of the filters on ids and digests: what is broadcast never exceeds a
+# megabyte. A fuller filter lets more rows through, which an exact join on the
+# digests then sorts out.
 FILTER_BITS = 1 << 23
 
 
 def filter_place(column: str) -> Column:
-    """The filter bit of an id; all rows without id share one."""
+    """The filter bit of a value; all NULLs share one."""
     return F.pmod(F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(FILTER_BITS))
 
 
-def id_filter(likely: DataFrame) -> np.ndarray:
-    """The bits of all ids, merged by Spark byte by byte."""
-    place = likely.select(filter_place("id").alias("p"))
+def bit_filter(frame: DataFrame, column: str) -> np.ndarray:
+    """The bits of all values of a column, merged by Spark byte by byte."""
+    place = frame.select(filter_place(column).alias("p"))
     bit = F.call_function("shiftleft", F.lit(1), (F.col("p") % 8).cast("int"))
     merged = place.groupBy(F.shiftright("p", 3).alias("byte")).agg(F.bit_or(bit).alias("value"))
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -253,7 +253,7 @@ def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame
     # One row per set and one document to take its text from; copies alone are no candidates.
     likely = stored(likely.groupBy("digest").agg(F.min("doc_id").alias("id")), "join-likely")
     digests = likely.select("digest")
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(likely))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(likely, "id"))
     texts = docs.select("doc_id", "text", filter_place("doc_id").alias("place"))
     schema = "digest string, size long, set binary"
 
@@ -435,29 +435,48 @@ def component_ids(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, the one with the smallest id, and all rows without words."""
+    """One row of each component, the one with the smallest id, and all rows without words.
+
+    A bounded filter of the classes' digests tells most rows apart that are
+    alone; only the others are written, and joined with the classes.
+    """
     _, classes = joined(docs, id_column, text)
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(classes, "digest"))
     name = fresh("cairn_digest", docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())])
-    place = docs.columns.index(text)
+    text_place = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
             for part in slices(batch, text, PART_BYTES):
-                sets = [shingles(t, known) for t in raw_texts(part.column(place))]
+                sets = [shingles(t, known) for t in raw_texts(part.column(text_place))]
                 names = [digest(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string())], names=schema.names)
 
-    tagged = mapped(docs, run, schema)
-    prefix = fresh("cairn_class", docs.columns)
-    shown = classes.select(F.col("digest").alias(prefix), F.col("component_id").alias(f"{prefix}_id"), "keeper")
-    shown = shown.withColumnRenamed("keeper", f"{prefix}_keeper")
-    both = tagged.join(shown, F.col(quoted(name)) == F.col(quoted(prefix)), "left")
+    place = fresh("cairn_place", [*docs.columns, name])
+    tagged = mapped(docs, tag, schema).withColumn(place, filter_place(quoted(name)))
+    fields = [*schema.fields, T.StructField(place, T.LongType())]
+
+    def pick(listed: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = batch.column(batch.num_columns - 1).to_numpy()
+                hit = bits.value[at >> 3] >> (at & 7) & 1 == 1
+                yield batch.filter(pa.array(hit == listed))
+
+        return mapped(tagged, run, T.StructType(fields))
+
     own = [F.col(quoted(c)) for c in docs.columns]
-    alone = both.where(F.col(quoted(prefix)).isNull()).select(*own)
-    kept = both.where(
-        (F.col(quoted(name)) == F.col(quoted(f"{prefix}_keeper")))
-        & F.col(quoted(id_column)).cast("long").eqNullSafe(F.col(quoted(f"{prefix}_id")))
+    digest_column = F.col(quoted(name))
+    maybe = stored_as(pick(True), "join-maybe")
+    prefix = fresh("cairn_class", [*docs.columns, name, place])
+    shown = classes.toDF(*[f"{prefix}_{c}" for c in classes.columns])
+    same_digest = digest_column == F.col(quoted(f"{prefix}_digest"))
+    missed = maybe.join(shown, same_digest, "left_anti")
+    keepers = maybe.join(shown, same_digest).where(
+        (digest_column == F.col(quoted(f"{prefix}_keeper")))
+        & F.col(quoted(id_column)).cast("long").eqNullSafe(F.col(quoted(f"{prefix}_component_id")))
     )
-    return alone.union(kept.dropDuplicates([name]).select(*own))
+    once = keepers.dropDuplicates([name])
+    return pick(False).select(*own).union(missed.select(*own)).union(once.select(*own))

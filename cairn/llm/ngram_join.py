@@ -53,9 +53,9 @@ from cairn.llm.text import fresh, quoted
 
 SHINGLE = 5
 # Text whose hashes one bucket holds, and text hashed at once in a task.
-BUCKET_BYTES, PART_BYTES = 16 << 20, 4 << 20
+BUCKET_BYTES, PART_BYTES = 16 << 20, 2 << 20
 CHUNK, BRIDGES = 64, 4
-WORD_MEMORY = 1 << 20
+WORD_MEMORY = 1 << 18
 
 MIX, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 

@@ -88,8 +88,8 @@ def _encode_regular(texts: list[bytes], vocabulary: str) -> list[np.ndarray]:
     pool, start, size = _encode_pieces(coded.dictionary.to_pylist(), vocabulary)
     place = coded.indices.to_numpy()
     sizes = size[place]
-    stops = np.cumsum(sizes)
-    tokens = pool[np.repeat(start[place] - (stops - sizes), sizes) + np.arange(stops[-1])]
+    stops = np.cumsum(sizes, dtype=np.int32)  # a batch is far below 2 GB
+    tokens = pool[np.repeat(start[place] - (stops - sizes), sizes) + np.arange(stops[-1], dtype=np.int32)]
     last = np.searchsorted(begins, ends) - 1  # last piece of each text
     return np.split(tokens, stops[last][:-1])
 
@@ -110,4 +110,4 @@ def _encode_pieces(pieces: list[bytes], vocabulary: str) -> tuple[np.ndarray, np
     start = np.concatenate(([0], stop[:-1])) + bare
     if (token_ends[stop - 1] != ends).any():
         raise ValueError("the vocabulary's tokens cross white space")
-    return pool, start, stop - start
+    return pool, start.astype(np.int32), (stop - start).astype(np.int32)

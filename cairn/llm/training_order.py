@@ -56,7 +56,7 @@ SHARD_SLOTS = 4096
 KEY = 20_240_601
 ROUNDS = 6
 # Text that is tokenised at once in a task.
-PART_BYTES = 16 << 20
+PART_BYTES = 4 << 20
 
 FRAGMENT = "sequence long, slot long, at int, tokens binary, doc_ids array<long>"
 KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))

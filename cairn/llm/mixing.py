@@ -113,19 +113,14 @@ def thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
     for used in range(BITS, HASH_BITS + BITS, BITS):
         parent = F.shiftright("hash", HASH_BITS - used + BITS) if used > BITS else F.lit(0).cast("long")
         bucket = F.shiftright("hash", max(HASH_BITS - used, 0))
-        sums = (
-            rows.withColumn("parent", parent)
-            .groupBy("source", "parent", bucket.alias("fine"))
-            .agg(F.sum("size").alias("words"), F.min("hash").alias("low"), F.max("hash").alias("high"))
-        )
+        inside = rows.withColumn("parent", parent)
         if used > BITS:
             wanted = state.where("rest > 0").select(F.col("source").alias("s"), F.col("bucket").alias("b")).distinct()
-            sums = (
-                rows.withColumn("parent", parent)
-                .join(wanted, F.col("source").eqNullSafe(F.col("s")) & (F.col("parent") == F.col("b")), "left_semi")
-                .groupBy("source", "parent", bucket.alias("fine"))
-                .agg(F.sum("size").alias("words"), F.min("hash").alias("low"), F.max("hash").alias("high"))
-            )
+            same = F.col("source").eqNullSafe(F.col("s")) & (F.col("parent") == F.col("b"))
+            inside = inside.join(wanted, same, "left_semi")
+        sums = inside.groupBy("source", "parent", bucket.alias("fine")).agg(
+            F.sum("size").alias("words"), F.min("hash").alias("low"), F.max("hash").alias("high")
+        )
         goal = state.select(F.col("source").alias("g"), *[c for c in state.columns if c not in ("source", "low", "high", "words")])
         run = Window.partitionBy("g", "k").orderBy("fine")
         reached = (

@@ -3,7 +3,9 @@
 A page is a sequence of words and tags. Words score by the block they stand in,
 mostly positive; tags score negative. One linear scan finds the contiguous
 region with the highest sum, which is the content. Scripts, forms, menus,
-adverts and reader comments within the region are left out.
+adverts and reader comments within the region are left out, known by their
+element or by words in class, id and role; a header within an ``article`` or
+``main`` stays, as it holds the title.
 
 Weights come from labelled pages: those whose author marked one ``article`` or
 ``main`` element. Each kind of token weighs the logarithm of how much more often
@@ -48,9 +50,10 @@ BLOCKS = frozenset(
 APART = frozenset("aside button dialog footer form header menu nav".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NAMED_APART = re.compile(
-    r"\b(ads?|adverts?|advertisement|advertising|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|"
-    r"masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|recommended|related|replies|"
-    r"respond|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|widget)\b"
+    r"\b(?:ads?|adsby\w*|advert\w*|alert|banner\w*|breadcrumb\w*|comment\w*|complementary|consent\w*|contentinfo|"
+    r"cookie\w*|disqus\w*|footer\w*|gdpr\w*|masthead\w*|menu\w*|modal|nav\w*|newsletter\w*|notice\w*|notification\w*|"
+    r"overlay|pagination|popup\w*|promo\w*|recommend\w*|related\w*|replies|respond|search|share\w*|sharing|sidebar\w*|"
+    r"signup|social\w*|sponsor\w*|subscri\w*|toolbar|widget\w*|(?P<header>header\w*))\b"
 )
 
 TOKEN = re.compile(
@@ -109,18 +112,23 @@ class Page:
                     blocks.pop()  # a paragraph ends where the next block begins
                 blocks.append(name)
                 links = 0
-            if name in APART or self._named_apart(m["more"]):
+            inside = "article" in blocks[:-1] or "main" in blocks[:-1]
+            if self._set_apart(name, m["more"], inside):
                 marks.append(len(self.kinds))
             self._add(f"tag {name}", name)
         self._text(source[last:], blocks, links)
         return marks
 
     @staticmethod
-    def _named_apart(more: str) -> bool:
+    def _set_apart(name: str, more: str, inside: bool) -> bool:
+        """Whether an element is left out; a header within the content is its title."""
+        if name in APART:
+            return not (inside and name == "header")
         if "=" not in more:
             return False
         values = (next(filter(None, v), "") for v in ATTRIBUTE.findall(more))
-        return any(NAMED_APART.search(v.lower().replace("_", "-")) for v in values)
+        found = [m for v in values for m in NAMED_APART.finditer(v.lower().replace("_", "-"))]
+        return any(not (inside and m["header"]) for m in found)
 
     def closing(self) -> dict[int, int]:
         """The end tag of each start tag that has one."""

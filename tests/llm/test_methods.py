@@ -150,6 +150,14 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page, {"word p link": 1.0, "tag p": -0.1}) == text
 
 
+def test_titles_stay_and_comment_lists_go():
+    page = (
+        "<header><p>Site of all sites</p></header><article><header class=entry-header><h1>The title</h1></header><p>Body of "
+        "it all, at length.</p><ol class='commentlist'><li>I say so too, and more of it</ol></article>"
+    )
+    assert html_text.main_text(page, {"word h1": 3.0}) == "The title\nBody of it all, at length."
+
+
 def test_long_pages_take_linear_time():
     page = "<p>" + "word <b>x</b> " * 50_000 + "<div class=ad>" * 2_000 + "<p>so it ends here"
     assert html_text.main_text(page, {}).endswith("x\nso it ends here")

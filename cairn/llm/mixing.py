@@ -42,7 +42,17 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """The frame, written to the shared folder and read back."""
     path = scratch_dir(frame.sparkSession, label)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that nothing will read again."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def stored_as(frame: DataFrame, label: str) -> DataFrame:

@@ -47,7 +47,7 @@ from pyspark.sql import types as T
 
 from cairn.llm.arrow import mapped, raw_texts, slices
 from cairn.llm.components import components
-from cairn.llm.mixing import stored, stored_as
+from cairn.llm.mixing import discard, stored, stored_as
 from cairn.llm.prefix_tree import Member, connect
 from cairn.llm.text import fresh, quoted
 
@@ -287,10 +287,10 @@ def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame
     )
     who = both.where("bucket < 0").select("part", "place", "digest", "size")
     found = who.join(ordered, ["part", "place"]).withColumn("shared", (F.length("hashes") / 8).cast("long"))
-    return stored(
-        found.where(F.col("shared") >= at_least(F.col("size"))).select("digest", "size", "shared", "hashes", "counts"),
-        "join-candidates",
-    )
+    likely_linked = found.where(F.col("shared") >= at_least(F.col("size")))
+    found = stored(likely_linked.select("digest", "size", "shared", "hashes", "counts"), "join-candidates")
+    discard(sets, both)
+    return found
 
 
 def prefixes(candidates: DataFrame) -> DataFrame:
@@ -410,8 +410,9 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> tu
     buckets = 1 + text_bytes(docs) // BUCKET_BYTES
     table = stored(hashed(docs, buckets), "join-hashes")
     found = stored(links(candidate_sets(docs, table, buckets)), "join-found")
+    people = stored(table.where("bucket < 0").select("doc_id", "size", "digest"), "join-people")
+    discard(table)
     roots = components(found).withColumnRenamed("node", "digest")
-    people = table.where("bucket < 0").select("doc_id", "size", "digest")
     own = people.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     own = stored(
         own.join(roots, "digest", "left").where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "digest")),

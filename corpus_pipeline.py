@@ -11,30 +11,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cairn.llm import decontaminate, mixing, ngram_join, quality_rules, training_order
 from cairn.llm.mixing import stored
+from cairn.session import tune
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break no quality rule."""
+    tune(spark)
     return quality_rules.keep_good(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    tune(spark)
     return ngram_join.keep_one(docs)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage of weight."""
+    tune(spark)
     return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    tune(spark)
     return mixing.mixed_rows(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences in training order, written as shards; a row per slot."""
+    tune(spark)
     return training_order.materialise(docs, training_order.shard_folder(docs)).drop("file")
 
 

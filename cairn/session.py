@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     # Split a hot join partition even when that costs one more shuffle later.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Python tasks get few rows at a time: texts are long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -4,8 +4,10 @@ A page is a sequence of words and tags. Words score by the block they stand in,
 mostly positive; tags score negative. One linear scan finds the contiguous
 region with the highest sum, which is the content. Scripts, forms, menus,
 adverts and reader comments within the region are left out, known by their
-element or by words in class, id and role; a header within an ``article`` or
-``main`` stays, as it holds the title.
+element or by whole words of class, id and role out of a closed list; ids of
+headings do not count. A header within an ``article`` or ``main`` stays, as it
+holds the title, and so does any element that holds the page's content
+(``Page._content``). What no list names is left to the scores.
 
 Weights come from labelled pages: those whose author marked one ``article`` or
 ``main`` element. Each kind of token weighs the logarithm of how much more often
@@ -26,7 +28,8 @@ import html
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,11 +52,26 @@ BLOCKS = frozenset(
 )
 APART = frozenset("aside button dialog footer form header menu nav".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NAMED_APART = re.compile(
-    r"\b(?:ads?|adsby\w*|advert\w*|alert|banner\w*|breadcrumb\w*|comment\w*|complementary|consent\w*|contentinfo|"
-    r"cookie\w*|disqus\w*|footer\w*|gdpr\w*|masthead\w*|menu\w*|modal|nav\w*|newsletter\w*|notice\w*|notification\w*|"
-    r"overlay|pagination|popup\w*|promo\w*|recommend\w*|related\w*|replies|respond|search|share\w*|sharing|sidebar\w*|"
-    r"signup|social\w*|sponsor\w*|subscri\w*|toolbar|widget\w*|(?P<header>header\w*))\b"
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# These never wrap the content; other elements are kept if they hold it.
+NEVER_CONTENT = frozenset("button footer menu nav".split())
+# Whole words of class, id and role, with "-" for "_".
+NAMED_HEADER = frozenset("header masthead page-header entry-header post-header article-header site-header".split())
+NAMED_APART = NAMED_HEADER | frozenset(
+    "ad ads ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper adsbygoogle advert adverts advertisement "
+    "advertisements advertising alertdialog banner banner-ad banners breadcrumb breadcrumbs comment comments comment-area "
+    "comment-form comment-list comment-respond comment-section comments-area comments-list comments-section commentlist "
+    "complementary consent consent-banner contentinfo cookie cookies cookie-banner cookie-bar cookie-consent cookie-law "
+    "cookie-notice cookie-policy cookie-popup disqus disqus-thread footer article-footer entry-footer footer-links "
+    "footer-nav footer-widgets page-footer post-footer site-footer gdpr gdpr-banner menu main-menu menu-main menubar "
+    "mobile-menu nav-menu sidebar-menu site-menu modal nav main-nav main-navigation nav-bar nav-links navbar navigation "
+    "page-navigation post-navigation primary-nav primary-navigation secondary-nav site-nav site-navigation sub-nav "
+    "top-nav newsletter newsletter-box newsletter-form newsletter-signup overlay pagination pop-up popup promo promos "
+    "promo-box recommendations recommended related related-articles related-content related-links related-news "
+    "related-posts related-stories replies respond search search-box search-form searchform share share-bar share-buttons "
+    "share-links sharing sharing-buttons sidebar left-sidebar right-sidebar sidebar-left sidebar-right site-sidebar signup "
+    "signup-form social social-buttons social-icons social-links social-media social-share sponsor sponsored sponsors "
+    "subscribe subscribe-box subscribe-form subscription toolbar widget widget-area widgets".split()
 )
 
 TOKEN = re.compile(
@@ -61,7 +79,7 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-z][\w:-]*)(?P<more>(?>[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-z][^>]*>",
     re.I | re.S,
 )
-ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"(?<![\w:-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"\s+")
 
 
@@ -126,9 +144,10 @@ class Page:
             return not (inside and name == "header")
         if "=" not in more:
             return False
-        values = (next(filter(None, v), "") for v in ATTRIBUTE.findall(more))
-        found = [m for v in values for m in NAMED_APART.finditer(v.lower().replace("_", "-"))]
-        return any(not (inside and m["header"]) for m in found)
+        said = ((attribute.lower(), next(filter(None, v), "")) for attribute, *v in ATTRIBUTE.findall(more))
+        values = [v for attribute, v in said if not (attribute == "id" and name in HEADINGS)]
+        found = NAMED_APART.intersection(word for v in values for word in v.lower().replace("_", "-").split())
+        return bool(found - NAMED_HEADER if inside else found)
 
     def closing(self) -> dict[int, int]:
         """The end tag of each start tag that has one."""
@@ -147,18 +166,55 @@ class Page:
         self.apart = [False] * len(self.kinds)
         if not marks:
             return
-        ends, until = self.closing(), 0
+        ends, extents = self.closing(), []
         for i in marks:
-            end = ends.get(i)
-            if self.names[i] in ("body", "html", "main", "article") and end is not None:
+            if self.names[i] in ("body", "html", "main", "article"):
                 continue
+            end = ends.get(i)
             if end is None:
                 rest = range(i + 1, len(self.names))
                 end = next((k - 1 for k in rest if self.names[k].lstrip("/") in BLOCKS), len(self.names) - 1)
+            extents.append((i, end))
+        until, holds = 0, self._content(extents)
+        for i, end in extents:
+            if self.names[i] not in NEVER_CONTENT and holds(i, end):
+                continue
             for k in range(max(i, until), end + 1):
                 self.apart[k] = True
             until = max(until, end + 1)
 
+    def _content(self, extents: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+        """Tells whether the tokens from one to another hold the content.
+
+        They do with the ``main`` element; with the first ``article``, unless it
+        is a teaser or comment beside a title of the page; without both, with
+        all titles; and with most words out of links, unless ``main`` or the
+        first ``article`` stands outside.
+        """
+        places: dict[str, list[int]] = {"main": [], "article": [], "h1": []}
+        for i, name in enumerate(self.names):
+            if name in places:
+                places[name].append(i)
+        marked = (places["main"] or places["article"])[:1]
+        beside = [0] * (len(self.names) + 1)  # how many extents without the marked element begin or end
+        for first, last in extents:
+            if marked and not first <= marked[0] <= last:
+                beside[first] += 1
+                beside[last + 1] -= 1
+        beside = list(accumulate(beside))
+        titles = [i for i in places["h1"] if not beside[i]]
+        prose = list(accumulate((0 if k.endswith(" link") else n for k, n in zip(self.kinds, self.words, strict=True)), initial=0))
+
+        def holds(first: int, last: int) -> bool:
+            if marked and not first <= marked[0] <= last:
+                return False
+            all_titles = not titles or first <= titles[0] and titles[-1] <= last
+            if (marked or titles) and (places["main"] or all_titles):
+                return True
+            return 2 * (prose[last + 1] - prose[first]) > prose[-1]
+
+        return holds
+
     def marked_region(self) -> tuple[int, int] | None:
         """The one element that the page's author marked as content."""
         for name in ("article", "main"):

@@ -158,6 +158,39 @@ def test_titles_stay_and_comment_lists_go():
     assert html_text.main_text(page, {"word h1": 3.0}) == "The title\nBody of it all, at length."
 
 
+@pytest.mark.parametrize(
+    "name",
+    "content has-sidebar|no-sidebar|no-ads|menu-open|related-work|commentary|shareholders|promotion-of-health|"
+    "naval-history|with_share|social-policy|navigable|recommended-by-us|widgetry".split("|"),
+)
+@pytest.mark.parametrize("attribute", ["class", "id"])
+def test_names_that_only_begin_like_furniture_lose_no_text(name, attribute):
+    page = f"<div><p>Before it are words.<section {attribute}='{name}'><p>The words of this part.</section><p>And after it more.</div>"
+    assert html_text.main_text(page, {}) == "Before it are words.\nThe words of this part.\nAnd after it more."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # Named like furniture, yet around the content.
+        ("<div class=sidebar><article><h1>Title</h1><p>All of the words.</article></div>", "Title\nAll of the words."),
+        ("<header><h1>Site</h1></header><div class=widget><article><p>Few.</article></div><p class=x>", "Few."),
+        ("<form class=search><main><p>All of the words.</main></form>", "All of the words."),
+        ("<div class=overlay><h1>Title</h1><p>All of the words.</div>", "Title\nAll of the words."),
+        ("<div id=widget><p>All of the words here.</div><p>Not many.", "All of the words here.\nNot many."),
+        ("<body class='search menu'><p>All of the words.", "All of the words."),
+        ("<p>One and two.<h2 id=comments>On comments</h2><p>Three and a few.", "One and two.\nOn comments\nThree and a few."),
+        ("<p data-class=ad>All of the words.", "All of the words."),
+        # Beside the content.
+        ("<h1>Title</h1><p>It is.<div class='box comments'><article><p>Not so.</article></div>", "Title\nIt is."),
+        ("<p>All of the words.<div class='x site_footer y'><p>Or so.</div>", "All of the words."),
+        ("<article><p>It is.</article><div class=comments><p>One more than it, two more.</div>", "It is."),
+    ],
+)
+def test_content_stays_whatever_its_element_is_named(page, text):
+    assert html_text.main_text(page, {"word h1": 3.0, "word h2": 3.0, "tag p": -0.1}) == text
+
+
 def test_long_pages_take_linear_time():
     page = "<p>" + "word <b>x</b> " * 50_000 + "<div class=ad>" * 2_000 + "<p>so it ends here"
     assert html_text.main_text(page, {}).endswith("x\nso it ends here")

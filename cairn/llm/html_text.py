@@ -16,8 +16,10 @@ it occurs inside than outside. About ``MAX_LABELLED`` labelled pages are used
 shows have the default weights below.
 
 Edge cases: NULL and empty pages, and pages without words, give an empty text.
-Unclosed and crossed tags are tolerated; a script or style without end reaches
-to the end of the page. A page of any length is read whole, in time linear in
+Unclosed and crossed tags are tolerated; a script, style, title or textarea
+without end reaches to the end of the page. Pictures, players, lists to select
+from and the like (``PARTS``) are left out from tag to end tag; without one, or
+closed in itself, such a tag is a tag like others. A page of any length is read whole, in time linear in
 its length. Repeated pages are rows like others, an empty table gives an empty
 result, and new columns whose name is taken get underscores in front.
 """
@@ -44,7 +46,8 @@ WORD_LIMIT, TAG_RANGE = 3.0, (-3.0, -0.1)
 PLAIN_WORD, LINK_WORD, BLOCK_TAG, INLINE_TAG = 1.0, -1.0, -1.0, -0.1
 
 # Element names with a meaning of their own.
-RAW = "script|style|noscript|template|title|textarea|select|svg|iframe|object|audio|video|canvas"
+RAW = "script|style|title|textarea"
+PARTS = frozenset("noscript template select svg iframe object audio video canvas".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot "
@@ -75,14 +78,34 @@ NAMED_APART = NAMED_HEADER | frozenset(
 )
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>]).*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-z][\w:-]*)(?P<more>(?>[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-z][^>]*>",
     re.I | re.S,
 )
 ATTRIBUTE = re.compile(r"(?<![\w:-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+PART = re.compile(rf"</(?:{'|'.join(sorted(PARTS))})[\s>]", re.I)
+SELF_CLOSED = re.compile(r"(?:\A|[\s\"'])/\Z")
 SPACE = re.compile(r"\s+")
 
 
+def parts(source: str) -> dict[int, int]:
+    """First and last character of each element of ``PARTS`` that has its end tag."""
+    if not PART.search(source):
+        return {}
+    opened: dict[str, list[int]] = {name: [] for name in PARTS}
+    found = {}
+    for m in TOKEN.finditer(source):
+        name = (m["name"] or "").lower()
+        if name not in PARTS:
+            continue
+        if not m["end"]:
+            if not SELF_CLOSED.search(m["more"]):
+                opened[name].append(m.start())
+        elif opened[name]:
+            found[opened[name].pop()] = m.end()
+    return found
+
+
 class Page:
     """A page as parallel lists: kind of each token, text, words, and what is left out."""
 
@@ -109,9 +132,14 @@ class Page:
 
     def _read(self, source: str) -> list[int]:
         """Fill the lists; the places of tags that open something to leave out."""
-        marks, blocks, links, last = [], [], 0, 0
+        marks, blocks, links, last, closed = [], [], 0, 0, parts(source)
         for m in TOKEN.finditer(source):
+            if m.start() < last:
+                continue
             self._text(source[last : m.start()], blocks, links)
+            if m.start() in closed:
+                last = closed[m.start()]
+                continue
             last = m.end()
             name = (m["name"] or "").lower()
             if not name:

@@ -191,6 +191,25 @@ def test_content_stays_whatever_its_element_is_named(page, text):
     assert html_text.main_text(page, {"word h1": 3.0, "word h2": 3.0, "tag p": -0.1}) == text
 
 
+@pytest.mark.parametrize(
+    "piece",
+    [
+        *("<svg />", "<svg width='3'/>", "<video-js></video-js>", "<audio-player>", "<template-part />", "<title-bar></title-bar>"),
+        *("<svg>", "<object data=x>", "<audio src='x'>", "<video>", "<canvas>", "<select>", "<iframe src=x>", "<noscript>"),
+        *("<svg/><svg>no</svg>", "<video><video>no</video>", "<SVG><a><svg>no</svg></a></SVG>", "<object><p>no</object>"),
+        *("<script>no</script>", "<style>no<p></style>", "<select><option>no</select >"),
+    ],
+)
+def test_elements_without_end_swallow_nothing(piece):
+    page = f"<p>One and two.{piece}<p>Three, four, five."
+    assert html_text.main_text(page, {"tag svg": -0.1, "tag video": -0.1}) == "One and two.\nThree, four, five."
+
+
+def test_many_elements_without_end_take_linear_time():
+    page = "<p>word" + "<svg><object>" * 100_000 + "<p>so it ends here<svg>no</svg>"
+    assert len(html_text.parts(page)) == 1 and html_text.main_text(page, {"tag svg": 0.0, "tag object": 0.0}).endswith("here")
+
+
 def test_long_pages_take_linear_time():
     page = "<p>" + "word <b>x</b> " * 50_000 + "<div class=ad>" * 2_000 + "<p>so it ends here"
     assert html_text.main_text(page, {}).endswith("x\nso it ends here")

@@ -13,8 +13,9 @@ Features describe form only: shares of character classes and of their
 neighbours, word and line lengths, repeats.
 
 Fitting uses about ``MAX_POSITIVE`` positives and ``MAX_UNLABELLED`` unlabelled
-texts (all, if there are fewer), chosen by a hash of their id. Scoring is one
-pass over all texts without a shuffle.
+rows and never more (all, if there are fewer), chosen by a hash of the row's
+place in the table, so that rows without id or with a frequent one count as
+often as they occur. Scoring is one pass over all texts without a shuffle.
 
 Edge cases: NULL and empty texts have all features 0 and a score like others.
 Texts of any length are read whole. Repeated rows are scored each for itself. A
@@ -166,17 +167,27 @@ def remainder(id_column: Column, divisor: int) -> Column:
     return F.crc32(id_column.cast("string")) % divisor
 
 
-def featured(docs: DataFrame, text: str) -> np.ndarray:
-    """Features of a bounded sample."""
+def sampled(docs: DataFrame, text: str, limit: int, rows: int, ids: DataFrame | None = None) -> np.ndarray:
+    """Features of at most ``limit`` of about ``rows`` rows, by the hashes of their places.
+
+    A row comes in by itself, whatever its id and text, so rows that share them
+    are as frequent in the sample as in the table. ``ids`` bounds the rows to
+    those whose ``id`` is listed.
+    """
+    placed = docs.select(F.col(quoted(text)).alias("t"), "id", F.monotonically_increasing_id().alias("place"))
+    chosen = placed.where(hash_share(F.col("place"), limit / max(1, rows)))
+    if ids is not None:
+        chosen = chosen.join(ids, F.col("id") == F.col("trusted_id"), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, PART_BYTES):
-                rows = features(raw_texts(part.column(0)))
-                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], names=["x"])
+            for part in slices(batch, "t", PART_BYTES):
+                found = [r.tobytes() for r in features(raw_texts(part.column(0)))]
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.binary())], names=["h", "x"])
 
-    rows = docs.select(F.col(quoted(text))).mapInArrow(run, "x binary").collect()
-    return np.array([np.frombuffer(r.x, np.float32) for r in rows]).reshape(len(rows), N_FEATURES)
+    hashed = chosen.select("t", F.xxhash64("place").alias("h")).mapInArrow(run, "h long, x binary")
+    found = hashed.orderBy("h").limit(limit).collect()
+    return np.array([np.frombuffer(r.x, np.float32) for r in found]).reshape(len(found), N_FEATURES)
 
 
 def learn(
@@ -191,15 +202,11 @@ def learn(
 
     ``positives`` has one column of ids.
     """
-    key = F.col(quoted(id_column))
+    docs = docs.select(F.col(quoted(id_column)).alias("id"), F.col(quoted(text)).alias("t"))
     ids = positives.select(F.col(positives.columns[0]).alias("trusted_id")).where("trusted_id is not null").distinct()
-    chosen = ids.where(hash_share(F.col("trusted_id"), max_positive / max(1, ids.count())))
-    trusted = docs.select(key.alias("id"), F.col(quoted(text)).alias("t")).join(
-        chosen, F.col("id") == F.col("trusted_id"), "left_semi"
-    )
-    share = max_unlabelled / max(1, docs.count())
-    open_texts = docs.where(hash_share(key, share)).select(F.col(quoted(text)).alias("t"))
-    p, u = featured(trusted, "t"), featured(open_texts, "t")
+    trusted = docs.select("id").join(ids, F.col("id") == F.col("trusted_id"), "left_semi").count()
+    p = sampled(docs, "t", max_positive, trusted, ids)
+    u = sampled(docs, "t", max_unlabelled, docs.count())
     if not len(p) or not len(u):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.5)
     return fit(p, u, estimated_prior(p, u))

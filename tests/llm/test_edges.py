@@ -183,6 +183,25 @@ def test_quality_model(docs, none, spark):
     assert pu_quality.score(none, pu_quality.learn(docs, trusted))[0].count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_quality_samples_are_bounded_and_fair(spark, monkeypatch, hot):
+    """A third of the rows without id or with one id, and without words."""
+    rows = [(hot, " ") if i % 3 == 0 else (1000 + i, f"word{i} and more") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    trusted = spark.createDataFrame([(r[0],) for r in rows if r[0] == 7 or (r[0] or 1) % 2 == 0], "doc_id long")
+    seen = []
+    monkeypatch.setattr(pu_quality, "estimated_prior", lambda p, u: seen.extend([p, u]) or 0.5)
+    pu_quality.learn(frame, trusted, max_positive=200, max_unlabelled=300)
+    p, u = seen
+    assert 150 <= len(p) <= 200 and 240 <= len(u) <= 300
+
+    def hot_share(x):
+        return (x[:, pu_quality.N_FEATURES - 8] == 0).mean()
+
+    assert abs(hot_share(u) - 1 / 3) < 0.1
+    assert abs(hot_share(p) - (1 / 2 if hot else 0)) < 0.12
+
+
 PAGES = [
     (1, "http://www.Example.com/en/x?y", "<article><p>" + "same words " * 20 + "</article>"),
     (2, "http://b.net/es/", "<article><p>" + "same words " * 20 + "</article>"),

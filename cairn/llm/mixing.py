@@ -96,7 +96,8 @@ def targets(sizes: DataFrame, budgets: Sequence[float], weights: Sequence[float]
     ).withColumn("level", (F.col("budget.b") * F.col("total") - F.col("full_before")) / F.col("weight_left"))
     # The first source that is not full sets the level of all that follow.
     one = Window.partitionBy("budget.k")
-    level = F.min(F.when(F.col("level") < F.col("full_at"), F.struct("full_at", "source", "level"))).over(one)["level"]
+    candidate = F.struct("full_at", F.col("source").isNull().alias("last"), "source", "level")
+    level = F.min(F.when(F.col("level") < F.col("full_at"), candidate)).over(one)["level"]
     return (
         per_budget.withColumn("at", level)
         .select(

@@ -94,6 +94,12 @@ def test_mix(docs, none):
     assert mixing.mixed_rows(none).count() == 0
 
 
+def test_mix_of_sources_full_at_the_same_level(spark):
+    sizes = spark.createDataFrame([("A", 50), (None, 20)], "source string, size long")
+    got = mixing.targets(sizes, [1.5], mixing.WEIGHTS, mixing.MOST_REPEATS).collect()
+    assert {r.source: r.target for r in got} == {"A": 75.0, None: 30.0}
+
+
 def test_decontamination(docs, none, benchmark, monkeypatch):
     want = [plain.contamination(r[1], [("" if i is None else i, t or "") for i, t in BENCHMARK]) for r in ROWS]
     for block in (8 << 20, 10):  # all items at once, or a block for each

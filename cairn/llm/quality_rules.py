@@ -5,6 +5,11 @@ words, lines, repeats) are built-in expressions over the word and line arrays,
 so a text is read once, nothing is shuffled and no user function runs. Windows
 of words are compared by 64-bit hashes within one text.
 
+Stop words are known for English, German, French and Spanish, in any case. Texts
+that the optional language column puts in another language need none. Without
+that column, or where it is NULL or empty, every text needs stop words of these
+languages, and texts in others are rejected.
+
 Edge cases: NULL and empty texts have no words and every measure is 0. A text
 of any length is measured whole. Repeated rows are judged each for itself, an
 empty table gives an empty result, and the input's own columns keep their names
@@ -23,7 +28,8 @@ from cairn.llm.text import fresh, quoted, words
 
 SYMBOLS = r"[#*$%&|<>]"
 
-# Frequent function words of the four languages of the corpus.
+# Frequent function words of the four languages of the corpus, in lower case.
+LANGUAGES = ("en", "de", "fr", "es")
 STOP_WORDS = (
     "the of and to in a is that for it with as was on be by at this are or an from not have but "
     "der die das und ist nicht von zu mit den im ein eine sich auf für dem des als auch "
@@ -37,7 +43,7 @@ class Rule:
     """``measure / per`` must lie within the bounds (both included).
 
     Without ``per`` the measure itself is bounded. A ratio whose divisor is 0
-    counts as 0.
+    counts as 0. A ``listed`` rule holds only for texts in ``LANGUAGES``.
     """
 
     name: str
@@ -45,6 +51,7 @@ class Rule:
     per: str | None = None
     at_least: float | None = None
     at_most: float | None = None
+    listed: bool = False
 
 
 # The production table. ``base`` rules decide on their own in ``base_failed``.
@@ -56,7 +63,7 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", at_least=3, at_most=10),
     Rule("symbols", "n_symbols", "n_words", at_most=0.1),
     Rule("shouting", "n_marks", "n_words", at_most=0.25),
-    Rule("stop_words", "n_stop_words", "n_words", at_least=0.02),
+    Rule("stop_words", "n_stop_words", "n_words", at_least=0.02, listed=True),
     Rule("repeated_lines", "n_dup_lines", "n_lines", at_most=0.35),
 )
 MEASURES = (
@@ -129,7 +136,7 @@ def measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str,
     windows = F.arrays_zip(word.alias("a"), F.slice(word, 2, n).alias("b"), F.slice(word, 3, n).alias("c"))
     hashes = F.transform(F.slice(windows, 1, n - 2), lambda g: F.xxhash64(g["a"], g["b"], g["c"]))
     split = split.withColumn(grams, F.when(n >= 4, hashes))
-    stop = list(dict.fromkeys(STOP_WORDS + [s.capitalize() for s in STOP_WORDS]))
+    stop = list(dict.fromkeys(STOP_WORDS))
     values = {
         "n_words": n,
         "word_chars": F.length(F.array_join(word, "")),
@@ -137,7 +144,7 @@ def measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str,
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": _repeated(F.col(grams)),
         "n_marks": F.length(raw) - F.length(F.replace(raw, F.lit("!"), F.lit(""))),
-        "n_stop_words": F.size(F.filter(word, lambda x: x.isin(stop))),
+        "n_stop_words": F.size(F.filter(word, lambda x: F.lower(x).isin(stop))),
         "n_lines": F.size(lines),
     }
     out = split.select(
@@ -146,13 +153,21 @@ def measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str,
     return out, name
 
 
-def judge(docs: DataFrame, rules=RULES, base=BASE, text: str = "text") -> DataFrame:
-    """Measures and verdict of every row: ``base_failed`` and ``kept``."""
+def judge(docs: DataFrame, rules=RULES, base=BASE, text: str = "text", lang: str | None = None) -> DataFrame:
+    """Measures and verdict of every row: ``base_failed`` and ``kept``.
+
+    ``lang`` names the column with the language code of a text, if there is one.
+    """
     frame, name = measured(docs, text)
     measures = {m: F.col(quoted(c)) for m, c in name.items()}
+    listed = F.lit(True)
+    if lang is not None:
+        code = F.lower(F.substring_index(F.replace(F.trim(F.col(quoted(lang))), F.lit("_"), F.lit("-")), "-", 1))
+        listed = F.coalesce(code.isin(*LANGUAGES, ""), F.lit(True))
 
     def broken(table) -> Column:
-        return reduce(lambda a, b: a | b, (compiled(r, measures) for r in table), F.lit(False))
+        found = (compiled(r, measures) & listed if r.listed else compiled(r, measures) for r in table)
+        return reduce(lambda a, b: a | b, found, F.lit(False))
 
     failed = broken(base)
     return frame.select(
@@ -162,7 +177,7 @@ def judge(docs: DataFrame, rules=RULES, base=BASE, text: str = "text") -> DataFr
     )
 
 
-def keep_good(docs: DataFrame, rules=RULES, base=BASE, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, rules=RULES, base=BASE, text: str = "text", lang: str | None = None) -> DataFrame:
     """The rows that break no rule, with the input's columns."""
-    judged = judge(docs, rules, base, text)
+    judged = judge(docs, rules, base, text, lang)
     return judged.where(F.col(quoted(judged.columns[-1]))).select(*[F.col(quoted(c)) for c in docs.columns])

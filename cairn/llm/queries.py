@@ -64,8 +64,8 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality_rules.judge(docs)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality_rules.judge(docs, lang="lang")
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

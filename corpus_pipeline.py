@@ -17,7 +17,7 @@ from cairn.session import tune
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break no quality rule."""
     tune(spark)
-    return quality_rules.keep_good(docs)
+    return quality_rules.keep_good(docs, lang="lang")
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

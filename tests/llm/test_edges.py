@@ -79,6 +79,14 @@ def test_rules(docs, none):
     assert quality_rules.judge(none).count() == 0
 
 
+def test_stop_words_in_any_case_and_of_known_languages_only(spark):
+    english, foreign = " ".join(f"WORD{i} THE" for i in range(40)), " ".join(f"слово{i}" for i in range(60))
+    rows = [(1, english, "en"), (2, foreign, "ru"), (3, foreign, "en-GB"), (4, foreign, None), (5, "!!! " * 60, "ru")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in quality_rules.keep_good(frame, lang="lang").collect()) == [1, 2]
+    assert [r.doc_id for r in quality_rules.keep_good(frame).collect()] == [1]
+
+
 def test_mix(docs, none):
     got = mixing.mix(docs, budgets=(0.5, 1.5)).collect()
     assert len(got) == len(ROWS)

@@ -9,8 +9,10 @@ no test item has ends a stretch, and a stretch shorter than the shortest window
 cannot hold one, so it is left out.
 
 Test items are the query set. They are read in blocks of ``BLOCK_BYTES`` (a
-longer item is a block of its own); a block is all that the driver and a task
-hold of them at a time. Texts need no shuffle.
+longer item is a block of its own); a block is all that the driver's and a
+task's Python hold of them at a time. All blocks are broadcast: each executor
+keeps them, pickled, and a task reads them in turn for each slice of texts (a
+single block once). Texts need no shuffle.
 
 Edge cases: NULL and empty texts have no words and no hits; items without words
 are ignored; an item with fewer words than a window is one window. Items that
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,6 +159,12 @@ def without(text: bytes, spans: list[list[int]]) -> str:
     return b"".join([*kept, text[last:]]).decode()
 
 
+def release(block: Broadcast) -> None:
+    """Drop a broadcast's value from this process; it is read again from its file if asked for."""
+    if getattr(block, "_path", None) is not None and hasattr(block, "_value"):
+        del block._value
+
+
 def annotate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -184,6 +193,8 @@ def annotate(
                 hit, found = [np.zeros(len(w), bool) for w in texts], [set() for _ in texts]
                 for block in shared:
                     more, items = shard_hits(texts, block.value)
+                    if len(shared) > 1:
+                        release(block)
                     hit = [a | b for a, b in zip(hit, more, strict=True)]
                     found = [a | b for a, b in zip(found, items, strict=True)]
                 spans = [merged(h) for h in hit]

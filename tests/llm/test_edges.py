@@ -124,6 +124,24 @@ def test_decontamination(docs, none, benchmark, monkeypatch):
     assert decontaminate.keep_clean(docs, benchmark.limit(0)).count() == len(ROWS)
 
 
+def test_a_task_holds_one_block_of_items(spark, monkeypatch):
+    """Each search of a block finds no other block's value in its process."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 10)
+    search = decontaminate.shard_hits
+
+    def counted(texts, phrases):
+        import gc
+
+        held = sum(type(o).__name__ == "Phrases" for o in gc.get_objects())
+        return search(texts, phrases)[0], [{str(held)} for _ in texts]
+
+    items = spark.createDataFrame([(i, f"item{i} of them") for i in range(5)], "item_id long, text string")
+    texts = spark.createDataFrame([(1, "item3 of them")], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(decontaminate, "shard_hits", counted)
+    found, name = decontaminate.annotate(texts, items)
+    assert [r[name["items"]] for r in found.collect()] == [["1"]]
+
+
 def test_ngram_join(docs, none):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.component_ids(docs).collect()}
     n = len(plain.shingles(PROSE))

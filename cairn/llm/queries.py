@@ -4,11 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import decontaminate, html_text, interpolation, mixing, ngram_join, pu_quality, quality_rules, training_order, url_filter, warc
+from cairn.llm import (
+    decontaminate,
+    html_text,
+    imatch,
+    interpolation,
+    mixing,
+    ngram_join,
+    periodic_runs,
+    pu_quality,
+    quality_rules,
+    spelling,
+    training_order,
+    url_filter,
+    warc,
+)
+from cairn.llm.mixing import stored
 from cairn.llm.oracles import ORACLES  # noqa: F401
+from cairn.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +132,118 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def with_periods(doc_id: Column, text: Column) -> Column:
+    """The words of a text, joined by spaces; those of every tenth id made periodic from some place on."""
+    found, h = words(text), F.crc32(doc_id.cast("string"))
+    n, g = F.size(found), F.floor(h / 10)
+    at = (g % F.greatest(n, F.lit(1))).cast("int")
+    period = (1 + F.floor((n - at) / (3 + g % 8))).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice(found, at + 1, period), F.ceil((n - at) / period).cast("int")))
+    periodic = F.concat(F.slice(found, F.lit(1), at), F.slice(repeated, F.lit(1), n - at))
+    return F.array_join(F.when((h % 10 == 0) & (n > 0), periodic).otherwise(found), " ")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of them made periodic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_periods(F.col("doc_id"), F.col("text")).alias("text"))
+    found, runs, collapsed = periodic_runs.collapse_runs(docs)
+
+    def strongest_first(a: Column, b: Column) -> Column:
+        """By length over period, then start, then period."""
+        x, y = a["length"] * b["period"], b["length"] * a["period"]
+        order = F.struct(y.alias("r"), a["start"].alias("s"), a["period"].alias("p"))
+        other = F.struct(x.alias("r"), b["start"].alias("s"), b["period"].alias("p"))
+        return F.when(order < other, -1).when(order > other, 1).otherwise(0)
+
+    best = F.get(F.array_sort(runs, strongest_first), F.lit(0))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    chosen = found.select("doc_id", runs, collapsed, best.alias("best"))
+    return chosen.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(collapsed, 256).alias("collapsed_sha256"),
+    )
+
+
+# The share of a text's end that is replaced by the beginning of the next one.
+EDITED = 4
+
+
+def with_edited(docs: DataFrame) -> DataFrame:
+    """``key, doc_id, text, n, next, edited`` of every row of ``doc_id, text``.
+
+    A NULL id is smaller than all others. Of rows that share an id, the one with
+    the smallest beginning gives it to the document before.
+    """
+    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+    texts = docs.select(key.alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.withColumn("n", F.length("text"))
+    taken = F.floor(F.col("n") / EDITED).cast("int")
+    sizes = texts.groupBy("key").agg(F.max(taken).alias("most"))
+    ring = imatch.successors(sizes.select("key"))
+    needed = stored(ring.join(sizes, F.col("id") == F.col("key")).select("id", "next", "most"), "ring-needs")
+    given = texts.select("key", "text").join(needed, F.col("key") == F.col("next"))
+    given = given.select("id", "next", F.expr("substring(text, 1, most)").alias("piece"))
+    given = given.groupBy("id", "next").agg(F.min("piece").alias("piece"))
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n") - taken), F.substring("piece", F.lit(1), taken))
+    return texts.join(given, F.col("key") == F.col("id")).select("key", "doc_id", "text", "n", "next", edited.alias("edited"))
+
+
+def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they and the next one's are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = imatch.lexicon(docs)
+    both = with_edited(docs).select(
+        "key", "doc_id", "next", "n", F.md5(F.col("text").cast("binary")).alias("body"), F.sha2("edited", 256).alias("edited_sha256"),
+        F.inline(F.array(F.struct(F.lit(False).alias("changed"), "text"), F.struct(F.lit(True).alias("changed"), F.col("edited").alias("text")))),
+    )
+    keys = ["key", "doc_id", "next", "n", "body", "edited_sha256", "changed"]
+    prints = imatch.fingerprints(both, known, keys).groupBy(*keys[:-1])
+    found = stored(
+        prints.agg(
+            F.max("copies").alias("copies"),
+            F.max(F.when(~F.col("changed"), F.col("fingerprint"))).alias("fingerprint"),
+            F.max(F.when(F.col("changed"), F.col("fingerprint"))).alias("edited_fingerprint"),
+        ),
+        "imatch-prints",
+    )
+    following = found.groupBy(F.col("key").alias("after")).agg(F.min(F.struct("body", "fingerprint"))["fingerprint"].alias("next_print"))
+    joined = found.join(following, F.col("next") == F.col("after"))
+    return joined.select(
+        "doc_id",
+        F.col("n").cast("long").alias("n_chars"),
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        imatch.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        imatch.likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
+        F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
+    ).drop("copy")
+
+
+# One run in that many, by the hash of id and run, loses a letter.
+MISSPELT = 199
+
+
+def with_misspellings(doc_id: Column, word: Column) -> Column:
+    """A word of a document, some without one of their letters."""
+    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), word))
+    at = (h % F.length(word)).cast("int")
+    without = F.concat(F.substring(word, F.lit(1), at), F.substring(word, at + 2, F.length(word)))
+    return F.when(h % MISSPELT == 0, without).otherwise(word)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with their near words, forms and roots."""
+    runs = table(spark, sf_dir, "documents").select("doc_id", F.explode(spelling.letter_runs(F.col("text"))).alias("run"))
+    return spelling.variants(spelling.vocabulary(runs.select(with_misspellings(F.col("doc_id"), F.col("run")).alias("word"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pu_quality": op2_pu_quality,
@@ -127,4 +255,7 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_imatch": op12_imatch,
+    "op13_spelling_variants": op13_spelling_variants,
 }

@@ -41,7 +41,7 @@ def run(spark, name):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 

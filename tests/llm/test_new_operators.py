@@ -292,8 +292,10 @@ def test_every_point_has_one_cell_and_boxes_prune():
     others = rng.integers(0, 9, (300, spelling.DIMENSIONS)).astype(np.int32)
     cells = [i for _, who in spelling.reached(root, others, 0) for i in who]
     assert sorted(cells) == list(range(300))
-    tight, _ = spelling.tree(points, 20, tight=True)
-    assert sum(len(who) for _, who in spelling.reached(tight, points, 2)) < 500 * len(leaves) / 4
+    words = ["".join(random.Random(i).choices("etaoinshrdlu", range(12, 0, -1), k=8)) for i in range(500)]
+    points = spelling.vectors(words)
+    tight, leaves = spelling.tree(points, spelling.LEAF, tight=True)
+    assert sum(len(who) for _, who in spelling.reached(tight, points, 2)) < 500 * len(leaves) / 2
 
 
 @pytest.mark.parametrize("cell, sample", [(1024, 50_000), (3, 50_000), (3, 40)])

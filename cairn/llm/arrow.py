@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,36 @@ Batches = Iterator[pa.RecordBatch]
 SLICE_BYTES = 8 << 20
 
 
+def give_back() -> None:
+    """Return memory that is free inside the Python process to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The function, giving back its memory when a task ends: workers outlive tasks."""
+
+    def inside(batches: Batches) -> Batches:
+        yield from run(batches)
+        give_back()
+
+    return inside
+
+
+def released_after(run: Callable[[pa.Table], pa.Table], least: int = 1 << 20) -> Callable[[pa.Table], pa.Table]:
+    """The same for a function of a group, after groups of at least that many bytes."""
+
+    def inside(group: pa.Table) -> pa.Table:
+        found = run(group)
+        if group.nbytes >= least:
+            give_back()
+        return found
+
+    return inside
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; NULL counts as empty."""
     return [b"" if v is None else v for v in column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()]

@@ -35,7 +35,7 @@ Only id and text are used, so extra columns cannot clash.
 from __future__ import annotations
 
 import hashlib
-import uuid
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,15 +45,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.llm.arrow import mapped, raw_texts, slices
+from cairn.llm.arrow import mapped, raw_texts, released, released_after, slices
 from cairn.llm.components import components
 from cairn.llm.mixing import discard, stored, stored_as
 from cairn.llm.prefix_tree import Member, connect
 from cairn.llm.text import fresh, quoted
 
 SHINGLE = 5
-# Text whose hashes one bucket holds, and text hashed at once in a task.
-BUCKET_BYTES, PART_BYTES = 16 << 20, 2 << 20
+# Text whose hashes one bucket holds, text hashed at once in a task, and hashes dealt at once.
+BUCKET_BYTES, PART_BYTES, DEALT = 8 << 20, 2 << 20, 1 << 20
 CHUNK, BRIDGES = 64, 4
 WORD_MEMORY = 1 << 18
 
@@ -88,6 +88,11 @@ def shingles(text: bytes, known: WordHashes) -> np.ndarray:
     return np.unique(runs)
 
 
+def new_part() -> int:
+    """A name for what is dealt together."""
+    return random.SystemRandom().getrandbits(63)
+
+
 def digest(hashes: np.ndarray) -> str:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).hexdigest()
 
@@ -121,7 +126,7 @@ def frequencies(keys: np.ndarray) -> np.ndarray:
     return counts[place]
 
 
-RAW = "bucket int, part string, place int, doc_id long, size long, digest string, hashes binary, owners binary"
+RAW = "bucket int, part long, place int, doc_id long, size long, digest string, hashes binary, owners binary"
 
 
 def hashed(docs: DataFrame, buckets: int) -> DataFrame:
@@ -133,17 +138,30 @@ def hashed(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
+        sets, ids = [], []
+
+        def packed() -> pa.RecordBatch:
+            names, name = [digest(s) if len(s) else None for s in sets], new_part()
+            rows = [(-1, name, i, ids[i], len(s), names[i], None, None) for i, s in enumerate(sets)]
+            rows += [(b, name, None, None, None, None, k, o) for b, k, o in dealt(sets, buckets, False)]
+            sets.clear()
+            ids.clear()
+            return _batch(rows, RAW)
+
+        size = 0
         for batch in batches:
             for part in slices(batch, "text", PART_BYTES):
-                sets = [shingles(t, known) for t in raw_texts(part.column("text"))]
-                ids = part.column("doc_id").to_pylist()
-                names = [digest(s) if len(s) else None for s in sets]
-                name = uuid.uuid4().hex
-                rows = [(-1, name, i, ids[i], len(s), names[i], None, None) for i, s in enumerate(sets)]
-                rows += [(b, name, None, None, None, None, k, o) for b, k, o in dealt(sets, buckets, False)]
-                yield _batch(rows, RAW)
+                new = [shingles(t, known) for t in raw_texts(part.column("text"))]
+                sets.extend(new)
+                ids.extend(part.column("doc_id").to_pylist())
+                size += sum(map(len, new))
+                if size >= DEALT:
+                    size = 0
+                    yield packed()
+        if sets:
+            yield packed()
 
-    return docs.mapInArrow(run, RAW)
+    return docs.mapInArrow(released(run), RAW)
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -157,7 +175,7 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.Table.from_batches([_batch(rows, schema)])
 
 
-ANSWER = "part string, owners binary, hashes binary, counts binary"
+ANSWER = "part long, owners binary, hashes binary, counts binary"
 
 
 def _shared_in_bucket(whole: bool):
@@ -189,7 +207,7 @@ def _shared_per_document(group: pa.Table) -> pa.Table:
     who = np.concatenate([np.frombuffer(x, np.int32) for x in group.column("owners").to_pylist()])
     many = np.concatenate([np.frombuffer(x, np.int32) for x in group.column("counts").to_pylist()])
     total = np.bincount(who, weights=many)
-    return _table([(part, int(i), int(total[i])) for i in np.flatnonzero(total)], "part string, place int, shared long")
+    return _table([(part, int(i), int(total[i])) for i in np.flatnonzero(total)], "part long, place int, shared long")
 
 
 def _ordered_per_document(group: pa.Table) -> pa.Table:
@@ -206,34 +224,47 @@ def _ordered_per_document(group: pa.Table) -> pa.Table:
     rows = [
         (part, int(owner[s]), hashes[s:e].tobytes(), counts[s:e].tobytes()) for s, e in zip(starts, ends, strict=True)
     ]
-    return _table(rows, "part string, place int, hashes binary, counts binary")
+    return _table(rows, "part long, place int, hashes binary, counts binary")
 
 
 # Sets dealt at once, and the columns of the table they are dealt through.
 PACKED_SETS = 1000
-PACKED = "bucket int, part string, hashes binary, owners binary, place int, digest string, size long"
+PACKED = "bucket int, part long, hashes binary, owners binary, place int, digest string, size long"
 
 
-# Bits of the filters on ids and digests: what is broadcast never exceeds a
-# megabyte. A fuller filter lets more rows through, which an exact join on the
-# digests then sorts out.
-FILTER_BITS = 1 << 23
+# A filter has this many bits for each value, and never more than these in all:
+# 16 MB. A fuller filter lets more rows through, which an exact join then sorts out.
+VALUE_BITS, MOST_BITS = 16, 1 << 27
+# What Spark's bitmap functions keep in one value.
+BITMAP = 1 << 15
 
 
-def filter_place(column: str) -> Column:
+def filter_size(values: int) -> int:
+    """Bits of a filter for that many values: a power of two."""
+    return max(BITMAP, min(MOST_BITS, 1 << (VALUE_BITS * values).bit_length()))
+
+
+def filter_place(value: Column | str, bits: int) -> Column:
     """The filter bit of a value; all NULLs share one."""
-    return F.pmod(F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(FILTER_BITS))
+    value = F.col(value) if isinstance(value, str) else value
+    return F.pmod(F.xxhash64(F.coalesce(value.cast("string"), F.lit(""))), F.lit(bits))
+
+
+def bitmaps(frame: DataFrame, column: str, bits: int) -> DataFrame:
+    """The filter of all values of a column: ``bucket`` and the bitmap of its ``BITMAP`` bits."""
+    place = frame.select(filter_place(column, bits).alias("p"))
+    return place.groupBy(F.floor(F.col("p") / BITMAP).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("p") % BITMAP).alias("bitmap")
+    )
 
 
-def bit_filter(frame: DataFrame, column: str) -> np.ndarray:
-    """The bits of all values of a column, merged by Spark byte by byte."""
-    place = frame.select(filter_place(column).alias("p"))
-    bit = F.call_function("shiftleft", F.lit(1), (F.col("p") % 8).cast("int"))
-    merged = place.groupBy(F.shiftright("p", 3).alias("byte")).agg(F.bit_or(bit).alias("value"))
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for at, value in merged.toLocalIterator():
-        bits[at] = value
-    return bits
+def bit_filter(frame: DataFrame, column: str, bits: int) -> np.ndarray:
+    """The filter as bytes; the driver gets a row for each 4 KB."""
+    out = np.zeros(bits // 8, np.uint8)
+    width = BITMAP // 8
+    for bucket, bitmap in bitmaps(frame, column, bits).toLocalIterator():
+        out[bucket * width : (bucket + 1) * width] = np.frombuffer(bitmap, np.uint8)
+    return out
 
 
 # --- candidates -----------------------------------------------------------------------------------------------------
@@ -245,16 +276,17 @@ def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame
     shared = (
         table.where("bucket >= 0")
         .groupBy("bucket")
-        .applyInArrow(_shared_in_bucket(False), ANSWER)
+        .applyInArrow(released_after(_shared_in_bucket(False)), ANSWER)
         .groupBy("part")
-        .applyInArrow(_shared_per_document, "part string, place int, shared long")
+        .applyInArrow(released_after(_shared_per_document), "part long, place int, shared long")
     )
     likely = people.join(shared, ["part", "place"]).where(F.col("shared") >= at_least(F.col("size")))
     # One row per set and one document to take its text from; copies alone are no candidates.
     likely = stored(likely.groupBy("digest").agg(F.min("doc_id").alias("id")), "join-likely")
     digests = likely.select("digest")
-    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(likely, "id"))
-    texts = docs.select("doc_id", "text", filter_place("doc_id").alias("place"))
+    size = filter_size(likely.count())
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(likely, "id", size))
+    texts = docs.select("doc_id", "text", filter_place("doc_id", size).alias("place"))
     schema = "digest string, size long, set binary"
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,24 +298,24 @@ def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame
                 sets = [shingles(t, known) for t in raw_texts(part.column("text"))]
                 yield _batch([(digest(s), len(s), s.tobytes()) for s in sets if len(s)], schema)
 
-    sets = texts.mapInArrow(rebuild, schema).join(digests, "digest", "left_semi").groupBy("digest")
+    sets = texts.mapInArrow(released(rebuild), schema).join(digests, "digest", "left_semi").groupBy("digest")
     sets = stored(sets.agg(F.first("size").alias("size"), F.first("set").alias("set")), "join-sets")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, PACKED_SETS):
                 rows = batch.slice(start, PACKED_SETS).to_pylist()
-                part = uuid.uuid4().hex
+                part = new_part()
                 found = [np.frombuffer(r["set"], np.uint64) for r in rows]
                 out = [(-1, part, None, None, i, r["digest"], r["size"]) for i, r in enumerate(rows)]
                 out += [(b, part, k, o, None, None, None) for b, k, o in dealt(found, buckets, True)]
                 yield _batch(out, PACKED)
 
     # Written once, so that both kinds of rows name the same parts.
-    both = stored(sets.mapInArrow(pack, PACKED), "join-packed")
-    answers = both.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_in_bucket(True), ANSWER)
+    both = stored(sets.mapInArrow(released(pack), PACKED), "join-packed")
+    answers = both.where("bucket >= 0").groupBy("bucket").applyInArrow(released_after(_shared_in_bucket(True)), ANSWER)
     ordered = answers.groupBy("part").applyInArrow(
-        _ordered_per_document, "part string, place int, hashes binary, counts binary"
+        released_after(_ordered_per_document), "part long, place int, hashes binary, counts binary"
     )
     who = both.where("bucket < 0").select("part", "place", "digest", "size")
     found = who.join(ordered, ["part", "place"]).withColumn("shared", (F.length("hashes") / 8).cast("long"))
@@ -355,7 +387,7 @@ def links(candidates: DataFrame) -> DataFrame:
         groups.join(sets, "digest")
         .withColumn("root", F.lit(None).cast("string"))
         .groupBy("block", "chunk")
-        .applyInArrow(_search, "a string, b string"),
+        .applyInArrow(released_after(_search), "a string, b string"),
         "join-links",
     )
     return found.union(_remaining(tokens, placed, sets, found))
@@ -389,7 +421,7 @@ def _remaining(tokens: DataFrame, placed: DataFrame, sets: DataFrame, found: Dat
         .distinct()
         .join(sets, "digest")
         .groupBy("block", "x", "y")
-        .applyInArrow(_search, "a string, b string")
+        .applyInArrow(released_after(_search), "a string, b string")
     )
 
 
@@ -438,13 +470,34 @@ def component_ids(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, the one with the smallest id, and all rows without words.
 
-    A bounded filter of the classes' digests tells most rows apart that are
-    alone; only the others are written, and joined with the classes.
+    A bounded filter of the ids of rows that may go tells the other rows apart,
+    which pass as they are. Only texts of listed ids are hashed again, and
+    joined with what was decided on id and digest.
     """
-    _, classes = joined(docs, id_column, text)
-    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(classes, "digest"))
-    name = fresh("cairn_digest", docs.columns)
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())])
+    people, classes = joined(docs, id_column, text)
+    rows = people.join(classes, "digest").groupBy("doc_id", "digest")
+    fate = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.first((F.col("digest") == F.col("keeper")) & F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("keeper"),
+    )
+    # A keeper that comes once stays like any other row.
+    fate = stored(fate.where("n > 1 or not keeper"), "join-fate")
+    size = filter_size(fate.count())
+    taken = list(docs.columns)
+    names = {}
+    for name in ("digest", "place", "bucket", "bitmap", "fate_id", "fate_digest", "fate_n", "fate_keeper"):
+        names[name] = fresh(f"cairn_{name}", taken)
+        taken.append(names[name])
+    own = [F.col(quoted(c)) for c in docs.columns]
+    listed = bitmaps(fate, "doc_id", size).toDF(names["bucket"], names["bitmap"])
+    long_id = F.col(quoted(id_column)).cast("long")
+    placed = docs.withColumn(names["place"], filter_place(long_id, size))
+    placed = placed.join(F.broadcast(listed), F.floor(F.col(names["place"]) / BITMAP) == F.col(names["bucket"]), "left")
+    at = F.col(names["place"]) % BITMAP
+    byte = F.conv(F.hex(F.substring(names["bitmap"], F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.call_function("getbit", byte, (at % 8).cast("int")) == 1, F.lit(False))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(names["digest"], T.StringType())])
     text_place = docs.columns.index(text)
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -452,32 +505,14 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
         for batch in batches:
             for part in slices(batch, text, PART_BYTES):
                 sets = [shingles(t, known) for t in raw_texts(part.column(text_place))]
-                names = [digest(s) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string())], names=schema.names)
-
-    place = fresh("cairn_place", [*docs.columns, name])
-    tagged = mapped(docs, tag, schema).withColumn(place, filter_place(quoted(name)))
-    fields = [*schema.fields, T.StructField(place, T.LongType())]
-
-    def pick(listed: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = batch.column(batch.num_columns - 1).to_numpy()
-                hit = bits.value[at >> 3] >> (at & 7) & 1 == 1
-                yield batch.filter(pa.array(hit == listed))
-
-        return mapped(tagged, run, T.StructType(fields))
-
-    own = [F.col(quoted(c)) for c in docs.columns]
-    digest_column = F.col(quoted(name))
-    maybe = stored_as(pick(True), "join-maybe")
-    prefix = fresh("cairn_class", [*docs.columns, name, place])
-    shown = classes.toDF(*[f"{prefix}_{c}" for c in classes.columns])
-    same_digest = digest_column == F.col(quoted(f"{prefix}_digest"))
-    missed = maybe.join(shown, same_digest, "left_anti")
-    keepers = maybe.join(shown, same_digest).where(
-        (digest_column == F.col(quoted(f"{prefix}_keeper")))
-        & F.col(quoted(id_column)).cast("long").eqNullSafe(F.col(quoted(f"{prefix}_component_id")))
-    )
-    once = keepers.dropDuplicates([name])
-    return pick(False).select(*own).union(missed.select(*own)).union(once.select(*own))
+                found = [digest(s) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], names=schema.names)
+
+    tagged = mapped(placed.where(hit).select(*own), released(tag), schema)
+    shown = fate.select(*[F.col(c).alias(names[f"fate_{c.removeprefix('doc_')}"]) for c in ("doc_id", "digest", "n", "keeper")])
+    same = (F.col(names["digest"]) == F.col(names["fate_digest"])) & long_id.eqNullSafe(F.col(names["fate_id"]))
+    decided = tagged.join(shown, same, "left")
+    unknown = F.col(names["fate_digest"]).isNull()
+    stay = stored_as(decided.where(unknown | F.col(names["fate_keeper"])), "join-stay")
+    once = stay.where(~unknown).dropDuplicates([names["digest"]])
+    return placed.where(~hit).select(*own).union(stay.where(unknown).select(*own)).union(once.select(*own))

@@ -11,16 +11,16 @@
    whose numbers of terms differ by up to eight times. Of long texts the first
    ``SUBSETS`` parts are enough.
 3. Fingerprint. The sorted distinct terms that a part keeps are hashed. The
-   fingerprint lists, per level, one hash for each part, and ``-`` for parts
-   without a term.
+   fingerprint lists, per level, 24 bits of the hash of each part, and nothing
+   for parts without a term.
 4. Likeness of two fingerprints: of the parts that either text has terms in, on
    the levels that both have, the share with equal hashes. A text that changes
    keeps the hashes of all parts that none of the changed terms belongs to.
 
 All steps are built-in expressions. Terms are joined with the lexicon as rows
 and gathered again by the row's own key; if the rows are already dealt by it,
-that needs no shuffle. Spark broadcasts the lexicon below its size threshold and
-else joins by sort-merge.
+that needs no shuffle. A lexicon of up to ``BROADCAST_TERMS`` terms is broadcast,
+a larger one joined by sort-merge.
 
 Edge cases: NULL counts as empty text. A text without a term of the lexicon gets
 the hash of its whole text, which only equal texts share. Equal texts have equal
@@ -43,9 +43,11 @@ from cairn.llm.text import quoted
 TERM = r"[\p{L}\p{M}\p{N}]+"
 # Shares of all texts that a term of the lexicon may occur in.
 LEAST, MOST = 1e-4, 0.05
-SUBSETS, LEVELS = 32, 4
+SUBSETS, LEVELS = 24, 4
 # A row that every text has besides its terms, so that none is lost.
 TEXT = -1
+# Terms that are broadcast: 16 MB of hashes. A larger lexicon is joined by sort-merge.
+BROADCAST_TERMS = 1 << 21
 # Ids that one task orders.
 ORDERED = 50_000
 
@@ -61,25 +63,35 @@ def lexicon(docs: DataFrame, text: str = "text", least: float = LEAST, most: flo
     texts = docs.select(F.col(quoted(text)).alias("text"))
     n = texts.count()
     low, high = max(2, -(-n * least // 1)), max(2, n * most)
-    found = texts.select(F.explode(terms(F.col("text"))).alias("word")).groupBy(F.xxhash64("word").alias("term"))
+    # An outer explode: Spark would make the terms twice to leave out texts without any.
+    words = texts.select(F.explode_outer(terms(F.col("text"))).alias("word")).where("word is not null")
+    found = words.groupBy(F.xxhash64("word").alias("term"))
     return stored(found.agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(low, high)).select("term"), "imatch-lexicon")
 
 
-def subset_hashes(held: Column, level: Column) -> Column:
-    """The hash of the terms of each part at a level, as text."""
-    parts = F.call_function("shiftleft", F.lit(1).cast("long"), level.cast("int"))
-    first = F.least(parts, F.lit(SUBSETS).cast("long"))
-    # The part comes from other bits than the order.
-    part = lambda term: F.pmod(F.xxhash64(term, F.lit(7)), parts)
-    few = F.filter(held, lambda term: part(term) < first)
-    placed = F.transform(few, lambda term: F.struct(part(term).alias("part"), term.alias("term")))
+# The hash of no terms.
+NOTHING = 42
 
-    def one(k: Column) -> Column:
-        own = F.filter(placed, lambda x: x["part"] == k)
-        digest = F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(own["term"]), 32))), 8, "0")
-        return F.when(F.size(own) == 0, F.lit("-")).otherwise(digest)
 
-    return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), first - 1), one), ",")
+def parts_of(level: Column) -> Column:
+    """Into how many parts the lexicon is cut at a level."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), level.cast("int"))
+
+
+def in_first_parts(drawn: Column, level: Column) -> Column:
+    """The terms that belong to a part that is looked at; they are among those of the level before."""
+    few = F.least(parts_of(level), F.lit(SUBSETS).cast("long"))
+    return F.filter(drawn, lambda x: F.pmod(x["draw"], parts_of(level)) < few)
+
+
+def subset_hashes(drawn: Column, level: Column) -> Column:
+    """The hash of the sorted terms of each part at a level, as text."""
+    parts = parts_of(level)
+    last = F.least(parts, F.lit(SUBSETS).cast("long")) - 1
+    own = lambda k: F.filter(drawn, lambda x: F.pmod(x["draw"], parts) == k)
+    hashes = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda k: F.xxhash64(own(k)["term"]))
+    shown = lambda h: F.substring(F.base64(F.unhex(F.lpad(F.hex(h), 16, "0"))), 1, 4)
+    return F.array_join(F.transform(hashes, lambda h: F.when(h == NOTHING, F.lit("")).otherwise(shown(h))), ",")
 
 
 def fingerprints(texts: DataFrame, known: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
@@ -91,20 +103,29 @@ def fingerprints(texts: DataFrame, known: DataFrame, keys: Sequence[str], text:
     own = [F.col(quoted(k)).alias(f"k{i}") for i, k in enumerate(keys)]
     by = [f"k{i}" for i in range(len(keys))]
     content = F.coalesce(F.col(quoted(text)), F.lit(""))
-    rows = texts.select(*own, F.md5(content.cast("binary")).alias("body"), F.explode(F.array_append(terms(content), F.lit(None))).alias("word"))
+    # What is exploded is made first: beside an explode, it would be made for each of its rows.
+    whole = texts.select(*own, F.md5(content.cast("binary")).alias("body"), F.array_append(terms(content), F.lit(None)).alias("words"))
+    rows = whole.select(*by, "body", F.explode_outer("words").alias("word"))
     hashed = rows.select(*by, "body", F.when(F.col("word").isNull(), F.lit(TEXT)).otherwise(F.xxhash64("word")).alias("term"))
+    small = known.count() <= BROADCAST_TERMS
     wanted = known.union(known.sparkSession.range(1).select(F.lit(TEXT).cast("long")))
-    kept = hashed.join(wanted, "term", "left_semi").groupBy(*by, "body")
+    kept = hashed.join(F.broadcast(wanted) if small else wanted, "term", "left_semi").groupBy(*by, "body")
     gathered = kept.agg(
         F.sum((F.col("term") == TEXT).cast("long")).alias("copies"),
         F.array_sort(F.collect_set(F.when(F.col("term") != TEXT, F.col("term")))).alias("held"),
     )
     n = F.size("held")
-    levelled = gathered.withColumn("level", F.floor(F.log2(F.greatest(n, F.lit(1)))))
-    finer = [F.col("level") + i for i in range(LEVELS)]
-    levels = [F.concat(level.cast("string"), F.lit(":"), subset_hashes(F.col("held"), level)) for level in finer]
-    found = F.when(n == 0, F.concat(F.lit("text:"), F.col("body"))).otherwise(F.concat_ws("|", *levels))
-    return levelled.select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], "copies", found.alias("fingerprint"))
+    level = F.floor(F.log2(F.greatest(n, F.lit(1)))).alias("level")
+    # A term's part comes from other bits than its place in the order.
+    drawn = F.transform("held", lambda term: F.struct(F.xxhash64(term, F.lit(7)).alias("draw"), term.alias("term")))
+    found = gathered.select("*", n.alias("n"), level, drawn.alias("drawn"))
+    # Columns of their own, so that each is made once.
+    for i in range(LEVELS):
+        found = found.withColumn("drawn", in_first_parts(F.col("drawn"), F.col("level") + i))
+        found = found.withColumn(f"level{i}", subset_hashes(F.col("drawn"), F.col("level") + i))
+    levels = [F.concat((F.col("level") + i).cast("string"), F.lit(":"), F.col(f"level{i}")) for i in range(LEVELS)]
+    print_ = F.when(F.col("n") == 0, F.concat(F.lit("text:"), F.col("body"))).otherwise(F.concat_ws("|", *levels))
+    return found.select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], "copies", print_.alias("fingerprint"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -116,7 +137,7 @@ def likeness(a: Column, b: Column) -> Column:
         return F.map_from_entries(F.transform(levels, lambda x: F.struct(x[0], F.split(x[1], ","))))
 
     def counted(x: Column, y: Column) -> Column:
-        pairs = F.zip_with(x, y, lambda p, q: F.when((p == "-") & (q == "-"), None).otherwise((p == q).cast("int")))
+        pairs = F.zip_with(x, y, lambda p, q: F.when((p == "") & (q == ""), None).otherwise((p == q).cast("int")))
         return F.filter(pairs, lambda hit: hit.isNotNull())
 
     x, y = hashes(a), hashes(b)

@@ -172,36 +172,39 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The share of a text's end that is replaced by the beginning of the next one.
 EDITED = 4
+NO_ID = -(2**63)
 
 
 def with_edited(docs: DataFrame) -> DataFrame:
     """``key, doc_id, text, n, next, edited`` of every row of ``doc_id, text``.
 
     A NULL id is smaller than all others. Of rows that share an id, the one with
-    the smallest beginning gives it to the document before.
+    the smallest beginning gives it to the document before. Texts are dealt by
+    id once, for giving and for taking.
     """
-    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
-    texts = docs.select(key.alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("n", F.length("text"))
-    taken = F.floor(F.col("n") / EDITED).cast("int")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    taken = F.floor(F.length("text") / EDITED).cast("int")
     sizes = texts.groupBy("key").agg(F.max(taken).alias("most"))
     ring = imatch.successors(sizes.select("key"))
-    needed = stored(ring.join(sizes, F.col("id") == F.col("key")).select("id", "next", "most"), "ring-needs")
-    given = texts.select("key", "text").join(needed, F.col("key") == F.col("next"))
-    given = given.select("id", "next", F.expr("substring(text, 1, most)").alias("piece"))
-    given = given.groupBy("id", "next").agg(F.min("piece").alias("piece"))
-    edited = F.concat(F.substring("text", F.lit(1), F.col("n") - taken), F.substring("piece", F.lit(1), taken))
-    return texts.join(given, F.col("key") == F.col("id")).select("key", "doc_id", "text", "n", "next", edited.alias("edited"))
+    ring = stored(ring.join(sizes, F.col("id") == F.col("key")).select("id", "next", "most"), "ring-needs")
+    before = ring.select(F.col("id").alias("before"), F.col("next").alias("own"), "most")
+    given = texts.join(before, F.col("key") == F.col("own")).select("before", F.expr("substring(text, 1, most)").alias("piece"))
+    given = given.groupBy("before").agg(F.min("piece").alias("piece"))
+    joined = texts.join(ring.select("id", "next"), F.col("key") == F.col("id")).join(given, F.col("key") == F.col("before"))
+    n = F.length("text")
+    edited = F.concat(F.substring("text", F.lit(1), n - taken), F.substring("piece", F.lit(1), taken))
+    doc_id = F.nullif(F.col("key"), F.lit(NO_ID)).alias("doc_id")
+    return joined.select("key", doc_id, "text", n.alias("n"), "next", edited.alias("edited"))
 
 
 def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and how alike they and the next one's are."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = imatch.lexicon(docs)
-    both = with_edited(docs).select(
-        "key", "doc_id", "next", "n", F.md5(F.col("text").cast("binary")).alias("body"), F.sha2("edited", 256).alias("edited_sha256"),
-        F.inline(F.array(F.struct(F.lit(False).alias("changed"), "text"), F.struct(F.lit(True).alias("changed"), F.col("edited").alias("text")))),
-    )
+    hashes = F.md5(F.col("text").cast("binary")).alias("body"), F.sha2("edited", 256).alias("edited_sha256")
+    texts = [F.struct(F.lit(i == 1).alias("changed"), F.col(c).alias("text")) for i, c in enumerate(("text", "edited"))]
+    both = with_edited(docs).select("key", "doc_id", "next", "n", *hashes, F.array(*texts).alias("texts"))
+    both = both.select(*both.columns[:-1], F.inline_outer("texts"))
     keys = ["key", "doc_id", "next", "n", "body", "edited_sha256", "changed"]
     prints = imatch.fingerprints(both, known, keys).groupBy(*keys[:-1])
     found = stored(
@@ -240,7 +243,7 @@ def with_misspellings(doc_id: Column, word: Column) -> Column:
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent words of all documents with their near words, forms and roots."""
-    runs = table(spark, sf_dir, "documents").select("doc_id", F.explode(spelling.letter_runs(F.col("text"))).alias("run"))
+    runs = table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(spelling.letter_runs(F.col("text"))).alias("run"))
     return spelling.variants(spelling.vocabulary(runs.select(with_misspellings(F.col("doc_id"), F.col("run")).alias("word"))))
 
 

@@ -4,14 +4,16 @@
    words of at least ``MIN_CHARS`` code points and ``MIN_COUNT`` occurrences stay.
 2. Letter counts. A word becomes a vector: how often each letter a-z occurs, and
    in ``OTHERS`` more places the other letters by their code point. An inserted
-   or deleted letter changes it by 1 in the L1 norm, a replaced one by 0 or 2,
-   so near words lie within 1 (lengths l and l + 1) or 2 (equal lengths).
+   letter adds 1 to one count, a replaced one moves 1 from a count to another or
+   to itself: L1 distance 1 (lengths l and l + 1) or at most 2 (equal lengths),
+   at most 1 of it upwards and at most 1 downwards.
 3. K-d trees. For each length a tree cuts the vectors at medians of the widest
    coordinate into boxes. Its upper levels, the cells, are fitted to a bounded
    sample of words; every word then goes to the cell whose box holds it, and
-   asks in all cells whose box, by its distance, may hold a near word. A task
-   builds the rest of the tree over all words of one cell, sends all that ask
-   there down at once, and leaves a box that is too far away from a word.
+   asks in all cells whose box may hold a near word. Of two cells, the words of
+   the first ask in the second. A task builds the rest of the tree over all words
+   of one cell, sends all that ask there down at once, and leaves a box that is
+   too far up or down from a word.
 4. Letter order. What the leaves let through is compared letter by letter: at
    most one place differs, or beginning and end in common cover the shorter word.
    Equal lengths are searched for pairs once; the pairs are then turned round.
@@ -49,8 +51,10 @@ OTHERS = 6
 DIMENSIONS = 26 + OTHERS
 # Words of a cell, aimed at; words of the sample that cells are cut by; words of a leaf.
 CELL, SAMPLE, LEAF = 1024, 50_000, 12
-# Bytes of letter comparisons at once in a task.
-COMPARED = 1 << 22
+# Bytes of letter counts that are compared at once in a task.
+COMPARED = 1 << 21
+# Larger counts are taken for this one, which brings no two words further apart.
+MOST_ALIKE = 120
 # A path of forms multiplies its count by RATIO at each step: 2**5 steps pass any 64-bit count.
 DOUBLINGS = 5
 
@@ -70,7 +74,7 @@ def letter_runs(text: Column, least: int = MIN_CHARS) -> Column:
 
 def vocabulary(words: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MIN_COUNT) -> DataFrame:
     """``word`` and ``n`` of the words that are long and frequent enough."""
-    (column,) = words.columns
+    (column,) = words.columns  # NULLs are no words
     counted = words.select(F.col(quoted(column)).alias("word")).where(F.length("word") >= min_chars)
     return counted.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
@@ -84,13 +88,13 @@ def codes(words: list[str]) -> np.ndarray:
 
 
 def vectors(words: list[str]) -> np.ndarray:
-    """Letter counts of words of one length, a row each."""
+    """Letter counts of words of one length, a row of small numbers each."""
     c = codes(words).astype(np.int64)
     plain = (c >= 97) & (c <= 122)
     place = np.where(plain, c - 97, 26 + c % OTHERS)
-    out = np.zeros((len(words), DIMENSIONS), np.int32)
-    np.add.at(out, (np.arange(len(words))[:, None], place), 1)
-    return out
+    flat = (np.arange(len(words))[:, None] * DIMENSIONS + place).ravel()
+    counts = np.bincount(flat, minlength=len(words) * DIMENSIONS)
+    return np.minimum(counts, MOST_ALIKE).astype(np.int8).reshape(len(words), DIMENSIONS)
 
 
 def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -120,19 +124,14 @@ class Box:
 
 def split(points: np.ndarray) -> tuple[int, int] | None:
     """Dimension and value that halve the points best, among the widest; None if all are equal."""
-    spread = points.max(0) - points.min(0)
-    if not spread.any():
+    if not len(points):
         return None
     best = None
     for d in np.argsort(-(points.var(0)), kind="stable")[:4]:
-        if not spread[d]:
-            continue
-        values, counts = np.unique(points[:, d], return_counts=True)
-        below = np.cumsum(counts)[:-1]
-        at = int(np.argmin(np.abs(2 * below - len(points))))
-        off = abs(2 * int(below[at]) - len(points))
-        if best is None or off < best[0]:
-            best = (off, int(d), int(values[at]))
+        below = np.cumsum(np.bincount(points[:, d]))[:-1]
+        below = np.where((below > 0) & (below < len(points)), np.abs(2 * below - len(points)), len(points))
+        if len(below) and (off := int(below.min())) < len(points) and (best is None or off < best[0]):
+            best = (off, int(d), int(below.argmin()))
     return best[1:] if best else None
 
 
@@ -142,8 +141,7 @@ def tree(points: np.ndarray, most: int, tight: bool) -> tuple[Box, list[np.ndarr
     Tight bounds are those of a node's points, for a search among them. Loose
     ones cover the whole space, so that any point belongs to a leaf.
     """
-    far = np.iinfo(np.int32).max // 4
-    everywhere = (np.zeros(points.shape[1], np.int32), np.full(points.shape[1], far, np.int32))
+    everywhere = (np.zeros(points.shape[1], np.int8), np.full(points.shape[1], 127, np.int8))
     leaves: list[np.ndarray] = []
     root = Box(*everywhere)
     todo = [(root, np.arange(len(points)))]
@@ -166,14 +164,15 @@ def tree(points: np.ndarray, most: int, tight: bool) -> tuple[Box, list[np.ndarr
     return root, leaves
 
 
-def reached(root: Box, points: np.ndarray, distance: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Leaves and the points that are within a distance of the leaf's box."""
+def reached(root: Box, points: np.ndarray, up: int, down: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Leaves and the points that counts raised by ``up`` and lowered by ``down`` may take there."""
     todo = [(root, np.arange(len(points)))]
     while todo:
         box, inside = todo.pop()
         own = points[inside]
-        gap = (np.maximum(box.low - own, 0) + np.maximum(own - box.high, 0)).sum(1)
-        inside = inside[gap <= distance]
+        above = np.maximum(box.low - own, 0).sum(1, dtype=np.int32)
+        below = np.maximum(own - box.high, 0).sum(1, dtype=np.int32)
+        inside = inside[(above <= up) & (below <= down)]
         if not len(inside):
             continue
         if box.leaf >= 0:
@@ -188,18 +187,22 @@ def near_pairs(held: list[str], asked: list[str]) -> Iterator[tuple[np.ndarray,
         return
     space, questions = vectors(held), vectors(asked)
     letters, others = codes(held), codes(asked)
-    distance = 2 if letters.shape[1] == others.shape[1] else 1
+    down = int(letters.shape[1] == others.shape[1])
+    points = space.astype(np.float32), questions.astype(np.float32)  # whole numbers far below 2**24
+    lengths = [(p * p).sum(1) for p in points]
     root, leaves = tree(space, LEAF, tight=True)
-    for leaf, who in reached(root, questions, distance):
+    for leaf, who in reached(root, questions, 1, down):
         members = leaves[leaf]
         # Equal vectors may share a leaf without bound, so its words are taken in parts.
-        part = max(1, COMPARED // (DIMENSIONS * 4 * len(members)))
-        for start in range(0, len(who), part):
-            some = who[start : start + part]
-            for first in range(0, len(members), COMPARED // (DIMENSIONS * 4)):
-                block = members[first : first + COMPARED // (DIMENSIONS * 4)]
-                gap = np.abs(questions[some][:, None, :] - space[block][None, :, :]).sum(2)
-                q, m = np.nonzero(gap <= distance)
+        most = COMPARED // DIMENSIONS
+        for first in range(0, len(members), most):
+            block = members[first : first + most]
+            part = max(1, most // len(block))
+            for start in range(0, len(who), part):
+                some = who[start : start + part]
+                # Counts that differ by 1 at most twice: the squared distance is the L1 distance.
+                gap = lengths[1][some][:, None] + lengths[0][block] - 2 * (points[1][some] @ points[0][block].T)
+                q, m = np.nonzero(gap <= 1 + down)
                 q, m = some[q], block[m]
                 ok = one_edit(others[q], letters[m])
                 yield q[ok], m[ok]
@@ -218,7 +221,7 @@ def cell_trees(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> dict
         by_length.setdefault(len(row.word), []).append(row.word)
     trees = {}
     for r in sizes:
-        points = vectors(by_length[r.size]) if r.size in by_length else np.zeros((0, DIMENSIONS), np.int32)
+        points = vectors(by_length[r.size]) if r.size in by_length else np.zeros((0, DIMENSIONS), np.int8)
         share = min(1.0, sample / total)
         trees[r.size] = tree(points, max(LEAF, int(cell * share)), tight=False)[0]
     return trees
@@ -236,10 +239,15 @@ def dealt(words: DataFrame, trees: dict[int, Box]) -> DataFrame:
                 groups.setdefault(len(word), []).append(word)
             for length, members in groups.items():
                 points = vectors(members)
-                for size, distance, held in ((length, 0, True), (length, 2, False), (length + 1, 1, False)):
+                own = np.zeros(len(members), np.int64)
+                for size, up, down, held in ((length, 0, 0, True), (length, 1, 1, False), (length + 1, 1, 0, False)):
                     if size not in shared.value:
                         continue
-                    for cell, who in reached(shared.value[size], points, distance):
+                    for cell, who in reached(shared.value[size], points, up, down):
+                        if held:
+                            own[who] = cell
+                        elif size == length:
+                            who = who[own[who] <= cell]
                         n = len(who)
                         columns = [
                             pa.array([size] * n, pa.int32()),
@@ -258,11 +266,12 @@ def _search(group: pa.Table) -> pa.Table:
     size = group.column("size")[0].as_py()
     for word, own in zip(group.column("word").to_pylist(), group.column("held").to_pylist(), strict=True):
         (held if own else same if len(word) == size else shorter).append(word)
-    left, right = [], []
+    left, right, here = [], [], set(held)
     for asked in (same, shorter):
         for q, m in near_pairs(held, asked):
             found = [(asked[i], held[j]) for i, j in zip(q, m, strict=True)]
-            found = [(a, b) for a, b in found if len(a) != len(b) or a < b]
+            # Two words of this cell ask each other.
+            found = [(a, b) for a, b in found if a < b or a not in here]
             left += [a for a, _ in found]
             right += [b for _, b in found]
     return pa.table({"a": pa.array(left, pa.string()), "b": pa.array(right, pa.string())})

@@ -221,7 +221,7 @@ def plain_likeness(a, b):
         return 1.0
     x, y = (dict(level.split(":") for level in p.split("|")) for p in (a, b))
     pairs = [p for level in x.keys() & y.keys() for p in zip(x[level].split(","), y[level].split(","), strict=False)]
-    hits = [p == q for p, q in pairs if (p, q) != ("-", "-")]
+    hits = [p == q for p, q in pairs if (p, q) != ("", "")]
     return sum(hits) / max(1, len(hits))
 
 
@@ -286,16 +286,16 @@ def test_tree_finds_all_near_words(seed):
 
 def test_every_point_has_one_cell_and_boxes_prune():
     rng = np.random.default_rng(0)
-    points = rng.integers(0, 3, (500, spelling.DIMENSIONS)).astype(np.int32)
+    points = rng.integers(0, 3, (500, spelling.DIMENSIONS)).astype(np.int8)
     root, leaves = spelling.tree(points, 20, tight=False)
     assert sorted(np.concatenate(leaves)) == list(range(500)) and max(map(len, leaves)) <= 20
-    others = rng.integers(0, 9, (300, spelling.DIMENSIONS)).astype(np.int32)
-    cells = [i for _, who in spelling.reached(root, others, 0) for i in who]
+    others = rng.integers(0, 9, (300, spelling.DIMENSIONS)).astype(np.int8)
+    cells = [i for _, who in spelling.reached(root, others, 0, 0) for i in who]
     assert sorted(cells) == list(range(300))
     words = ["".join(random.Random(i).choices("etaoinshrdlu", range(12, 0, -1), k=8)) for i in range(500)]
     points = spelling.vectors(words)
     tight, leaves = spelling.tree(points, spelling.LEAF, tight=True)
-    assert sum(len(who) for _, who in spelling.reached(tight, points, 2)) < 500 * len(leaves) / 2
+    assert sum(len(who) for _, who in spelling.reached(tight, points, 1, 1)) < 500 * len(leaves) / 2
 
 
 @pytest.mark.parametrize("cell, sample", [(1024, 50_000), (3, 50_000), (3, 40)])

@@ -8,7 +8,8 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.operators.joins import any_null, anti_join, spread_join
+from cairn.operators.bitmap import split_by_keys, worth_filtering
+from cairn.operators.joins import any_null, anti_join, lookup_join, spread_join
 
 
 class Unmatched(Enum):
@@ -28,6 +29,7 @@ def merge_frames(
     keys: Sequence[str],
     unmatched: Unmatched = Unmatched.KEEP,
     delete_where: str | None = None,
+    source_rows: int | None = None,
 ) -> DataFrame:
     """The rows of ``target`` after merging ``source`` into it.
 
@@ -40,10 +42,13 @@ def merge_frames(
     A source key that comes twice fails the job. Target keys are taken to be
     unique. Names are matched as Spark matches them: without regard to case
     unless the session says otherwise.
+
+    Given the number of source rows, a bitmap of the source's keys sends target
+    rows that cannot match past the join, if that saves a shuffle.
     """
     source, keys = as_in_target(target, source), spelled(target, keys)
     written = written_rows(target, source, keys)
-    kept = kept_rows(target, source, keys, unmatched, delete_where)
+    kept = kept_rows(target, source, keys, unmatched, delete_where, source_rows)
     merged = written.unionByName(kept, allowMissingColumns=True)
     return merged.unionByName(_no_rows_unless_repeated(source, keys), allowMissingColumns=True)
 
@@ -96,6 +101,7 @@ def kept_rows(
     keys: Sequence[str],
     unmatched: Unmatched = Unmatched.KEEP,
     delete_where: str | None = None,
+    source_rows: int | None = None,
 ) -> DataFrame:
     """Target rows that stay as they are.
 
@@ -103,11 +109,27 @@ def kept_rows(
     join at all.
     """
     if unmatched is Unmatched.KEEP:
-        return anti_join(target, source, keys, unique=True)
+        return _unmatched(target, source, keys, source_rows)
     if delete_where is None:
         return target.where(any_null(keys))
     spared = any_null(keys) | ~F.coalesce(F.expr(delete_where), F.lit(False))
-    return anti_join(target.where(spared), source, keys, unique=True)
+    return _unmatched(target.where(spared), source, keys, source_rows)
+
+
+def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None = None) -> DataFrame:
+    """Target rows with a partner in the source, whose keys are unique."""
+    known = source.select(*[_column(k).cast(target.schema[k].dataType).alias(k) for k in keys])
+    if source_rows is not None and worth_filtering(target, known, keys, source_rows):
+        target, _ = split_by_keys(target, known, keys, source_rows)
+    return lookup_join(target, known.toDF(*[f"__partner_{k}" for k in keys]), {k: f"__partner_{k}" for k in keys}, "left_semi")
+
+
+def _unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None) -> DataFrame:
+    known = source.select(*[_column(k).cast(target.schema[k].dataType).alias(k) for k in keys])
+    if source_rows is None or not worth_filtering(target, known, keys, source_rows):
+        return anti_join(target, source, keys, unique=True)
+    possible, alone = split_by_keys(target, known, keys, source_rows)
+    return alone.union(anti_join(possible, known, keys, unique=True))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

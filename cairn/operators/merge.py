@@ -30,6 +30,7 @@ def merge_frames(
     unmatched: Unmatched = Unmatched.KEEP,
     delete_where: str | None = None,
     source_rows: int | None = None,
+    key_filter: bool | None = None,
 ) -> DataFrame:
     """The rows of ``target`` after merging ``source`` into it.
 
@@ -44,11 +45,12 @@ def merge_frames(
     unless the session says otherwise.
 
     Given the number of source rows, a bitmap of the source's keys sends target
-    rows that cannot match past the join, if that saves a shuffle.
+    rows that cannot match past the join. ``key_filter`` says whether to use it;
+    by default that is decided by whether it saves a shuffle.
     """
     source, keys = as_in_target(target, source), spelled(target, keys)
     written = written_rows(target, source, keys)
-    kept = kept_rows(target, source, keys, unmatched, delete_where, source_rows)
+    kept = kept_rows(target, source, keys, unmatched, delete_where, source_rows, key_filter)
     merged = written.unionByName(kept, allowMissingColumns=True)
     return merged.unionByName(_no_rows_unless_repeated(source, keys), allowMissingColumns=True)
 
@@ -102,6 +104,7 @@ def kept_rows(
     unmatched: Unmatched = Unmatched.KEEP,
     delete_where: str | None = None,
     source_rows: int | None = None,
+    key_filter: bool | None = None,
 ) -> DataFrame:
     """Target rows that stay as they are.
 
@@ -109,11 +112,11 @@ def kept_rows(
     join at all.
     """
     if unmatched is Unmatched.KEEP:
-        return _unmatched(target, source, keys, source_rows)
+        return _unmatched(target, source, keys, source_rows, key_filter)
     if delete_where is None:
         return target.where(any_null(keys))
     spared = any_null(keys) | ~F.coalesce(F.expr(delete_where), F.lit(False))
-    return _unmatched(target.where(spared), source, keys, source_rows)
+    return _unmatched(target.where(spared), source, keys, source_rows, key_filter)
 
 
 def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None = None) -> DataFrame:
@@ -124,9 +127,13 @@ def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], sour
     return lookup_join(target, known.toDF(*[f"__partner_{k}" for k in keys]), {k: f"__partner_{k}" for k in keys}, "left_semi")
 
 
-def _unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None) -> DataFrame:
+def _unmatched(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None, key_filter: bool | None
+) -> DataFrame:
+    if source_rows is None or key_filter is False:
+        return anti_join(target, source, keys, unique=True)
     known = source.select(*[_column(k).cast(target.schema[k].dataType).alias(k) for k in keys])
-    if source_rows is None or not worth_filtering(target, known, keys, source_rows):
+    if not (key_filter or worth_filtering(target, known, keys, source_rows)):
         return anti_join(target, source, keys, unique=True)
     possible, alone = split_by_keys(target, known, keys, source_rows)
     return alone.union(anti_join(possible, known, keys, unique=True))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cairn.functions import columns as C
 from cairn.operators.compare import comparison, except_all, row_differences
 from cairn.operators.dedup import current_rows, keep_latest
+from cairn.operators.hot_keys import salted_join
 from cairn.operators.joins import anti_join, lookup_join
 from cairn.operators.merge import Unmatched, merge_frames
 from cairn.operators.preview import preview
@@ -518,20 +519,20 @@ def _checked(spark: SparkSession, sf_dir: str, table: str, require) -> DataFrame
 MERGE_KEY = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderkey END"
 TARGET_SQL = f"""SELECT {MERGE_KEY} AS id, o_custkey AS customer, o_totalprice AS amount, o_orderstatus AS state
                   FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00'"""
-_SOURCE_SQL = f"""SELECT {MERGE_KEY} AS id, o_custkey AS customer, o_totalprice + 1 AS amount, o_orderstatus AS state
+CHANGES_SQL = f"""SELECT {MERGE_KEY} AS id, o_custkey AS customer, o_totalprice + 1 AS amount, o_orderstatus AS state
                   FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'"""
 _UNMATCHED_SQL = "NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)"
 
 
 def merge_sql(kept: str) -> str:
-    return f"""WITH t AS ({TARGET_SQL}), s AS ({_SOURCE_SQL})
+    return f"""WITH t AS ({TARGET_SQL}), s AS ({CHANGES_SQL})
                SELECT * FROM s UNION ALL SELECT * FROM t WHERE {_UNMATCHED_SQL} AND ({kept})"""
 
 
 def merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = source(spark, sf_dir, "orders")
     target, changes = (
-        spark.sql(side.replace("FROM orders", "FROM {orders}"), orders=orders) for side in (TARGET_SQL, _SOURCE_SQL)
+        spark.sql(side.replace("FROM orders", "FROM {orders}"), orders=orders) for side in (TARGET_SQL, CHANGES_SQL)
     )
     return target, changes
 
@@ -542,6 +543,40 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_frames(target, changes, ["id"])
 
 
+_HOT_SQL = """SELECT l_orderkey, l_linenumber, l_extendedprice,
+                     CAST(CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 50 = 1 THEN NULL ELSE l_partkey END
+                          AS DECIMAL(14, 2)) AS code
+              FROM lineitem"""
+_CODES_SQL = "SELECT CAST(p_partkey AS DECIMAL(14, 2)) AS part_code, p_name, p_brand FROM part"
+
+
+@query(
+    "join_hot_decimal_key",
+    f"""SELECT l_orderkey, l_linenumber, l_extendedprice, code, p_name, p_brand
+        FROM ({_HOT_SQL}) LEFT JOIN ({_CODES_SQL}) ON code = part_code""",
+)
+def join_hot_decimal_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the lines have one decimal key: its rows are salted."""
+    lines = spark.sql(_HOT_SQL.replace("FROM lineitem", "FROM {t}"), t=source(spark, sf_dir, "lineitem"))
+    codes = spark.sql(_CODES_SQL.replace("FROM part", "FROM {t}"), t=source(spark, sf_dir, "part"))
+    return salted_join(lines, codes, {"code": "part_code"}).drop("part_code")
+
+
+_FEW = "id IS NULL OR id % 100 = 7 OR id < 0"
+
+
+@query(
+    "merge_small_change",
+    f"""WITH t AS ({TARGET_SQL}), s AS (SELECT * FROM ({CHANGES_SQL}) WHERE {_FEW})
+        SELECT * FROM s UNION ALL SELECT * FROM t WHERE {_UNMATCHED_SQL}""",
+)
+def merge_small_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert of few rows: a bitmap of their keys keeps most of the target out of the join."""
+    target, changes = merge_sides(spark, sf_dir)
+    changes = changes.where(_FEW)
+    return merge_frames(target, changes, ["id"], source_rows=changes.count(), key_filter=True)
+
+
 @query("merge_upsert_delete", merge_sql("t.id IS NULL"))
 def merge_upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, changes = merge_sides(spark, sf_dir)
@@ -557,7 +592,7 @@ def merge_conditional_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "merge_schema_evolution",
     f"""WITH t AS ({TARGET_SQL}),
-             s AS (SELECT id, customer, amount, amount * 2 AS doubled FROM ({_SOURCE_SQL}))
+             s AS (SELECT id, customer, amount, amount * 2 AS doubled FROM ({CHANGES_SQL}))
         SELECT s.id, s.customer, s.amount, t.state, s.doubled FROM s LEFT JOIN t ON s.id = t.id
         UNION ALL
         SELECT id, customer, amount, state, NULL FROM t WHERE {_UNMATCHED_SQL}""",

@@ -31,7 +31,7 @@ from cairn.sources.files import (
 from cairn.sources.tables import create_layers, read_table, table_exists, upsert_table, write_table
 from cairn.plans.silver import SILVER, silver_transform
 from harness.layers import LOAD_TIME, gold_sql, silver_sql
-from harness.operators import MERGE_KEY, TARGET_SQL, merge_sides, merge_sql
+from harness.operators import CHANGES_SQL, MERGE_KEY, TARGET_SQL, merge_sides, merge_sql
 from harness.registry import query
 from harness.retail import raw, source
 
@@ -285,6 +285,50 @@ def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table)
 
 
+_MOVED = "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 5 = 0 THEN 'moved' ELSE state END"
+
+
+@query(
+    "merge_table_partitioned",
+    f"""WITH t AS ({TARGET_SQL}),
+             s AS (SELECT id, customer, amount, {_MOVED} AS state FROM ({CHANGES_SQL}) WHERE id IS NULL OR id % 4 = 0)
+        SELECT * FROM s UNION ALL
+        SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)
+                          AND (t.id IS NULL OR NOT coalesce(t.amount > 400000, FALSE))""",
+)
+def merge_table_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into a table partitioned by order state; some rows move to another partition, NULL included."""
+    target, changes = merge_sides(spark, sf_dir)
+    changes = changes.where("id IS NULL OR id % 4 = 0").withColumn("state", F.expr(_MOVED))
+    table = f"{_database(spark, 'parted')}.orders"
+    upsert_table(target, table, ["id"], partition_by=["state"])
+    upsert_table(changes, table, ["id"], Unmatched.DELETE, "amount > 400000")
+    return read_table(spark, table)
+
+
+@query(
+    "overwrite_new_schema",
+    f"""SELECT CAST(floor(amount / 1000) AS BIGINT) AS id, count(*) AS copies,
+               string_agg(DISTINCT state, '' ORDER BY state) AS states, 3 AS schemas
+        FROM ({TARGET_SQL}) GROUP BY 1""",
+)
+def overwrite_new_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced from itself twice, each time with other columns and types."""
+    target, _ = merge_sides(spark, sf_dir)
+    table = f"{_database(spark, 'reshaped')}.orders"
+    seen = set()
+    write_table(target, table)
+    seen.add(read_table(spark, table).schema.simpleString())
+    write_table(read_table(spark, table).selectExpr("state", "CAST(floor(amount / 1000) AS STRING) AS id"), table)
+    seen.add(read_table(spark, table).schema.simpleString())
+    states = F.concat_ws("", F.array_sort(F.collect_set("state"))).alias("states")
+    counted = read_table(spark, table).groupBy(F.col("id").cast("long").alias("id"))
+    write_table(counted.agg(F.count(F.lit(1)).alias("copies"), states), table)
+    held = read_table(spark, table)
+    seen.add(held.schema.simpleString())
+    return held.withColumn("schemas", F.lit(len(seen)))
+
+
 @query(
     "overwrite_table",
     f"SELECT {MERGE_KEY} AS id, count(*) AS copies, max(o_totalprice) AS amount FROM orders GROUP BY ALL",

@@ -64,9 +64,7 @@ def test_partitioned_table_reads_as_written(spark, target):
     assert len(files(spark, target)) == 5
     plan = held.where("p = 'a'")._jdf.queryExecution().executedPlan()
     assert held.where("p = 'a'").count() == 3 and "PartitionFilters" in plan.toString()
-    assert len(held.where("p = 'a'").inputFiles()) == 5  # pruned when the scan starts, not before
-    scanned = held.where("p = 'a'").select(F.input_file_name()).distinct()
-    assert scanned.count() == 1
+    assert len(held.where("p = 'a'").inputFiles()) == 1
 
 
 def test_merge_touches_only_partitions_of_matched_rows(spark, target):
@@ -223,7 +221,7 @@ def test_small_merge_shuffles_few_target_rows(spark, conf):
     spark.range(200_000).selectExpr("id AS k", "id * 2 AS v").write.parquet(folder)
     target = spark.read.parquet(folder)
     source = spark.range(0, 200_000, 1000).selectExpr("id AS k", "-1L AS v")
-    merged = merge_frames(target, source, ["k"], source_rows=200)
+    merged = merge_frames(target, source, ["k"], source_rows=200)  # no key is broadcast: a bitmap is
     assert merged.where("v = -1").count() == 200 and merged.count() == 200_000
     written = [n for n in shuffled_rows(merged) if n]
     # Source keys for the check, the bitmap's parts and both sides of the join.

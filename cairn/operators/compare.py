@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,6 +62,64 @@ def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
     return tagged.groupBy(*names).agg(F.sum(_LEFT).alias(_LEFT), F.sum(_RIGHT).alias(_RIGHT))
 
 
+# Ranges of row hashes that are compared as wholes.
+RANGE_BITS = 12
+_RANGE, _ROWS, _FIRST, _SECOND = "__cairn_range", "__cairn_rows", "__cairn_first", "__cairn_second"
+
+
+def _hash_range(df: DataFrame, bits: int) -> Column:
+    """The range of hashes that a row falls into."""
+    return F.shiftrightunsigned(F.xxhash64(*[F.col(_quoted(c)) for c in df.columns]), 64 - bits)
+
+
+def fingerprints(df: DataFrame, bits: int = RANGE_BITS) -> DataFrame:
+    """Per range of row hashes: the number of rows and two sums of other hashes of them.
+
+    Sums count every copy of a row and do not depend on the order, so equal
+    multisets have equal fingerprints. Different ones agree by chance in one of
+    2**62 cases. Tasks send one row per range.
+    """
+    columns = [F.col(_quoted(c)) for c in df.columns]
+    low = F.lit((1 << 31) - 1).cast("long")
+    sums = [
+        F.sum(F.xxhash64(*columns, F.lit(seed)).bitwiseAND(low)).alias(name) for seed, name in ((1, _FIRST), (2, _SECOND))
+    ]
+    return df.groupBy(_hash_range(df, bits).alias(_RANGE)).agg(F.count(F.lit(1)).alias(_ROWS), *sums)
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, bits: int = RANGE_BITS) -> DataFrame:
+    """The ranges of row hashes in which two frames differ: at most ``2**bits`` rows."""
+    both = fingerprints(left, bits).unionByName(fingerprints(right, bits))
+    # Fingerprints of a range that both sides have alike come as two equal rows.
+    ways = both.groupBy(_RANGE, _ROWS, _FIRST, _SECOND).agg(F.count(F.lit(1)).alias("n"))
+    return ways.where("n = 1").select(_RANGE).distinct()
+
+
+def large_row_differences(
+    left: DataFrame,
+    right: DataFrame,
+    left_rows: str = "left_rows",
+    right_rows: str = "right_rows",
+    bits: int = RANGE_BITS,
+) -> DataFrame:
+    """:func:`row_differences` of large frames that are nearly equal.
+
+    Fingerprints are compared first; only rows of ranges that differ are
+    shuffled and compared one by one. Each side is read twice. The frames have
+    the same columns in the same order and of the same types.
+    """
+    if [f.dataType for f in left.schema.fields] != [f.dataType for f in right.schema.fields]:
+        raise ValueError("the frames' columns differ in their types")
+    differing = F.broadcast(differing_ranges(left, right, bits))
+
+    def suspect(df: DataFrame) -> DataFrame:
+        known = F.col(_RANGE) == F.col(f"{_RANGE}_2")
+        marked = df.withColumn(_RANGE, _hash_range(df, bits))
+        return marked.join(differing.withColumnRenamed(_RANGE, f"{_RANGE}_2"), known, "left_semi").drop(_RANGE)
+
+    return row_differences(suspect(left), suspect(right), left_rows, right_rows)
+
+
 def comparison(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: ``same_schema`` (nullability included) and ``same_rows``.
 

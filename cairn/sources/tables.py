@@ -58,6 +58,14 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.table(table)
 
 
+def table_files(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table with Spark's ``_metadata`` of the files they come from, which a view does not show."""
+    properties = _properties(spark, table) if not _is_plain(spark, table) else {}
+    if "cairn.partitions" in properties:
+        raise ValueError(f"{table} is partitioned; its folders tell what files hold")
+    return read_table(spark, properties.get("cairn.entry", table))
+
+
 def write_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
     """Replace the table's rows and schema. Returns the number of rows.
 

@@ -44,3 +44,15 @@ def conf(spark):
 def rows(df):
     """All rows as sorted tuples."""
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def shuffled_rows(frame):
+    """Rows that each exchange of the plan wrote, from the top down; adaptive execution must be off."""
+    frame._jdf.queryExecution().executedPlan().execute().count()
+    todo, found = [frame._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found

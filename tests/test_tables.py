@@ -20,7 +20,7 @@ from cairn.sources.tables import (
     upsert_table,
     write_table,
 )
-from tests.conftest import rows
+from tests.conftest import rows, shuffled_rows
 
 SCHEMA = "k int, p string, d date, v string"
 DAY = date(2020, 1, 2)
@@ -228,18 +228,6 @@ def test_small_merge_shuffles_few_target_rows(spark, conf):
     assert written and max(written) <= 400
 
 
-def shuffled_rows(frame):
-    """Rows that each exchange of the executed plan wrote."""
-    frame._jdf.queryExecution().executedPlan().execute().count()
-    todo, found = [frame._jdf.queryExecution().executedPlan()], []
-    while todo:
-        node = todo.pop()
-        if node.nodeName() == "Exchange":
-            found.append(node.metrics().apply("shuffleRecordsWritten").value())
-        todo += [node.children().apply(i) for i in range(node.children().size())]
-    return found
-
-
 def test_which_merges_use_a_bitmap(spark, conf):
     left = spark.createDataFrame([(1, 1.0, "x")], "i int, d double, s string")
     right = spark.createDataFrame([(1, 1.0, "x")], "i int, d double, s string")

@@ -7,6 +7,7 @@ tables hold.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from cairn.operators.merge import Unmatched
 from cairn.plans.warehouse import GOLD_INPUTS, Warehouse
 from cairn.session import scratch_dir
+from cairn.sources.clustered import read_clustered, write_clustered
 from cairn.sources.files import (
     LINEAGE_COLUMN,
     PlannedLoad,
@@ -30,7 +32,7 @@ from cairn.sources.files import (
 )
 from cairn.sources.tables import create_layers, read_table, table_exists, upsert_table, write_table
 from cairn.plans.silver import SILVER, silver_transform
-from harness.layers import LOAD_TIME, gold_sql, silver_sql
+from harness.layers import LOAD_TIME, gold_model, gold_sql, silver_sql
 from harness.operators import CHANGES_SQL, MERGE_KEY, TARGET_SQL, merge_sides, merge_sql
 from harness.registry import query
 from harness.retail import raw, source
@@ -263,6 +265,18 @@ def warehouse_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{lake.gold}.ft_agg_product_day")
 
 
+_CLUSTERED = """OrderDateKey BETWEEN TIMESTAMP '1995-01-01 00:00:00' AND TIMESTAMP '1995-12-31 00:00:00'
+                AND ProductKey BETWEEN 20 AND 150"""
+
+
+@query("fact_clustered", f"SELECT * FROM ({gold_sql('FactInternetSales')}) WHERE {_CLUSTERED}")
+def fact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales fact, written in Z-order of date and product, and read by both."""
+    table = f"{_database(spark, 'clustered')}.fact"
+    write_clustered(gold_model(spark, sf_dir, "FactInternetSales"), table, ["OrderDateKey", "ProductKey"], files=16)
+    return read_clustered(spark, table, {"OrderDateKey": (datetime(1995, 1, 1), datetime(1995, 12, 31)), "ProductKey": (20, 150)})
+
+
 # -- tables ----------------------------------------------------------------
 
 

@@ -45,3 +45,23 @@ def rejected_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def validate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into its valid and its rejected rows."""
     return apply_rules(df, rules), rejected_rows(df, rules)
+
+
+# Rules that fit the bits of one number.
+MOST_RULES = 63
+
+
+def broken_bits(rules: Sequence[Rule]) -> Column:
+    """A number with bit i set for a row that breaks rule i; 0 for valid rows."""
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"{len(rules)} rules do not fit the bits of a number; {MOST_RULES} do")
+    bits = F.lit(0).cast("long")
+    for i, rule in enumerate(rules):
+        bits = bits + F.when(F.coalesce(rule.holds, F.lit(False)), F.lit(0)).otherwise(F.lit(1 << i)).cast("long")
+    return bits
+
+
+def rule_names(bits: Column, rules: Sequence[Rule]) -> Column:
+    """The names of the rules whose bits are set."""
+    named = [F.when(bits.bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(rule.name)) for i, rule in enumerate(rules)]
+    return F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")

@@ -130,6 +130,37 @@ def upsert_table(
     return rows
 
 
+def replace_rows(source: DataFrame, table: str, where: Column | None) -> int:
+    """Delete the rows of a partitioned table that fulfil a condition and add those of ``source``, in one step.
+
+    Only partitions that hold such a row are rewritten. A NULL condition deletes
+    nothing; None deletes no row at all. Returns the rows added.
+    """
+    spark = source.sparkSession
+    target = read_table(spark, table)
+    parts = _partitions(spark, table)
+    if parts is None:
+        raise ValueError(f"{table} has no partitions")
+    source = as_in_target(target, source)
+    added = _padded(source, _evolved(target.schema, source.schema))
+    root, write = _location(spark, parts.entry), uuid.uuid4().hex
+    rows = _add_rows(added, root, write, parts)
+    changed = set()
+    if where is not None:
+        doomed = F.coalesce(where, F.lit(False))
+        changed = {tuple(row) for row in target.where(doomed).select(*_values(parts.columns)).distinct().collect()}
+        if changed:
+            held = target.where(F.expr(_key_sql(parts.columns)).isin([_key(values) for values in changed]))
+            _add_rows(_padded(held.where(~doomed), added.schema), root, write, parts)
+    _show_write(spark, parts, added, target, write, changed)
+    return rows
+
+
+def _evolved(target: T.StructType, source: T.StructType) -> T.StructType:
+    """The target's columns, and behind them those that only the source has."""
+    return T.StructType([*target.fields, *[f for f in source.fields if f.name not in target.names]])
+
+
 def _require_unique(staged: DataFrame, table: str, keys: Sequence[str]) -> None:
     if not duplicate_keys(staged, keys).isEmpty():
         raise DuplicateKeys(f"the source for {table} repeats a value of {', '.join(keys)}")
@@ -287,15 +318,22 @@ def _upsert_partitions(
         held = target.where(F.expr(_key_sql(parts.columns)).isin([_key(values) for values in changed]))
         kept = kept_rows(held, staged, keys, unmatched, delete_where, rows)
         _add_rows(_padded(kept, rows_written.schema), root, write, parts)
-    added = _written(rows_written, root, write, parts)
-    new = rows_written.schema.fields[len(target.columns) :]
+    _show_write(spark, parts, rows_written, target, write, changed)
+    return rows
+
+
+def _show_write(
+    spark: SparkSession, parts: _Partitions, written: DataFrame, target: DataFrame, write: str, changed: set[tuple]
+) -> None:
+    """Show one more write of a table in place of its partitions that changed."""
+    added = _written(written, _location(spark, parts.entry), write, parts)
+    new = written.schema.fields[len(target.columns) :]
     if new:
         columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {parts.entry} ADD COLUMNS ({columns})")
     live = tuple(part for part in parts.live if part[1] not in changed)
     left = _Partitions(parts.table, parts.entry, parts.fmt, parts.columns, live)
-    _publish_partitions(spark, left, rows_written.columns, added)
-    return rows
+    _publish_partitions(spark, left, written.columns, added)
 
 
 def drop_replaced_partitions(spark: SparkSession, table: str) -> int:

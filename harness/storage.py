@@ -14,23 +14,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.operators.merge import Unmatched
+from cairn.operators.quality import Rule
 from cairn.plans.warehouse import GOLD_INPUTS, Warehouse
 from cairn.session import scratch_dir
 from cairn.sources.clustered import read_clustered, write_clustered
 from cairn.sources.files import (
+    FILE_COLUMN,
     LINEAGE_COLUMN,
+    LOAD_COLUMN,
     PlannedLoad,
     active_loads,
     discover,
     ingest_all,
     ingest_file,
+    ingest_new,
     load_plan,
+    read_checked,
     read_delimited,
     read_delimited_lines,
     read_files,
     with_lineage,
 )
-from cairn.sources.tables import create_layers, read_table, table_exists, upsert_table, write_table
+from cairn.sources.tables import create_layers, read_table, replace_rows, table_exists, upsert_table, write_table
+from cairn.sources.validated import validated, write_validated
 from cairn.plans.silver import SILVER, silver_transform
 from harness.layers import LOAD_TIME, gold_model, gold_sql, silver_sql
 from harness.operators import CHANGES_SQL, MERGE_KEY, TARGET_SQL, merge_sides, merge_sql
@@ -150,6 +156,46 @@ def bronze_ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{database}.supplier").select(*suppliers.columns)
 
 
+def _half(df: DataFrame, first: bool) -> DataFrame:
+    return df.where("o_orderkey % 2 = 0" if first else "o_orderkey % 2 = 1")
+
+
+@query(
+    "bronze_ingest_new",
+    """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 1 AND o_custkey % 5 <> 0 THEN 2 ELSE 1 END AS loads,
+              3 AS first_files, 2 AS second_files, 0 AS third_files
+       FROM orders WHERE o_custkey % 5 <> 0 OR o_orderkey % 2 = 0
+       UNION ALL SELECT -n_nationkey, 0, 2, 3, 2, 0 FROM nation""",
+)
+def bronze_ingest_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of one landing folder: all files are new; one is new, one has changed and one is equal; all are equal."""
+    root, database = scratch_dir(spark, "growing"), _database(spark, "growing")
+    table = f"{database}.orders"
+    orders = source(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    none = orders.where("o_orderkey < 0")
+
+    def land(df: DataFrame, name: str) -> None:
+        df.coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}")
+
+    for name, frame in (("even", _half(orders, True)), ("odd", _half(orders, False)), ("none", none)):
+        land(frame, name)
+    first, _ = ingest_new(spark, root, table)
+    known = read_table(spark, table).select(LOAD_COLUMN).first()[0]
+    nations = source(spark, sf_dir, "nation").selectExpr(
+        "-CAST(n_nationkey AS BIGINT) AS o_orderkey", "0D AS o_totalprice", "CAST(1 AS BIGINT) AS o_custkey"
+    )
+    # A writer gives a changed file another name: the old one is dropped with its rows by hand.
+    changed = read_table(spark, table).where("o_orderkey % 2 = 1").select(FILE_COLUMN).first()[0]
+    land(_half(orders, False).where("o_custkey % 5 <> 0"), "odd")
+    land(nations, "nations")
+    replace_rows(read_table(spark, table).where("false"), table, F.col(FILE_COLUMN) == changed)
+    second, _ = ingest_new(spark, root, table)
+    third, _ = ingest_new(spark, root, table)
+    loads = F.when(F.col(LOAD_COLUMN) == known, 1).otherwise(2).alias("loads")
+    counts = [F.lit(n).alias(f"{name}_files") for name, n in (("first", first), ("second", second), ("third", third))]
+    return read_table(spark, table).select("o_orderkey", "o_totalprice", loads, *counts)
+
+
 # -- delimited text --------------------------------------------------------
 
 
@@ -194,6 +240,59 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, _orders_as_text(spark, sf_dir), sep="|", schema=schema)
 
 
+_BROKEN = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+                    CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey,
+                    CASE WHEN o_orderkey % 13 = 0 THEN '1995-02-30' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END
+                        AS o_orderdate,
+                    o_orderpriority FROM orders"""
+
+
+@query(
+    "csv_rejects",
+    f"""SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey,
+               CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, '' AS failed
+        FROM ({_BROKEN}) WHERE o_custkey <> 'n/a' AND o_orderdate <> '1995-02-30'
+        UNION ALL
+        SELECT CAST(o_orderkey AS BIGINT), NULL, NULL, NULL,
+               concat_ws(',', CASE WHEN o_custkey = 'n/a' THEN 'o_custkey' END,
+                              CASE WHEN o_orderdate = '1995-02-30' THEN 'o_orderdate' END)
+        FROM ({_BROKEN}) WHERE o_custkey = 'n/a' OR o_orderdate = '1995-02-30'""",
+)
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited text with bad numbers and dates: typed rows, and rejects with the columns that failed."""
+    folder = f"{scratch_dir(spark, 'csv')}/orders"
+    sql = _BROKEN.replace("VARCHAR", "STRING").replace("FROM orders", "FROM {orders}")
+    spark.sql(sql, orders=source(spark, sf_dir, "orders")).write.csv(folder, sep="|", header=True)
+    schema = "o_orderkey long, o_custkey long, o_orderdate date, o_orderpriority string"
+    typed, rejects = read_checked(spark, folder, T.StructType.fromDDL(schema), sep="|")
+    key = F.substring_index("line", "|", 1).cast("long").alias("o_orderkey")
+    nothing = [F.lit(None).cast(kind).alias(n) for n, kind in (("c", "long"), ("d", "date"), ("p", "string"))]
+    return typed.withColumn("failed", F.lit("")).union(
+        rejects.select(key, *nothing, F.array_join("failed_columns", ",").alias("failed"))
+    )
+
+
+_RULES = [Rule("cheap", "l_extendedprice < 50000"), Rule("returned", "l_returnflag <> 'N'"), Rule("few", "l_quantity <= 40")]
+
+
+@query(
+    "validate_once",
+    """SELECT l_orderkey, l_linenumber, failed_rules, (SELECT count(*) FROM lineitem WHERE l_extendedprice < 50000
+              AND l_returnflag <> 'N' AND l_quantity <= 40) AS valid_rows
+       FROM (SELECT *, concat_ws(',', CASE WHEN NOT l_extendedprice < 50000 THEN 'cheap' END,
+                                      CASE WHEN NOT l_returnflag <> 'N' THEN 'returned' END,
+                                      CASE WHEN NOT l_quantity <= 40 THEN 'few' END) AS failed_rules FROM lineitem)
+       WHERE failed_rules <> ''""",
+)
+def validate_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules as bits of one number; valid and rejected rows are written by one job."""
+    table = f"{_database(spark, 'validated')}.lines"
+    write_validated(source(spark, sf_dir, "lineitem"), _RULES, table)
+    valid, rejected = validated(spark, table, _RULES)
+    names = F.array_join("failed_rules", ",").alias("failed_rules")
+    return rejected.select("l_orderkey", "l_linenumber", names, F.lit(valid.count()).alias("valid_rows"))
+
+
 _AMOUNTS = ("SubTotal", "TaxAmt", "Freight", "TotalDue")
 # An order with amounts of 19 digits, numbers written in other ways, and text that is no number.
 _FEW_ORDERS = [

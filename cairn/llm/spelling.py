@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.mixing import stored
-from cairn.llm.text import quoted
+from cairn.llm.text import hash_share, quoted
 
 LETTERS = r"A-Za-zÀ-ÿ"
 MIN_CHARS, MIN_COUNT, RATIO = 6, 5, 5
@@ -51,6 +51,8 @@ OTHERS = 6
 DIMENSIONS = 26 + OTHERS
 # Words of a cell, aimed at; words of the sample that cells are cut by; words of a leaf.
 CELL, SAMPLE, LEAF = 1024, 50_000, 12
+# Words that one task deals to cells, and that it sends down the trees at once.
+DEALT, TOGETHER = 20_000, 10_000
 # Bytes of letter counts that are compared at once in a task.
 COMPARED = 1 << 21
 # Larger counts are taken for this one, which brings no two words further apart.
@@ -211,20 +213,20 @@ def near_pairs(held: list[str], asked: list[str]) -> Iterator[tuple[np.ndarray,
 # --- cells ----------------------------------------------------------------------------------------------------------
 
 
-def cell_trees(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> dict[int, Box]:
-    """Per length the upper levels of its tree, fitted to at most ``sample`` words."""
+def cell_trees(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> tuple[dict[int, Box], int]:
+    """Per length the upper levels of its tree, fitted to at most ``sample`` words; the number of all words."""
     sizes = words.groupBy(F.length("word").alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()
     total = sum(r.n for r in sizes)
-    chosen = words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample)
+    share = min(1.0, sample / max(1, total))
+    chosen = words.select("word").where(hash_share(F.col("word"), share)).orderBy(F.xxhash64("word"), "word").limit(sample)
     by_length: dict[int, list[str]] = {}
     for row in chosen.collect():
         by_length.setdefault(len(row.word), []).append(row.word)
     trees = {}
     for r in sizes:
         points = vectors(by_length[r.size]) if r.size in by_length else np.zeros((0, DIMENSIONS), np.int8)
-        share = min(1.0, sample / total)
         trees[r.size] = tree(points, max(LEAF, int(cell * share)), tight=False)[0]
-    return trees
+    return trees, total
 
 
 def dealt(words: DataFrame, trees: dict[int, Box]) -> DataFrame:
@@ -232,30 +234,39 @@ def dealt(words: DataFrame, trees: dict[int, Box]) -> DataFrame:
     shared = words.sparkSession.sparkContext.broadcast(trees)
     schema = "size int, cell int, word string, held boolean"
 
+    def placed(length: int, members: list[str]) -> Iterator[pa.RecordBatch]:
+        points, names = vectors(members), pa.array(members, pa.string())
+        own = np.zeros(len(members), np.int64)
+        for size, up, down, held in ((length, 0, 0, True), (length, 1, 1, False), (length + 1, 1, 0, False)):
+            cells, rows = [], []
+            for cell, who in reached(shared.value[size], points, up, down) if size in shared.value else ():
+                if held:
+                    own[who] = cell
+                elif size == length:
+                    who = who[own[who] <= cell]
+                cells.append(np.full(len(who), cell, np.int32))
+                rows.append(who)
+            if rows:
+                who = np.concatenate(rows)
+                columns = [
+                    pa.array(np.full(len(who), size, np.int32)),
+                    pa.array(np.concatenate(cells)),
+                    names.take(pa.array(who)),
+                    pa.array(np.full(len(who), held)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["size", "cell", "word", "held"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[int, list[str]] = {}
         for batch in batches:
-            groups: dict[int, list[str]] = {}
             for word in batch.column(0).to_pylist():
                 groups.setdefault(len(word), []).append(word)
-            for length, members in groups.items():
-                points = vectors(members)
-                own = np.zeros(len(members), np.int64)
-                for size, up, down, held in ((length, 0, 0, True), (length, 1, 1, False), (length + 1, 1, 0, False)):
-                    if size not in shared.value:
-                        continue
-                    for cell, who in reached(shared.value[size], points, up, down):
-                        if held:
-                            own[who] = cell
-                        elif size == length:
-                            who = who[own[who] <= cell]
-                        n = len(who)
-                        columns = [
-                            pa.array([size] * n, pa.int32()),
-                            pa.array([cell] * n, pa.int32()),
-                            pa.array([members[i] for i in who], pa.string()),
-                            pa.array([held] * n, pa.bool_()),
-                        ]
-                        yield pa.RecordBatch.from_arrays(columns, names=["size", "cell", "word", "held"])
+            if sum(map(len, groups.values())) >= TOGETHER:
+                for length, members in groups.items():
+                    yield from placed(length, members)
+                groups.clear()
+        for length, members in groups.items():
+            yield from placed(length, members)
 
     return words.select("word").mapInArrow(run, schema)
 
@@ -279,7 +290,8 @@ def _search(group: pa.Table) -> pa.Table:
 
 def near_words(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> DataFrame:
     """``word`` and ``near`` of all pairs of near words, in both directions."""
-    pairs = dealt(words, cell_trees(words, cell, sample)).groupBy("size", "cell").applyInArrow(_search, "a string, b string")
+    trees, total = cell_trees(words, cell, sample)
+    pairs = dealt(words.repartition(1 + total // DEALT, "word"), trees).groupBy("size", "cell").applyInArrow(_search, "a string, b string")
     both = F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near")), F.struct(F.col("b").alias("word"), F.col("a").alias("near")))
     return pairs.select(F.inline(both))
 

@@ -1,6 +1,7 @@
 """Byte-pair tokens of many texts at once.
 
-Every distinct word of a batch is encoded once. A text is cut where white space
+Every distinct word of a batch is encoded once, and frequent ones are remembered
+from batch to batch, up to a bound. A text is cut where white space
 follows anything else, so each piece holds a word with the white space before
 it; the vocabulary's pattern never matches across such a place, hence the tokens
 of the pieces in turn are the tokens of the text. Texts where that does not hold
@@ -18,11 +19,14 @@ import pyarrow as pa
 
 # Fixed value: how the public 50k byte-pair vocabulary splits text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Fixed value: Unicode's white space beyond ASCII, in UTF-8.
+# Unicode's white space beyond ASCII, in UTF-8, and how it begins.
 ODD_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+ODD_BEGINNINGS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 TYPE = np.uint16
+# Pieces that a process remembers, in each of two generations, besides those of one batch.
+REMEMBERED = 1 << 17
 
 
 @cache
@@ -57,13 +61,14 @@ def count(texts: list[bytes], vocabulary: str) -> int:
     if not regular:
         return others
     coded, _, _ = _pieces(regular)
-    _, _, size = _encode_pieces(coded.dictionary.to_pylist(), vocabulary)
+    _, _, size = remembered(vocabulary).tokens(coded.dictionary.to_pylist())
     return others + int(size[coded.indices.to_numpy()].sum())
 
 
 def _cut_at_spaces(texts: list[bytes]) -> list[bool]:
     """Whether the pieces of a text have the tokens of the text."""
-    odd_batch = ODD_SPACE.search(b"".join(texts)) is not None
+    data = b"".join(texts)
+    odd_batch = any(beginning in data for beginning in ODD_BEGINNINGS)
     return [bool(t) and not SPACES[t[-1]] and not (odd_batch and ODD_SPACE.search(t)) for t in texts]
 
 
@@ -85,7 +90,7 @@ def _encode_regular(texts: list[bytes], vocabulary: str) -> list[np.ndarray]:
     if not texts:
         return []
     coded, begins, ends = _pieces(texts)
-    pool, start, size = _encode_pieces(coded.dictionary.to_pylist(), vocabulary)
+    pool, start, size = remembered(vocabulary).tokens(coded.dictionary.to_pylist())
     place = coded.indices.to_numpy()
     sizes = size[place]
     stops = np.cumsum(sizes, dtype=np.int32)  # a batch is far below 2 GB
@@ -94,6 +99,41 @@ def _encode_regular(texts: list[bytes], vocabulary: str) -> list[np.ndarray]:
     return np.split(tokens, stops[last][:-1])
 
 
+class Remembered:
+    """Tokens of pieces, kept in two generations: what the older one has and is asked for again lives on."""
+
+    def __init__(self, vocabulary: str):
+        self.vocabulary = vocabulary
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def tokens(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As :func:`_encode_pieces`, which gets only pieces that are not known."""
+        found = list(map(self.young.get, pieces))
+        rest = [i for i, tokens in enumerate(found) if tokens is None]
+        for i in rest:
+            found[i] = self.old.get(pieces[i])
+        missing = [i for i in rest if found[i] is None]
+        if missing:
+            pool, start, size = _encode_pieces([pieces[i] for i in missing], self.vocabulary)
+            raw, width = pool.tobytes(), pool.itemsize
+            stop = ((start + size) * width).tolist()
+            for i, a, b in zip(missing, (start * width).tolist(), stop, strict=True):
+                found[i] = raw[a:b]
+        if len(self.young) >= REMEMBERED:
+            self.old, self.young = self.young, {}
+        for i in rest:
+            self.young[pieces[i]] = found[i]
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // TYPE().itemsize
+        stops = np.cumsum(sizes, dtype=np.int32)
+        return np.frombuffer(b"".join(found), TYPE), stops - sizes, sizes
+
+
+@cache
+def remembered(vocabulary: str) -> Remembered:
+    return Remembered(vocabulary)
+
+
 def _encode_pieces(pieces: list[bytes], vocabulary: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of all pieces, and where those of each piece begin and how many they are.
 

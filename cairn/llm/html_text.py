@@ -11,9 +11,9 @@ holds the title, and so does any element that holds the page's content
 
 Weights come from labelled pages: those whose author marked one ``article`` or
 ``main`` element. Each kind of token weighs the logarithm of how much more often
-it occurs inside than outside. About ``MAX_LABELLED`` labelled pages are used
-(all, if there are fewer), chosen by their hash; kinds that no labelled page
-shows have the default weights below.
+it occurs inside than outside. At most ``MAX_LABELLED`` different labelled pages
+are used (all, if there are fewer), chosen by their hash; kinds that no labelled
+page shows have the default weights below.
 
 Edge cases: NULL and empty pages, and pages without words, give an empty text.
 Unclosed and crossed tags are tolerated; a script, style, title or textarea
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.llm.arrow import mapped, slices
-from cairn.llm.text import fresh, hash_share, quoted
+from cairn.llm.samples import sample
+from cairn.llm.text import fresh, quoted
 
 MAX_LABELLED = 5_000
 WORD_LIMIT, TAG_RANGE = 3.0, (-3.0, -0.1)
@@ -320,9 +321,8 @@ def learn_weights(pages: DataFrame, column: str = "html", limit: int = MAX_LABEL
     """Token weights from the labelled pages."""
     source = F.col(quoted(column))
     one = (F.regexp_count(source, F.lit(r"(?i)<article\b")) == 1) | (F.regexp_count(source, F.lit(r"(?i)<main\b")) == 1)
-    labelled = pages.where(one).select(source.alias("source"))
-    share = limit / max(1, labelled.count())
-    chosen = labelled.where(hash_share(F.col("source"), share))
+    # Copies of a page teach nothing new: each different page counts once.
+    chosen = sample(pages.where(one), source, [], limit, copies=False).select("value")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,9 +13,10 @@ Features describe form only: shares of character classes and of their
 neighbours, word and line lengths, repeats.
 
 Fitting uses about ``MAX_POSITIVE`` positives and ``MAX_UNLABELLED`` unlabelled
-rows and never more (all, if there are fewer), chosen by a hash of the row's
-place in the table, so that rows without id or with a frequent one count as
-often as they occur. Scoring is one pass over all texts without a shuffle.
+rows and never more (all, if there are fewer), chosen by a hash of id and text.
+Rows that are equal in both are counted first, and weigh in the sample as they
+do in the table. The same rows give the same model, however they are split.
+Scoring is one pass over all texts without a shuffle.
 
 Edge cases: NULL and empty texts have all features 0 and a score like others.
 Texts of any length are read whole. Repeated rows are scored each for itself. A
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.llm.arrow import mapped, raw_texts, slices
-from cairn.llm.text import fresh, hash_share, quoted
+from cairn.llm.samples import sample
+from cairn.llm.text import fresh, quoted
 
 MAX_POSITIVE, MAX_UNLABELLED = 5_000, 15_000
 STEPS, RATE, DECAY = 400, 0.05, 1e-3
@@ -167,27 +169,26 @@ def remainder(id_column: Column, divisor: int) -> Column:
     return F.crc32(id_column.cast("string")) % divisor
 
 
-def sampled(docs: DataFrame, text: str, limit: int, rows: int, ids: DataFrame | None = None) -> np.ndarray:
-    """Features of at most ``limit`` of about ``rows`` rows, by the hashes of their places.
+def sampled(docs: DataFrame, limit: int, ids: DataFrame | None = None) -> np.ndarray:
+    """Features of at most ``limit`` rows of ``id`` and ``t``, equal rows as often as their share asks for.
 
-    A row comes in by itself, whatever its id and text, so rows that share them
-    are as frequent in the sample as in the table. ``ids`` bounds the rows to
-    those whose ``id`` is listed.
+    ``ids`` bounds the rows to those whose ``id`` is listed.
     """
-    placed = docs.select(F.col(quoted(text)).alias("t"), "id", F.monotonically_increasing_id().alias("place"))
-    chosen = placed.where(hash_share(F.col("place"), limit / max(1, rows)))
-    if ids is not None:
-        chosen = chosen.join(ids, F.col("id") == F.col("trusted_id"), "left_semi")
+    def listed(rows: DataFrame) -> DataFrame:
+        return rows if ids is None else rows.join(ids, F.col("also0") == F.col("trusted_id"), "left_semi")
+
+    chosen = sample(docs, F.coalesce("t", F.lit("")), [F.col("id")], limit, copies=True, among=listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "t", PART_BYTES):
-                found = [r.tobytes() for r in features(raw_texts(part.column(0)))]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.binary())], names=["h", "x"])
+            for part in slices(batch, "value", PART_BYTES):
+                found = [r.tobytes() for r in features(raw_texts(part.column("value")))]
+                columns = [part.column("place"), part.column("weight"), pa.array(found, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["place", "weight", "x"])
 
-    hashed = chosen.select("t", F.xxhash64("place").alias("h")).mapInArrow(run, "h long, x binary")
-    found = hashed.orderBy("h").limit(limit).collect()
-    return np.array([np.frombuffer(r.x, np.float32) for r in found]).reshape(len(found), N_FEATURES)
+    found = chosen.mapInArrow(run, "place int, weight long, x binary").orderBy("place").collect()
+    rows = np.array([np.frombuffer(r.x, np.float32) for r in found]).reshape(len(found), N_FEATURES)
+    return np.repeat(rows, [r.weight for r in found], axis=0)
 
 
 def learn(
@@ -204,9 +205,7 @@ def learn(
     """
     docs = docs.select(F.col(quoted(id_column)).alias("id"), F.col(quoted(text)).alias("t"))
     ids = positives.select(F.col(positives.columns[0]).alias("trusted_id")).where("trusted_id is not null").distinct()
-    trusted = docs.select("id").join(ids, F.col("id") == F.col("trusted_id"), "left_semi").count()
-    p = sampled(docs, "t", max_positive, trusted, ids)
-    u = sampled(docs, "t", max_unlabelled, docs.count())
+    p, u = sampled(docs, max_positive, ids), sampled(docs, max_unlabelled)
     if not len(p) or not len(u):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.5)
     return fit(p, u, estimated_prior(p, u))

@@ -17,7 +17,8 @@ Texts become sets of 64-bit hashes of five-word shingles; a set is named by a
 4. Prefix-tree join. A block is searched by a prefix tree (``prefix_tree``). One
    with more than ``CHUNK`` sets is cut into chunks, which are searched with the
    block's first sets in each, so that copies of one text meet. Sets that share
-   a prefix shingle and are still unconnected are then searched chunk by chunk:
+   a prefix shingle and are still unconnected are then searched chunk by chunk,
+   among the sets of each such shingle, or of the block where that is cheaper:
    those outside the largest component against all.
 5. Components of all links; a component's id is its smallest document id.
 
@@ -394,7 +395,14 @@ def links(candidates: DataFrame) -> DataFrame:
 
 
 def _remaining(tokens: DataFrame, placed: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
-    """Links between chunks of a block that the first search left unconnected."""
+    """Links between chunks of a block that the first search left unconnected.
+
+    Two linked sets share a prefix shingle, so it is enough to search among the
+    sets of each shingle that sets of different components have; shingles that
+    the same sets have count once. Where few sets are outside the largest
+    component, searching them in the whole block sends fewer sets: each block
+    takes the cheaper way.
+    """
     large = placed.where(F.col("n") > CHUNK).select("digest", "block")
     roots = components(found).withColumnRenamed("node", "digest")
     large = stored(
@@ -402,27 +410,46 @@ def _remaining(tokens: DataFrame, placed: DataFrame, sets: DataFrame, found: Dat
         "join-large",
     )
     posted = tokens.join(large, "digest")
-    mixed_tokens = posted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed_tokens = stored(mixed_tokens.where("low < high").select("token"), "join-mixed")
-    active = stored(posted.join(mixed_tokens, "token").select("digest", "block", "root").distinct(), "join-active")
-    ranked = active.groupBy("block", "root").agg(F.count("*").alias("n"))
-    main = ranked.groupBy("block").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    known = active.join(stored(main, "join-main"), "block")
+    low = F.lit((1 << 40) - 1).cast("long")
+    same = [F.sum(F.xxhash64("digest", F.lit(i)).bitwiseAND(low)).alias(f"same{i}") for i in range(2)]
+    held = posted.groupBy("block", "token").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"), *same
+    )
+    mixed_tokens = stored(held.where("low < high").select("block", "token", "n", "same0", "same1"), "join-mixed")
+    different = mixed_tokens.groupBy("block", "n", "same0", "same1").agg(F.min("token").alias("token")).select("token")
+    in_block = posted.join(mixed_tokens.select("token"), "token").select("block", F.lit(0).cast("long").alias("unit"), "digest", "root")
+    by_token = posted.join(different, "token").select("block", F.col("token").alias("unit"), "digest", "root")
+    ways = [_units(in_block.distinct(), "join-active"), _units(by_token, "join-active-tokens")]
+    costs = [way.select("block", "unit", "cost").distinct().groupBy("block").agg(F.sum("cost").alias("cost")) for way in ways]
+    cheaper = stored(
+        costs[0].join(costs[1].withColumnRenamed("cost", "by_token"), "block").select("block", (F.col("by_token") < F.col("cost")).alias("split")),
+        "join-ways",
+    )
+    known = ways[0].join(cheaper.where("not split"), "block").union(ways[1].join(cheaper.where("split"), "block"))
     minor, every = F.ceil((F.col("all") - F.col("most")) / CHUNK), F.ceil(F.col("all") / CHUNK)
     spread = F.xxhash64("digest")
     asked = known.where("root <> main").select(
-        "digest", "block", "root", F.pmod(spread, minor).alias("x"), F.explode(F.sequence(F.lit(0), every - 1)).alias("y")
+        "digest", "block", "unit", "root", F.pmod(spread, minor).alias("x"), F.explode(F.sequence(F.lit(0), every - 1)).alias("y")
     )
-    held = known.where("all > most").select(
-        "digest", "block", "root", F.explode(F.sequence(F.lit(0), minor - 1)).alias("x"), F.pmod(spread, every).alias("y")
+    answering = known.where("all > most").select(
+        "digest", "block", "unit", "root", F.explode(F.sequence(F.lit(0), minor - 1)).alias("x"), F.pmod(spread, every).alias("y")
     )
+    searched = stored(asked.union(answering).distinct(), "join-searched")
     return (
-        asked.union(held)
-        .distinct()
-        .join(sets, "digest")
-        .groupBy("block", "x", "y")
-        .applyInArrow(released_after(_search), "a string, b string")
+        searched.join(sets, "digest").groupBy("block", "unit", "x", "y").applyInArrow(released_after(_search), "a string, b string")
+    )
+
+
+def _units(active: DataFrame, label: str) -> DataFrame:
+    """Sets to search in each unit, with the unit's sizes, largest component, and number of sets to send."""
+    active = stored(active, label)
+    ranked = active.groupBy("block", "unit", "root").agg(F.count("*").alias("n"))
+    sizes = ranked.groupBy("block", "unit").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")
     )
+    rest = F.col("all") - F.col("most")
+    cost = F.ceil(rest / CHUNK) * F.col("all") + F.ceil(F.col("all") / CHUNK) * rest
+    return active.join(stored(sizes.withColumn("cost", cost), f"{label}-sizes"), ["block", "unit"])
 
 
 # --- results --------------------------------------------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeats, empty tables and clashing names."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,6 +170,62 @@ def test_large_blocks_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in ngram_join.component_ids(frame).collect()} == dict(enumerate(want))
 
 
+def searched(spark, monkeypatch, texts):
+    """Sets that the second search gets, and the components."""
+    sent, plain_stored = [], ngram_join.stored
+
+    def counted(frame, label):
+        table = plain_stored(frame, label)
+        if label == "join-searched":
+            sent.append(table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.component_ids(frame).collect()}
+    monkeypatch.setattr(ngram_join, "stored", plain_stored)
+    return sent, found
+
+
+def test_search_grows_with_the_texts_that_share_passages(spark, monkeypatch):
+    """Texts of four passages, each of which another text has too: one block without a link."""
+    monkeypatch.setattr(ngram_join, "CHUNK", 8)
+
+    def chained(n):
+        order = [random.Random(k).sample(range(n), n) for k in range(2)]
+        passage = lambda k, i: " ".join(f"p{k}x{i}w{j}" for j in range(24))
+        at = [{text: place for place, text in enumerate(o)} for o in order]
+        return [
+            " ".join(passage(k, at[k][i] // 2 if side else n + (at[k][i] + 1) % n // 2) for k in range(2) for side in range(2))
+            for i in range(n)
+        ]
+
+    sizes = []
+    for n in (60, 120, 240):
+        sent, found = searched(spark, monkeypatch, chained(n))
+        assert found == {i: i for i in range(n)}
+        sizes.append(sent[0])
+    assert 0 < sizes[0] and sizes[1] <= 2.2 * sizes[0] and sizes[2] <= 2.2 * sizes[1]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_both_ways_of_the_second_search_lose_no_link(spark, monkeypatch, seed):
+    """Clusters of copies, chains of near texts and texts that share passages only."""
+    monkeypatch.setattr(ngram_join, "CHUNK", 4)
+    monkeypatch.setattr(ngram_join, "BRIDGES", 1)
+    rng = random.Random(seed)
+    passages = [" ".join(f"s{k}w{j}" for j in range(30)) for k in range(6)]
+    texts = []
+    for i in range(70):
+        words = " ".join(rng.sample(passages, rng.randint(1, 4))).split()
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+            words[rng.randrange(len(words))] = f"n{rng.randint(0, 30)}"
+        texts.append(" ".join(words))
+    want = plain.clusters([plain.shingles(t) for t in texts])
+    sent, found = searched(spark, monkeypatch, texts)
+    assert found == dict(enumerate(want)) and sent[0] > 0
+
+
 def test_training_order(docs, none):
     folder = training_order.shard_folder(docs)
     manifest = training_order.materialise(docs, folder, length=64, shard_slots=10, table=False)

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from cairn.llm.arrow import mapped
 from cairn.llm.mixing import stored
 from cairn.llm.text import fresh, quoted
+from cairn.operators.bitmap import PART_BITS
 
 MAX_FILTER_BYTES = 256 << 20
 # Chance of a mistake at level 0 and at all later levels.
@@ -107,14 +108,13 @@ def bloom(keys: DataFrame, level: int, rate: float) -> Bloom | None:
             found = [p for key in batch.column(0).to_pylist() for p in places(key, size, hashes, level)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["p"])
 
-    merged = (
-        keys.mapInArrow(positions, "p long")
-        .groupBy(F.shiftright("p", 3).alias("byte"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1), (F.col("p") % 8).cast("int"))).alias("value"))
-    )
-    bits = np.zeros(size // 8, np.uint8)
-    for at, value in merged.toLocalIterator():
-        bits[at] = value
+    # Spark assembles stretches of 4 KB; the driver gets a row for each.
+    merged = keys.mapInArrow(positions, "p long").groupBy(F.floor(F.col("p") / PART_BITS).alias("part"))
+    width = PART_BITS // 8
+    bits = np.zeros(-(-size // PART_BITS) * width, np.uint8)
+    for part, bitmap in merged.agg(F.bitmap_construct_agg(F.col("p") % PART_BITS)).toLocalIterator():
+        bits[part * width : (part + 1) * width] = np.frombuffer(bitmap, np.uint8)
+    bits = bits[: size // 8]
     return Bloom(bits, size, hashes, level)
 
 

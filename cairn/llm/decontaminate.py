@@ -12,7 +12,8 @@ Test items are the query set. They are read in blocks of ``BLOCK_BYTES`` (a
 longer item is a block of its own); a block is all that the driver's and a
 task's Python hold of them at a time. All blocks are broadcast: each executor
 keeps them, pickled, and a task reads them in turn for each slice of texts (a
-single block once). Texts need no shuffle.
+single block once). More than ``MOST_BLOCKS`` blocks, half a gigabyte of items,
+are refused with an error; split such a benchmark. Texts need no shuffle.
 
 Edge cases: NULL and empty texts have no words and no hits; items without words
 are ignored; an item with fewer words than a window is one window. Items that
@@ -39,7 +40,7 @@ from cairn.llm.fm_index import FMIndex
 from cairn.llm.text import fresh, quoted
 
 WINDOW = 13
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES, MOST_BLOCKS = 8 << 20, 64
 # A document is contaminated if windows cover one in that many of its words.
 RARE = 20
 
@@ -181,7 +182,11 @@ def annotate(
     text without the spans.
     """
     context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(p) for p in blocks(benchmark, item, item_text, window)]
+    shared = []
+    for phrases in blocks(benchmark, item, item_text, window):
+        if len(shared) == MOST_BLOCKS:
+            raise ValueError(f"the test items exceed {MOST_BLOCKS} blocks of {BLOCK_BYTES} bytes; split them")
+        shared.append(context.broadcast(phrases))
     names = {f.name: fresh(f.name, docs.columns) for f in RESULT.fields}
     schema = T.StructType([*docs.schema.fields, *[T.StructField(names[f.name], f.dataType) for f in RESULT.fields]])
 

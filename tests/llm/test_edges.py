@@ -143,6 +143,14 @@ def test_a_task_holds_one_block_of_items(spark, monkeypatch):
     assert [r[name["items"]] for r in found.collect()] == [["1"]]
 
 
+def test_too_many_items_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 5)
+    monkeypatch.setattr(decontaminate, "MOST_BLOCKS", 3)
+    items = spark.createDataFrame([(i, "some words") for i in range(4)], "item_id long, text string")
+    with pytest.raises(ValueError, match="split them"):
+        decontaminate.annotate(spark.createDataFrame([(1, "x")], "doc_id long, text string"), items)
+
+
 def test_ngram_join(docs, none):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.component_ids(docs).collect()}
     n = len(plain.shingles(PROSE))

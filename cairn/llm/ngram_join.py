@@ -51,6 +51,7 @@ from cairn.llm.components import components
 from cairn.llm.mixing import discard, stored, stored_as
 from cairn.llm.prefix_tree import Member, connect
 from cairn.llm.text import fresh, quoted
+from cairn.operators.bitmap import PART_BITS, bit_is_set
 
 SHINGLE = 5
 # Text whose hashes one bucket holds, text hashed at once in a task, and hashes dealt at once.
@@ -236,13 +237,11 @@ PACKED = "bucket int, part long, hashes binary, owners binary, place int, digest
 # A filter has this many bits for each value, and never more than these in all:
 # 16 MB. A fuller filter lets more rows through, which an exact join then sorts out.
 VALUE_BITS, MOST_BITS = 16, 1 << 27
-# What Spark's bitmap functions keep in one value.
-BITMAP = 1 << 15
 
 
 def filter_size(values: int) -> int:
     """Bits of a filter for that many values: a power of two."""
-    return max(BITMAP, min(MOST_BITS, 1 << (VALUE_BITS * values).bit_length()))
+    return max(PART_BITS, min(MOST_BITS, 1 << (VALUE_BITS * values).bit_length()))
 
 
 def filter_place(value: Column | str, bits: int) -> Column:
@@ -252,17 +251,17 @@ def filter_place(value: Column | str, bits: int) -> Column:
 
 
 def bitmaps(frame: DataFrame, column: str, bits: int) -> DataFrame:
-    """The filter of all values of a column: ``bucket`` and the bitmap of its ``BITMAP`` bits."""
+    """The filter of all values of a column: ``bucket`` and the bitmap of its ``PART_BITS`` bits."""
     place = frame.select(filter_place(column, bits).alias("p"))
-    return place.groupBy(F.floor(F.col("p") / BITMAP).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("p") % BITMAP).alias("bitmap")
+    return place.groupBy(F.floor(F.col("p") / PART_BITS).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("p") % PART_BITS).alias("bitmap")
     )
 
 
 def bit_filter(frame: DataFrame, column: str, bits: int) -> np.ndarray:
     """The filter as bytes; the driver gets a row for each 4 KB."""
     out = np.zeros(bits // 8, np.uint8)
-    width = BITMAP // 8
+    width = PART_BITS // 8
     for bucket, bitmap in bitmaps(frame, column, bits).toLocalIterator():
         out[bucket * width : (bucket + 1) * width] = np.frombuffer(bitmap, np.uint8)
     return out
@@ -519,10 +518,9 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     listed = bitmaps(fate, "doc_id", size).toDF(names["bucket"], names["bitmap"])
     long_id = F.col(quoted(id_column)).cast("long")
     placed = docs.withColumn(names["place"], filter_place(long_id, size))
-    placed = placed.join(F.broadcast(listed), F.floor(F.col(names["place"]) / BITMAP) == F.col(names["bucket"]), "left")
-    at = F.col(names["place"]) % BITMAP
-    byte = F.conv(F.hex(F.substring(names["bitmap"], F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.call_function("getbit", byte, (at % 8).cast("int")) == 1, F.lit(False))
+    placed = placed.join(F.broadcast(listed), F.floor(F.col(names["place"]) / PART_BITS) == F.col(names["bucket"]), "left")
+    at = F.col(names["place"]) % PART_BITS
+    hit = F.coalesce(bit_is_set(F.col(names["bitmap"]), at), F.lit(False))
 
     schema = T.StructType([*docs.schema.fields, T.StructField(names["digest"], T.StringType())])
     text_place = docs.columns.index(text)

@@ -3,6 +3,14 @@
 Each stage takes what the one before kept and is one of the operators of
 ``cairn.llm``; its result is written as Parquet and read again for the next.
 The last returns a row per sequence slot of the training order.
+
+Edge cases, as in the operators: documents with NULL or empty text break the
+first rule and go, whatever their other columns; with only such documents, or
+none, all stages run on empty tables and the result is empty. NULL sources are a
+source of their own. Rows that repeat are one group of copies, of which one
+stays; among copies with and without id one with the smallest id does. Texts of
+any length are read whole. Extra columns are kept up to the last stage and may
+have any name. The table a stage has read is deleted when the next is written.
 """
 
 from __future__ import annotations
@@ -10,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cairn.llm import decontaminate, mixing, ngram_join, quality_rules, training_order
-from cairn.llm.mixing import stored
+from cairn.llm.mixing import discard, stored
 from cairn.session import tune
 
 
@@ -58,7 +66,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name.split()[0]}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        before, docs = read, stored(stage(spark, docs, sf_dir), f"stage-{name.split()[0]}")
+        if before is not None:
+            discard(before)
+        read = docs
+    manifest = STAGES[-1][1](spark, docs, sf_dir)
+    discard(docs)
+    return manifest

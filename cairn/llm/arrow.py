@@ -75,3 +75,11 @@ def mapped(frame: DataFrame, run: Callable[[Batches], Batches], schema: T.Struct
 
     plain = T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(inside, schema, strict=True)])
     return frame.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, plain).toDF(*schema.names)
+
+
+def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows of the four kinds of columns as a batch."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = [pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields)]
+    return pa.RecordBatch.from_arrays(columns, names=[name for name, _ in fields])

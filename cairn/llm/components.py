@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.mixing import stored
+from cairn.llm.scratch import stored
 
 
 class Sets:

@@ -37,7 +37,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.mixing import stored
+from cairn.llm.scratch import stored
 from cairn.llm.text import quoted
 
 TERM = r"[\p{L}\p{M}\p{N}]+"

@@ -39,11 +39,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.arrow import raw_texts
-from cairn.llm.mixing import stored
-from cairn.llm.ngram_join import MIX, WordHashes, _batch, mixed, text_bytes
+from cairn.llm.arrow import batch_of, raw_texts
+from cairn.llm.hashes import MIX, WordHashes, mixed
+from cairn.llm.scratch import stored
 from cairn.llm.splits import fixed_splits
-from cairn.llm.text import quoted
+from cairn.llm.text import quoted, text_bytes
 
 # Text per part, and text whose distinct bigrams one bucket counts.
 PART_BYTES, BUCKET_BYTES = 12 << 20, 24 << 20
@@ -164,7 +164,7 @@ def _ask(buckets: int):
                     for b, (s, e) in enumerate(zip([0, *ends[:-1]], ends, strict=True))
                     if e > s
                 ]
-                yield _batch(rows, ASKED)
+                yield batch_of(rows, ASKED)
 
     return run
 
@@ -187,7 +187,7 @@ def _answer(group: pa.Table) -> pa.Table:
     both = totals[0] + totals[1]
     sums = (int(totals[0].sum()), int(totals[1].sum()), int((totals[0] > 0).sum()), int((both > 0).sum()))
     out.append(("", level, bucket, None, None, *sums))
-    return pa.Table.from_batches([_batch(out, ANSWER)])
+    return pa.Table.from_batches([batch_of(out, ANSWER)])
 
 
 # --- weights --------------------------------------------------------------------------------------------------------
@@ -235,7 +235,7 @@ def _held_out_counts(totals: Totals, buckets: int):
     def run(key, part_rows: pa.Table, answers: pa.Table) -> pa.Table:
         name, stream = _rebuilt(part_rows, buckets)
         if stream is None:
-            return pa.Table.from_batches([_batch([], HISTOGRAM)])
+            return pa.Table.from_batches([batch_of([], HISTOGRAM)])
         part, _ = stream
         counts = _counts_of(name, part, answers)
         tokens, bigrams = counts[TOKEN_LEVEL][0], counts[BIGRAM_LEVEL][0]
@@ -245,7 +245,7 @@ def _held_out_counts(totals: Totals, buckets: int):
         place = (octave(context) * BINS + bins[0].astype(np.int64)) * BINS + bins[1].astype(np.int64)
         seen, n = np.unique(place, return_counts=True)
         rows = [(int(s // BINS**2), int(s // BINS % BINS), int(s % BINS), int(c)) for s, c in zip(seen, n, strict=True)]
-        return pa.Table.from_batches([_batch(rows, HISTOGRAM)])
+        return pa.Table.from_batches([batch_of(rows, HISTOGRAM)])
 
     return run
 
@@ -296,7 +296,7 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed(lengths),
             len(data[0]).to_bytes(8, "little") + data[0] + data[1],
         )
-        yield _batch([row], PART)
+        yield batch_of([row], PART)
 
 
 def _rebuilt(rows: pa.Table, buckets: int):

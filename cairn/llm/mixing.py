@@ -27,8 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn.llm.scratch import stored
 from cairn.llm.text import fresh, quoted, word_count
-from cairn.session import scratch_dir
 
 # Hash bits per refinement: 256 buckets for each source.
 BITS = 8
@@ -38,29 +38,6 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 2
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame, written to the shared folder and read back."""
-    path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
-    table = frame.sparkSession.read.schema(frame.schema).parquet(path)
-    table.stored_at = path
-    return table
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete the files of stored tables that nothing will read again."""
-    for table in tables:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
-def stored_as(frame: DataFrame, label: str) -> DataFrame:
-    """:func:`stored` for column names that Parquet would not take."""
-    names = frame.columns
-    return stored(frame.toDF(*[f"c{i}" for i in range(len(names))]), label).toDF(*names)
-
-
 def row_hash(id_column: Column, text: Column) -> Column:
     """A 60-bit hash of id and text, from the first 15 digits of their MD5."""
     joined = F.concat(F.coalesce(id_column.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))

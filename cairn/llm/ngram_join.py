@@ -41,41 +41,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.llm.arrow import mapped, raw_texts, released, released_after, slices
+from cairn.llm.arrow import batch_of, mapped, raw_texts, released, released_after, slices
 from cairn.llm.components import components
-from cairn.llm.mixing import discard, stored, stored_as
+from cairn.llm.hashes import MIX, WordHashes, mixed
 from cairn.llm.prefix_tree import Member, connect
-from cairn.llm.text import fresh, quoted
+from cairn.llm.scratch import discard, stored, stored_as
+from cairn.llm.text import fresh, quoted, text_bytes
 from cairn.operators.bitmap import PART_BITS, bit_is_set
 
 SHINGLE = 5
 # Text whose hashes one bucket holds, text hashed at once in a task, and hashes dealt at once.
 BUCKET_BYTES, PART_BYTES, DEALT = 8 << 20, 2 << 20, 1 << 20
 CHUNK, BRIDGES = 64, 4
-WORD_MEMORY = 1 << 18
-
-MIX, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * SPREAD
-    return h ^ (h >> np.uint64(29))
-
-
-class WordHashes(dict):
-    """64-bit hash of each word, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_MEMORY:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
 
 def shingles(text: bytes, known: WordHashes) -> np.ndarray:
     """The sorted set of a text's shingle hashes."""
@@ -148,7 +129,7 @@ def hashed(docs: DataFrame, buckets: int) -> DataFrame:
             rows += [(b, name, None, None, None, None, k, o) for b, k, o in dealt(sets, buckets, False)]
             sets.clear()
             ids.clear()
-            return _batch(rows, RAW)
+            return batch_of(rows, RAW)
 
         size = 0
         for batch in batches:
@@ -166,15 +147,8 @@ def hashed(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(released(run), RAW)
 
 
-def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    fields = [f.split() for f in schema.split(", ")]
-    columns = [pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields)]
-    return pa.RecordBatch.from_arrays(columns, names=[name for name, _ in fields])
-
-
 def _table(rows: list[tuple], schema: str) -> pa.Table:
-    return pa.Table.from_batches([_batch(rows, schema)])
+    return pa.Table.from_batches([batch_of(rows, schema)])
 
 
 ANSWER = "part long, owners binary, hashes binary, counts binary"
@@ -296,7 +270,7 @@ def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame
             likely_rows = batch.filter(pa.array(bits.value[place >> 3] >> (place & 7) & 1 == 1))
             for part in slices(likely_rows, "text", PART_BYTES):
                 sets = [shingles(t, known) for t in raw_texts(part.column("text"))]
-                yield _batch([(digest(s), len(s), s.tobytes()) for s in sets if len(s)], schema)
+                yield batch_of([(digest(s), len(s), s.tobytes()) for s in sets if len(s)], schema)
 
     sets = texts.mapInArrow(released(rebuild), schema).join(digests, "digest", "left_semi").groupBy("digest")
     sets = stored(sets.agg(F.first("size").alias("size"), F.first("set").alias("set")), "join-sets")
@@ -309,7 +283,7 @@ def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame
                 found = [np.frombuffer(r["set"], np.uint64) for r in rows]
                 out = [(-1, part, None, None, i, r["digest"], r["size"]) for i, r in enumerate(rows)]
                 out += [(b, part, k, o, None, None, None) for b, k, o in dealt(found, buckets, True)]
-                yield _batch(out, PACKED)
+                yield batch_of(out, PACKED)
 
     # Written once, so that both kinds of rows name the same parts.
     both = stored(sets.mapInArrow(released(pack), PACKED), "join-packed")
@@ -454,10 +428,6 @@ def _units(active: DataFrame, label: str) -> DataFrame:
 # --- results --------------------------------------------------------------------------------------------------------
 
 
-def text_bytes(docs: DataFrame) -> int:
-    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-
-
 def joined(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, size, digest) and classes (digest, component_id, keeper).
 

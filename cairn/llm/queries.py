@@ -22,8 +22,8 @@ from cairn.llm import (
     url_filter,
     warc,
 )
-from cairn.llm.mixing import stored
 from cairn.llm.oracles import ORACLES  # noqa: F401
+from cairn.llm.scratch import stored
 from cairn.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.mixing import stored
+from cairn.llm.scratch import stored
 
 # A sample is a list on the driver, and is broadcast to fetch its rows.
 MOST = 100_000

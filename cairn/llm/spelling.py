@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.mixing import stored
+from cairn.llm.scratch import stored
 from cairn.llm.text import hash_share, quoted
 
 LETTERS = r"A-Za-zÀ-ÿ"

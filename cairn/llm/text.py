@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A word is a run of anything but the six ASCII white-space characters.
@@ -37,3 +37,8 @@ def hash_share(value: Column, share: float) -> Column:
     if share >= 1:
         return F.lit(True)
     return F.shiftrightunsigned(F.xxhash64(value), 1) <= int(share * 2**62) * 2
+
+
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts of a frame."""
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

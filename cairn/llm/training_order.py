@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.arrow import raw_texts, slices
-from cairn.llm.mixing import stored
+from cairn.llm.scratch import stored
 from cairn.llm.splits import fixed_splits
 from cairn.llm.text import quoted
 from cairn.llm.tokens import count as count_tokens

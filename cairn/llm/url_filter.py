@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.llm.arrow import mapped
-from cairn.llm.mixing import stored
+from cairn.llm.scratch import stored
 from cairn.llm.text import fresh, quoted
 from cairn.operators.bitmap import PART_BITS
 

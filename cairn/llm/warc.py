@@ -36,7 +36,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.mixing import stored
+from cairn.llm.scratch import stored
 from cairn.llm.text import quoted
 from cairn.session import scratch_dir
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cairn.llm import decontaminate, mixing, ngram_join, quality_rules, training_order
-from cairn.llm.mixing import discard, stored
+from cairn.llm.scratch import discard, stored
 from cairn.session import tune
 
 

@@ -17,25 +17,39 @@ from cairn.plans.silver import (
 from cairn.sources.files import read_delimited_lines
 from tests.conftest import rows
 
-# Ten order headers as pipe-delimited text, with their columns.
+# Order headers as pipe-delimited text, with their columns; what is given and what comes out.
 HEADER = (
     "SalesOrderID|RevisionNumber|OrderDate|DueDate|ShipDate|Status|OnlineOrderFlag|SalesOrderNumber"
     "|PurchaseOrderNumber|AccountNumber|CustomerID|SalesPersonID|TerritoryID|BillToAddressID|ShipToAddressID"
     "|ShipMethodID|CreditCardID|CreditCardApprovalCode|CurrencyRateID|SubTotal|TaxAmt|Freight|TotalDue|Comment"
     "|rowguid|ModifiedDate"
 )
-DATES = "2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000"
-ORDERS = [
-    f"43659|8|{DATES}|5|0|SO43659|PO522145787|10-4020-000676|29825|279|5|985|985|5|16281|105041Vi84182|NULL|20565.6206|1971.5149|616.0984|23153.2339|NULL|79b65321-39ca-4115-9cba-8fe0903e12e6|2011-06-07 00:00:00.000",
-    f"43660|8|{DATES}|5|0|SO43660|PO18850127500|10-4020-000117|29672|279|5|921|921|5|5618|115213Vi29411|NULL|1294.2529|124.2483|38.8276|1457.3288|NULL|738dc42d-d03b-48a1-9822-f95a67ea7389|2011-06-07 00:00:00.000",
-    f"43661|8|{DATES}|5|0|SO43661|PO18473189620|10-4020-000442|29734|282|6|517|517|5|1346|85274Vi6854|4|32726.4786|3153.7696|985.553|36865.8012|NULL|d91b9131-18a4-4a11-bc3a-90b6f53e9d74|2011-06-07 00:00:00.000",
-    f"43662|8|{DATES}|5|0|SO43662|PO18444174044|10-4020-000227|29994|282|6|482|482|5|10456|125295Vi53935|4|28832.5289|2775.1646|867.2389|32474.9324|NULL|4a1ecfc0-cc3a-4740-b028-1c50bb48711c|2011-06-07 00:00:00.000",
-    f"43663|8|{DATES}|5|0|SO43663|PO18009186470|10-4020-000510|29565|276|4|1073|1073|5|4322|45303Vi22691|NULL|419.4589|40.2681|12.5838|472.3108|NULL|9b1e7a40-6ae0-4ad3-811c-a64951857c4b|2011-06-07 00:00:00.000",
-    f"43664|8|{DATES}|5|0|SO43664|PO16617121983|10-4020-000397|29898|280|1|876|876|5|806|95555Vi4081|NULL|24432.6088|2344.9921|732.81|27510.4109|NULL|22a8a5da-8c22-42ad-9241-839489b6ef0d|2011-06-07 00:00:00.000",
-    f"43665|8|{DATES}|5|0|SO43665|PO16588191572|10-4020-000146|29580|283|1|849|849|5|15232|35568Vi78804|NULL|14352.7713|1375.9427|429.9821|16158.6961|NULL|5602c304-853c-43d7-9e79-76e320d476cf|2011-06-07 00:00:00.000",
-    f"43666|8|{DATES}|5|0|SO43666|PO16008173883|10-4020-000511|30052|276|4|1074|1074|5|13349|105623Vi69217|NULL|5056.4896|486.3747|151.9921|5694.8564|NULL|e2a90057-1366-4487-8a7e-8085845ff770|2011-06-07 00:00:00.000",
-    f"43667|8|{DATES}|5|0|SO43667|PO15428132599|10-4020-000646|29974|277|3|629|629|5|10370|55680Vi53503|NULL|6107.082|586.1203|183.1626|6876.3649|NULL|86d5237d-432d-4b21-8abc-671942f5789d|2011-06-07 00:00:00.000",
-    f"43668|8|{DATES}|5|0|SO43668|PO14732180295|10-4020-000514|29614|282|6|529|529|5|1566|85817Vi8045|4|35944.1562|3461.7654|1081.8017|40487.7233|NULL|281cc355-d538-494e-9b44-461b36a826c6|2011-06-07 00:00:00.000",
+GIVEN_ORDERS = [
+    "43659|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43659|PO522145787|10-4020-000676|29825|279|5|985|985|5|16281|105041Vi84182|NULL|20565.6206|1971.5149|616.0984|23153.2339|NULL|79b65321-39ca-4115-9cba-8fe0903e12e6|2011-06-07 00:00:00.000",
+    "43660|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43660|PO18850127500|10-4020-000117|29672|279|5|921|921|5|5618|115213Vi29411|NULL|1294.2529|124.2483|38.8276|1457.3288|NULL|738dc42d-d03b-48a1-9822-f95a67ea7389|2011-06-07 00:00:00.000",
+    "43661|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43661|PO18473189620|10-4020-000442|29734|282|6|517|517|5|1346|85274Vi6854|4|32726.4786|3153.7696|985.553|36865.8012|NULL|d91b9131-18a4-4a11-bc3a-90b6f53e9d74|2011-06-07 00:00:00.000",
+    "43662|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43662|PO18444174044|10-4020-000227|29994|282|6|482|482|5|10456|125295Vi53935|4|28832.5289|2775.1646|867.2389|32474.9324|NULL|4a1ecfc0-cc3a-4740-b028-1c50bb48711c|2011-06-07 00:00:00.000",
+    "43663|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43663|PO18009186470|10-4020-000510|29565|276|4|1073|1073|5|4322|45303Vi22691|NULL|419.4589|40.2681|12.5838|472.3108|NULL|9b1e7a40-6ae0-4ad3-811c-a64951857c4b|2011-06-07 00:00:00.000",
+    "43664|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43664|PO16617121983|10-4020-000397|29898|280|1|876|876|5|806|95555Vi4081|NULL|24432.6088|2344.9921|732.81|27510.4109|NULL|22a8a5da-8c22-42ad-9241-839489b6ef0d|2011-06-07 00:00:00.000",
+    "43665|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43665|PO16588191572|10-4020-000146|29580|283|1|849|849|5|15232|35568Vi78804|NULL|14352.7713|1375.9427|429.9821|16158.6961|NULL|5602c304-853c-43d7-9e79-76e320d476cf|2011-06-07 00:00:00.000",
+    "43666|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43666|PO16008173883|10-4020-000511|30052|276|4|1074|1074|5|13349|105623Vi69217|NULL|5056.4896|486.3747|151.9921|5694.8564|NULL|e2a90057-1366-4487-8a7e-8085845ff770|2011-06-07 00:00:00.000",
+    "43667|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43667|PO15428132599|10-4020-000646|29974|277|3|629|629|5|10370|55680Vi53503|NULL|6107.082|586.1203|183.1626|6876.3649|NULL|86d5237d-432d-4b21-8abc-671942f5789d|2011-06-07 00:00:00.000",
+    "43668|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43668|PO14732180295|10-4020-000514|29614|282|6|529|529|5|1566|85817Vi8045|4|35944.1562|3461.7654|1081.8017|40487.7233|NULL|281cc355-d538-494e-9b44-461b36a826c6|2011-06-07 00:00:00.000",
+    "43668|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43668|PO14732180295|10-4020-000514|29614|282|6|529|529|5|1566|85817Vi8045|4|35944.1562|3461.7654|1081.8017|40487.7233|NULL|281cc355-d538-494e-9b44-461b36a826c6|2011-06-07 00:00:00.000",
+    "43668|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43668|PO14732180295|10-4020-000514|29614|282|6|529|529|5|1566|85817Vi8045|4|35944.1562|3461.7654|1081.8017|40487.7233|NULL|281cc355-d538-494e-9b44-461b36a826c6|2011-06-07 00:00:00.000",
+    "43668|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43668|PO14732180295|10-4020-000514|29614|282|6|529|529|5|1566|85817Vi8045|4|35944.1562|3461.7654|1081.8017|40487.7233|NULL|281cc355-d538-494e-9b44-461b36a826c6|2011-06-07 00:00:00.000",
+]
+EXPECTED_ORDERS = [
+    "43659|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43659|PO522145787|10-4020-000676|29825|279|5|985|985|5|16281|105041Vi84182|NULL|20565.6206|1971.5149|616.0984|23153.2339|NULL|79b65321-39ca-4115-9cba-8fe0903e12e6|2011-06-07 00:00:00.000",
+    "43660|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43660|PO18850127500|10-4020-000117|29672|279|5|921|921|5|5618|115213Vi29411|NULL|1294.2529|124.2483|38.8276|1457.3288|NULL|738dc42d-d03b-48a1-9822-f95a67ea7389|2011-06-07 00:00:00.000",
+    "43661|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43661|PO18473189620|10-4020-000442|29734|282|6|517|517|5|1346|85274Vi6854|4|32726.4786|3153.7696|985.553|36865.8012|NULL|d91b9131-18a4-4a11-bc3a-90b6f53e9d74|2011-06-07 00:00:00.000",
+    "43662|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43662|PO18444174044|10-4020-000227|29994|282|6|482|482|5|10456|125295Vi53935|4|28832.5289|2775.1646|867.2389|32474.9324|NULL|4a1ecfc0-cc3a-4740-b028-1c50bb48711c|2011-06-07 00:00:00.000",
+    "43663|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43663|PO18009186470|10-4020-000510|29565|276|4|1073|1073|5|4322|45303Vi22691|NULL|419.4589|40.2681|12.5838|472.3108|NULL|9b1e7a40-6ae0-4ad3-811c-a64951857c4b|2011-06-07 00:00:00.000",
+    "43664|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43664|PO16617121983|10-4020-000397|29898|280|1|876|876|5|806|95555Vi4081|NULL|24432.6088|2344.9921|732.81|27510.4109|NULL|22a8a5da-8c22-42ad-9241-839489b6ef0d|2011-06-07 00:00:00.000",
+    "43665|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43665|PO16588191572|10-4020-000146|29580|283|1|849|849|5|15232|35568Vi78804|NULL|14352.7713|1375.9427|429.9821|16158.6961|NULL|5602c304-853c-43d7-9e79-76e320d476cf|2011-06-07 00:00:00.000",
+    "43666|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43666|PO16008173883|10-4020-000511|30052|276|4|1074|1074|5|13349|105623Vi69217|NULL|5056.4896|486.3747|151.9921|5694.8564|NULL|e2a90057-1366-4487-8a7e-8085845ff770|2011-06-07 00:00:00.000",
+    "43667|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43667|PO15428132599|10-4020-000646|29974|277|3|629|629|5|10370|55680Vi53503|NULL|6107.082|586.1203|183.1626|6876.3649|NULL|86d5237d-432d-4b21-8abc-671942f5789d|2011-06-07 00:00:00.000",
+    "43668|8|2011-05-31 00:00:00.000|2011-06-12 00:00:00.000|2011-06-07 00:00:00.000|5|0|SO43668|PO14732180295|10-4020-000514|29614|282|6|529|529|5|1566|85817Vi8045|4|35944.1562|3461.7654|1081.8017|40487.7233|NULL|281cc355-d538-494e-9b44-461b36a826c6|2011-06-07 ",
 ]
 
 T1, T2 = dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2)
@@ -57,12 +71,10 @@ def run(spark, table, *records, **options):
 
 
 def test_thirteen_text_rows_become_ten_typed_orders(spark):
-    given = read_delimited_lines(spark, [HEADER, *ORDERS, *[ORDERS[-1]] * 3], sep="|")
+    given = read_delimited_lines(spark, [HEADER, *GIVEN_ORDERS], sep="|")
     assert given.count() == 13 and given.schema["CurrencyRateID"].dataType == T.StringType()
     spec = SILVER["sales_salesorderheader"]
-    # The last date of the expected rows is cut after the blank.
-    expected_lines = [*ORDERS[:-1], ORDERS[-1].removesuffix("00:00:00.000")]
-    expected = read_delimited_lines(spark, [HEADER, *expected_lines], sep="|", schema=spec.schema)
+    expected = read_delimited_lines(spark, [HEADER, *EXPECTED_ORDERS], sep="|", schema=spec.schema)
     assert expected.count() == 10
     assert frames_equal(silver_transform(given, spec, wide_ids=False), expected)
 

@@ -481,6 +481,11 @@ def ft_agg_product_day(fact: DataFrame, product: DataFrame) -> DataFrame:
         fact.groupBy(F.col("ProductKey").alias("FactKey"), F.to_date("OrderDateKey").alias("OrderDate"))
         .agg(F.sum("OrderQty").alias("Qty"), F.sum("LineTotal").alias("Amount"))
     )
+    return with_product_names(daily, product)
+
+
+def with_product_names(daily: DataFrame, product: DataFrame) -> DataFrame:
+    """Sums per ``FactKey`` and ``OrderDate`` with the names of the product dimension."""
     names = C.project(
         product,
         {

@@ -233,7 +233,9 @@ def _save_partitions(df: DataFrame, root: str, parts: _Partitions) -> tuple[int,
 def _add_rows(df: DataFrame, root: str, write: str, parts: _Partitions) -> int:
     counter = Observation()
     counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
-    counted.write.format(parts.fmt).mode("append").partitionBy(*parts.columns).save(f"{root}/{WRITE}={write}")
+    # Rows of a partition meet in few tasks, each of which writes one file; large partitions are split.
+    dealt = counted.hint("rebalance", *[F.col(_quoted(c)) for c in parts.columns])
+    dealt.write.format(parts.fmt).mode("append").partitionBy(*parts.columns).save(f"{root}/{WRITE}={write}")
     return counter.get["rows"]
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from cairn.operators.merge import Unmatched
 from cairn.operators.quality import Rule
+from cairn.plans.incremental import change_daily, create_daily, read_daily
 from cairn.plans.warehouse import GOLD_INPUTS, Warehouse
 from cairn.session import scratch_dir
 from cairn.sources.clustered import read_clustered, write_clustered
@@ -376,6 +377,37 @@ def fact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_clustered(spark, table, {"OrderDateKey": (datetime(1995, 1, 1), datetime(1995, 12, 31)), "ProductKey": (20, 150)})
 
 
+_KEPT = "SalesOrderDetailID % 10 <> 7"
+_CHANGED_FACT = """SELECT ProductKey, CASE WHEN SalesOrderDetailID % 10 = 5 THEN OrderDateKey + INTERVAL 3 DAY ELSE OrderDateKey END
+                          AS OrderDateKey, SalesOrderDetailID,
+                          CASE WHEN SalesOrderDetailID % 10 = 5 THEN OrderQty + 1 ELSE OrderQty END AS OrderQty,
+                          CASE WHEN SalesOrderDetailID % 10 = 5 THEN LineTotal * 2 ELSE LineTotal END AS LineTotal
+                   FROM fact"""
+
+
+@query(
+    "ft_agg_incremental",
+    f"""WITH fact AS ({gold_sql('FactInternetSales')}), changed AS ({_CHANGED_FACT})
+        SELECT f.ProductKey, CAST(f.OrderDateKey AS DATE) AS OrderDate, p.ProductName, p.CategoryName AS ProductCategoryName,
+               p.SubcategoryName AS ProductSubcategoryName, CAST(sum(f.OrderQty) AS BIGINT) AS TotalOrderQty,
+               CAST(sum(f.LineTotal) AS DECIMAL(38,6)) AS TotalLineTotal
+        FROM changed f LEFT JOIN ({gold_sql('DimProduct')}) p ON f.ProductKey = p.ProductKey
+        WHERE f.{_KEPT} GROUP BY ALL""",
+)
+def ft_agg_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily aggregate after inserts, updates that move to another day, and deletes; not computed again."""
+    table = f"{_database(spark, 'daily')}.state"
+    columns = ["ProductKey", "OrderDateKey", "SalesOrderDetailID", "OrderQty", "LineTotal"]
+    write_table(gold_model(spark, sf_dir, "FactInternetSales").select(*columns), f"{table}_fact")
+    fact = read_table(spark, f"{table}_fact")
+    changed = spark.sql(_CHANGED_FACT.replace("FROM fact", "FROM {fact}"), fact=fact)
+    digit = F.col("SalesOrderDetailID") % 10
+    create_daily(fact.where(digit != 3), table)
+    change_daily(spark, table, fact.where(digit == 7), changed.where(digit == 3))
+    change_daily(spark, table, fact.where(digit == 5), changed.where(digit == 5))
+    return read_daily(spark, table, gold_model(spark, sf_dir, "DimProduct"))
+
+
 # -- tables ----------------------------------------------------------------
 
 

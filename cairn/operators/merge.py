@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from enum import Enum
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,9 +84,7 @@ def written_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     rows with a NULL key are spread over the tasks of that join.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
-    aligned = source.select(
-        *[_column(c).cast(types[c]).alias(c) if c in types else _column(c) for c in source.columns]
-    )
+    aligned = typed_as(target, source)
     carried = [c for c in target.columns if c not in source.columns]
     if carried:
         partner = {k: f"__partner_{k}" for k in keys}
@@ -93,6 +93,12 @@ def written_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return aligned.select(*map(_column, target.columns), *[_column(c) for c in source.columns if c not in types])
 
 
+def typed_as(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The source with the target's types of common columns."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    return source.select(*[_column(c).cast(types[c]).alias(c) if c in types else _column(c) for c in source.columns])
+
+
 def _column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -127,6 +133,34 @@ def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], sour
     return lookup_join(target, known.toDF(*[f"__partner_{k}" for k in keys]), {k: f"__partner_{k}" for k in keys}, "left_semi")
 
 
+def merge_in_place(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    unmatched: Unmatched = Unmatched.KEEP,
+    delete_where: str | None = None,
+) -> DataFrame:
+    """The merged rows by one full join on the keys alone.
+
+    For sides that are dealt alike by the keys, such as tables in equal buckets:
+    neither is shuffled. The source has the target's names and types, and unique
+    keys. NULL keys match nothing, so both sides' rows with one stay.
+    """
+    doomed = F.lit(unmatched is Unmatched.DELETE)
+    if delete_where is not None:
+        doomed = doomed & F.coalesce(F.expr(delete_where), F.lit(False))
+    marked = target.select("*", (doomed & ~any_null(keys)).alias("__doomed"))
+    left = marked.toDF(*[f"t{i}" for i in range(len(target.columns))], "doomed")
+    right = source.toDF(*[f"s{i}" for i in range(len(source.columns))]).withColumn("given", F.lit(True))
+    old = {c: F.col(f"t{i}") for i, c in enumerate(target.columns)}
+    new = {c: F.col(f"s{i}") for i, c in enumerate(source.columns)}
+    joined = left.join(right, reduce(and_, [old[k] == new[k] for k in keys]), "full")
+    given = F.coalesce("given", F.lit(False))
+    both = {c: F.when(given, new[c]).otherwise(old[c]) if c in new else old[c] for c in old}
+    more = [v.alias(c) for c, v in new.items() if c not in old]
+    return joined.where(given | ~F.col("doomed")).select(*[v.alias(c) for c, v in both.items()], *more)
+
+
 def _unmatched(
     target: DataFrame, source: DataFrame, keys: Sequence[str], source_rows: int | None, key_filter: bool | None
 ) -> DataFrame:

@@ -11,6 +11,10 @@ version, each with the partitions it wrote; the view names those that hold. A
 merge rewrites only the partitions that hold a row to be replaced or deleted,
 and adds files for the rest; see :func:`upsert_table`.
 
+A bucketed table keeps its rows dealt and sorted by the hash of key columns, also
+through merges, so that joins, merges and sums by these keys shuffle only the
+other side, or nothing if that is bucketed alike.
+
 Old versions and replaced partitions stay until :func:`drop_old_versions` and
 :func:`drop_replaced_partitions` are called. Plain catalog tables that were made
 otherwise are written too: their pointer is moved, and only a change of existing
@@ -37,7 +41,9 @@ from cairn.operators.merge import (
     duplicate_keys,
     kept_rows,
     matched_rows,
+    merge_in_place,
     spelled,
+    typed_as,
     written_rows,
 )
 
@@ -66,14 +72,29 @@ def table_files(spark: SparkSession, table: str) -> DataFrame:
     return read_table(spark, properties.get("cairn.entry", table))
 
 
-def write_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
+def write_table(
+    df: DataFrame,
+    table: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
+) -> int:
     """Replace the table's rows and schema. Returns the number of rows.
 
-    Partition columns are whole numbers, dates, flags or texts; as in all Spark
+    With ``bucket_by``, rows are dealt to ``buckets`` by the hash of these
+    columns and sorted by them. Partition columns are whole numbers, dates, flags or texts; as in all Spark
     tables an empty text is read back as NULL from one.
     """
     spark = df.sparkSession
     version = _new_version(spark, table)
+    if bucket_by:
+        if partition_by or buckets < 1:
+            raise ValueError("a bucketed table has a number of buckets and no partitions")
+        layout = _Buckets(fmt, tuple(spelled(df, bucket_by)), buckets)
+        rows = _save_buckets(df, table, version, layout)
+        _replace_view(spark, table, _entry(table, version), df.columns, layout.properties(_entry(table, version)))
+        return rows
     if not partition_by:
         rows = _save_counted(df, version, fmt)
         _publish(spark, table, version, fmt, df.schema)
@@ -111,6 +132,9 @@ def upsert_table(
     parts = _partitions(spark, table) if target is not None else None
     if parts is not None:
         return _upsert_partitions(source, target, parts, keys, unmatched, delete_where)
+    layout = _bucket_layout(spark, table) if target is not None else None
+    if layout is not None:
+        return _upsert_buckets(source, target, table, layout, keys, unmatched, delete_where)
     if target is None and partition_by:
         if not duplicate_keys(source, keys).isEmpty():
             raise DuplicateKeys(f"the source for {table} repeats a value of {', '.join(keys)}")
@@ -144,7 +168,8 @@ def replace_rows(source: DataFrame, table: str, where: Column | None) -> int:
     source = as_in_target(target, source)
     added = _padded(source, _evolved(target.schema, source.schema))
     root, write = _location(spark, parts.entry), uuid.uuid4().hex
-    rows = _add_rows(added, root, write, parts)
+    _add_rows(added, root, write, parts)
+    rows = _staged(added, root, write, parts).count()
     changed = set()
     if where is not None:
         doomed = F.coalesce(where, F.lit(False))
@@ -226,17 +251,14 @@ def _partitions(spark: SparkSession, table: str) -> _Partitions | None:
 def _save_partitions(df: DataFrame, root: str, parts: _Partitions) -> tuple[int, list[Part]]:
     """Write rows as a new write below the root; their number and partitions."""
     write = uuid.uuid4().hex
-    rows = _add_rows(df, root, write, parts)
-    return rows, _written(df, root, write, parts)
+    _add_rows(df, root, write, parts)
+    return _staged(df, root, write, parts).count(), _written(df, root, write, parts)
 
 
-def _add_rows(df: DataFrame, root: str, write: str, parts: _Partitions) -> int:
-    counter = Observation()
-    counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
-    # Rows of a partition meet in few tasks, each of which writes one file; large partitions are split.
-    dealt = counted.hint("rebalance", *[F.col(_quoted(c)) for c in parts.columns])
+def _add_rows(df: DataFrame, root: str, write: str, parts: _Partitions) -> None:
+    """Rows as files of a write. Those of a partition meet in few tasks; large partitions are split."""
+    dealt = df.hint("rebalance", *[F.col(_quoted(c)) for c in parts.columns])
     dealt.write.format(parts.fmt).mode("append").partitionBy(*parts.columns).save(f"{root}/{WRITE}={write}")
-    return counter.get["rows"]
 
 
 def _staged(df: DataFrame, root: str, write: str, parts: _Partitions) -> DataFrame:
@@ -304,8 +326,9 @@ def _upsert_partitions(
     rows_written = written_rows(target, source, keys)
     root = _location(spark, parts.entry)
     write = uuid.uuid4().hex
-    rows = _add_rows(rows_written, root, write, parts)
+    _add_rows(rows_written, root, write, parts)
     staged = _staged(rows_written, root, write, parts)
+    rows = staged.count()
     _require_unique(staged, parts.table, keys)
     by = _values(parts.columns)
     if unmatched is Unmatched.DELETE and delete_where is None:
@@ -366,6 +389,78 @@ def _spec(partition: str) -> dict[str, str | None]:
     return {unquote(name): None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value) for name, value in pairs}
 
 
+# -- bucketed tables -------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class _Buckets:
+    """How the rows of a bucketed table are dealt."""
+
+    fmt: str
+    columns: tuple[str, ...]
+    number: int
+
+    def properties(self, entry: str) -> dict[str, str]:
+        return {
+            "cairn.entry": entry,
+            "cairn.format": self.fmt,
+            "cairn.buckets": str(self.number),
+            "cairn.bucket_by": json.dumps(self.columns),
+        }
+
+
+def _bucket_layout(spark: SparkSession, table: str) -> _Buckets | None:
+    properties = _properties(spark, table)
+    if "cairn.buckets" not in properties:
+        return None
+    columns = tuple(json.loads(properties["cairn.bucket_by"]))
+    return _Buckets(properties["cairn.format"], columns, int(properties["cairn.buckets"]))
+
+
+def _save_buckets(df: DataFrame, table: str, version: str, layout: _Buckets) -> int:
+    """Write rows as a catalog entry with buckets, each of one file; their number."""
+    # Dealt like the buckets, so that a task writes one of them.
+    dealt = df.repartition(layout.number, *[F.col(_quoted(c)) for c in layout.columns])
+    _write_buckets(dealt, table, version, layout)
+    return read_table(df.sparkSession, _entry(table, version)).count()
+
+
+def _write_buckets(df: DataFrame, table: str, version: str, layout: _Buckets) -> None:
+    writer = df.write.format(layout.fmt).bucketBy(layout.number, *layout.columns).sortBy(*layout.columns)
+    writer.option("path", version).saveAsTable(_entry(table, version))
+
+
+def _upsert_buckets(
+    source: DataFrame,
+    target: DataFrame,
+    table: str,
+    layout: _Buckets,
+    keys: Sequence[str],
+    unmatched: Unmatched,
+    delete_where: str | None,
+) -> int:
+    """Merge into a bucketed table: the source is written in the same buckets, the target stays where it is.
+
+    Both are joined bucket by bucket and written as the next version; no row of
+    the target is shuffled.
+    """
+    spark = source.sparkSession
+    source, keys = as_in_target(target, source), spelled(target, keys)
+    if set(layout.columns) != set(keys):
+        raise ValueError(f"{table} is bucketed by {', '.join(layout.columns)}, which are not the keys of the merge")
+    staged_version, version = _new_version(spark, table), _new_version(spark, table)
+    rows = _save_buckets(typed_as(target, source), table, staged_version, layout)
+    try:
+        staged = read_table(spark, _entry(table, staged_version))
+        _require_unique(staged, table, keys)
+        merged = merge_in_place(target, staged, keys, unmatched, delete_where)
+        _write_buckets(merged, table, version, layout)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {_entry(table, staged_version)}")
+    _replace_view(spark, table, _entry(table, version), merged.columns, layout.properties(_entry(table, version)))
+    return rows
+
+
 # -- versions --------------------------------------------------------------
 
 

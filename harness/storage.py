@@ -451,6 +451,16 @@ def merge_table_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table)
 
 
+@query("merge_bucketed", merge_sql("t.id IS NULL OR NOT coalesce(t.state = 'F', FALSE)"))
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge of merge_table on a table bucketed by the key: both sides stay in their buckets."""
+    target, changes = merge_sides(spark, sf_dir)
+    table = f"{_database(spark, 'bucketed')}.orders"
+    write_table(target, table, bucket_by=["id"], buckets=8)
+    upsert_table(changes, table, ["id"], Unmatched.DELETE, "state = 'F'")
+    return read_table(spark, table)
+
+
 @query(
     "overwrite_new_schema",
     f"""SELECT CAST(floor(amount / 1000) AS BIGINT) AS id, count(*) AS copies,

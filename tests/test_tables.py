@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairn.operators import bitmap
-from cairn.operators.merge import DuplicateKeys, Unmatched, merge_frames
+from cairn.operators.merge import DuplicateKeys, Unmatched, merge_frames, merge_in_place
 from cairn.session import scratch_dir
 from cairn.sources.tables import (
     create_layers,
@@ -238,3 +238,62 @@ def test_which_merges_use_a_bitmap(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "64k")
     assert bitmap.worth_filtering(left, right, ["i"], 5000)
     assert bitmap.filter_bits(1) == bitmap.LEAST_BITS and bitmap.filter_bits(10**12) == bitmap.MOST_BITS
+
+
+# -- bucketed tables -------------------------------------------------------
+
+
+def bucketed(spark, table, rows_, schema="k int, v string, s string"):
+    write_table(spark.createDataFrame(rows_, schema), table, bucket_by=["K"], buckets=4)
+
+
+@pytest.mark.parametrize("mode", [(Unmatched.KEEP, None), (Unmatched.DELETE, None), (Unmatched.DELETE, "s = 'F'")])
+def test_bucketed_merges_equal_merged_frames(spark, table, mode):
+    bucketed(spark, table, [(1, "t1", "F"), (2, "t2", "F"), (3, "t3", "O"), (None, "t0", "F"), (None, None, None)])
+    for source in (
+        spark.createDataFrame([(2, "s2", "O"), (4, "s4", "O"), (None, "s0", "O")], "k long, v string, s string"),
+        spark.createDataFrame([(2, 7), (5, 8)], "k int, extra int"),  # a new column, and two that are missing
+    ):
+        want = merge_frames(read_table(spark, table), source, ["k"], *mode)
+        want, columns = rows(want), want.columns
+        assert upsert_table(source, table, ["k"], *mode) == source.count()
+        held = read_table(spark, table)
+        assert held.columns == columns and rows(held) == want
+    names = {t.name for t in spark.catalog.listTables(table.split(".")[0])}
+    assert len(names) == 4  # the view and three versions
+
+
+def exchanges(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange")
+
+
+def test_buckets_need_no_exchange(spark, table, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    many = [(i, f"v{i}", "F") for i in range(500)]
+    bucketed(spark, table, many)
+    bucketed(spark, f"{table}_lines", [(i % 500, f"line{i}", "x") for i in range(2000)])
+    upsert_table(spark.createDataFrame([(7, "new", "O"), (900, "new", "O")], "k int, v string, s string"), table, ["k"])
+    orders, lines = read_table(spark, table), read_table(spark, f"{table}_lines").toDF("order", "text", "flag")
+    assert len(orders.inputFiles()) == 4
+    joined = lines.join(orders, lines["order"] == orders["k"])
+    assert exchanges(joined) == 0 and joined.count() == 2000
+    assert exchanges(orders.groupBy("k").count()) == 0 and exchanges(lines.select("order").distinct()) == 0
+    merged = merge_in_place(orders, orders.where("k < 10"), ["k"])
+    assert exchanges(merged) == 0 and merged.count() == 501
+
+
+def test_bucketed_tables_are_checked(spark, table):
+    bucketed(spark, table, [(1, "a", "F")])
+    source = spark.createDataFrame([(1, "b", "O"), (1, "c", "O")], "k int, v string, s string")
+    with pytest.raises(DuplicateKeys):
+        upsert_table(source, table, ["k"])
+    with pytest.raises(ValueError, match="not the keys"):
+        upsert_table(source.limit(1), table, ["v"])
+    with pytest.raises(ValueError, match="number of buckets"):
+        write_table(source, table, bucket_by=["k"])
+    assert rows(read_table(spark, table)) == [(1, "a", "F")]
+    write_table(source, table)
+    upsert_table(source.limit(1), table, ["v"])
+    assert read_table(spark, table).count() == 2

@@ -69,6 +69,8 @@ def mapped(frame: DataFrame, run: Callable[[Batches], Batches], schema: T.Struct
     names = frame.columns
     inside = [f"c{i}" for i in range(len(schema))]
 
+    run = released(run)
+
     def renamed(batches: Batches) -> Batches:
         for batch in run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches):
             yield pa.RecordBatch.from_arrays(batch.columns, names=inside)

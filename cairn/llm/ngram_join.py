@@ -503,7 +503,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
                 found = [digest(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], names=schema.names)
 
-    tagged = mapped(placed.where(hit).select(*own), released(tag), schema)
+    tagged = mapped(placed.where(hit).select(*own), tag, schema)
     shown = fate.select(*[F.col(c).alias(names[f"fate_{c.removeprefix('doc_')}"]) for c in ("doc_id", "digest", "n", "keeper")])
     same = (F.col(names["digest"]) == F.col(names["fate_digest"])) & long_id.eqNullSafe(F.col(names["fate_id"]))
     decided = tagged.join(shown, same, "left")

@@ -31,7 +31,7 @@ LETTERS[[*range(65, 91), *range(97, 123)]] = True
 ATTACHED = ~LETTERS & ~SPACES & (np.arange(256) < 128)
 TYPE = np.uint16
 # Pieces that a process remembers, besides those of one batch.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 
 
 @cache
@@ -145,6 +145,11 @@ def remembered(vocabulary: str) -> Remembered:
     return Remembered(vocabulary)
 
 
+def forget() -> None:
+    """Free what was remembered; a task does so at its end."""
+    remembered.cache_clear()
+
+
 def _encode_pieces(pieces: list[bytes], vocabulary: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of all pieces, and where those of each piece begin and how many they are.
 

@@ -40,12 +40,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.arrow import raw_texts, slices
+from cairn.llm.arrow import raw_texts, released, slices
 from cairn.llm.scratch import stored
 from cairn.llm.splits import fixed_splits
 from cairn.llm.text import quoted
 from cairn.llm.tokens import count as count_tokens
-from cairn.llm.tokens import encode
+from cairn.llm.tokens import encode, forget
 from cairn.llm.warc import opened
 from cairn.session import scratch_dir
 
@@ -161,11 +161,12 @@ def materialise(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = (p.column("text") for b in batches for p in slices(b, "text", PART_BYTES))
         total = sum(count_tokens(raw_texts(p), vocabulary) + len(p) for p in parts)
+        forget()
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, total)], names=["part", "n"])
 
     with fixed_splits(spark):
-        counts = dict(chosen.mapInArrow(count, "part long, n long").collect())
+        counts = dict(chosen.mapInArrow(released(count), "part long, n long").collect())
         return _placed(chosen, counts, folder, length, shard_slots, key, vocabulary)
 
 
@@ -189,6 +190,7 @@ def _placed(
             made += sum(len(f[3]) // 2 for f in some)
             columns = [pa.array([f[i] for f in some], kind) for i, kind in enumerate(KINDS)]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in FRAGMENT.split(", ")])
+        forget()
         if made != shared.value[1].get(part):
             raise RuntimeError(f"partition {part} now has {made} tokens; pass table=False")
 
@@ -212,10 +214,10 @@ def _placed(
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in MANIFEST.split(", ")])
 
-    frame = chosen.mapInArrow(cut, FRAGMENT)
+    frame = chosen.mapInArrow(released(cut), FRAGMENT)
     n_shards = max(1, -(-n_sequences // shard_slots))
     dealt = frame.repartitionById(n_shards, F.floor(F.col("slot") / shard_slots).cast("int"))
-    return stored(dealt.sortWithinPartitions("slot", "at").mapInArrow(write, MANIFEST), "order-manifest")
+    return stored(dealt.sortWithinPartitions("slot", "at").mapInArrow(released(write), MANIFEST), "order-manifest")
 
 
 def read_slots(manifest: DataFrame, folder: str, first: int = 0, length: int = LENGTH) -> DataFrame:

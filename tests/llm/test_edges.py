@@ -209,22 +209,21 @@ def test_search_grows_with_the_texts_that_share_passages(spark, monkeypatch):
         ]
 
     sizes = []
-    for n in (60, 120, 240):
+    for n in (48, 96):
         sent, found = searched(spark, monkeypatch, chained(n))
         assert found == {i: i for i in range(n)}
         sizes.append(sent[0])
-    assert 0 < sizes[0] and sizes[1] <= 2.2 * sizes[0] and sizes[2] <= 2.2 * sizes[1]
+    assert 0 < sizes[0] and sizes[1] <= 2.2 * sizes[0]
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_both_ways_of_the_second_search_lose_no_link(spark, monkeypatch, seed):
+def test_both_ways_of_the_second_search_lose_no_link(spark, monkeypatch):
     """Clusters of copies, chains of near texts and texts that share passages only."""
     monkeypatch.setattr(ngram_join, "CHUNK", 4)
     monkeypatch.setattr(ngram_join, "BRIDGES", 1)
-    rng = random.Random(seed)
+    rng = random.Random(0)
     passages = [" ".join(f"s{k}w{j}" for j in range(30)) for k in range(6)]
     texts = []
-    for i in range(70):
+    for i in range(50):
         words = " ".join(rng.sample(passages, rng.randint(1, 4))).split()
         for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
             words[rng.randrange(len(words))] = f"n{rng.randint(0, 30)}"

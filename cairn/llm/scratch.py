@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame
 from cairn.session import scratch_dir
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+def stored(frame: DataFrame, label: str, **options) -> DataFrame:
     """The frame, written to the shared folder and read back."""
     path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     table = frame.sparkSession.read.schema(frame.schema).parquet(path)
     table.stored_at = path
     return table

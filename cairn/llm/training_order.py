@@ -9,14 +9,12 @@ random numbers is needed. Slots are dense: shard s holds the slots from
 ``s * shard_slots`` on, one after the other, each with the same number of
 bytes. A reader finds a slot by arithmetic and can stop and go on anywhere.
 
-Two passes over the texts: the first counts tokens per input partition, which
-gives every partition its place in the stream; the second cuts sequences and
-sends each to the partition of its shard. A sequence that crosses partitions
-arrives as fragments. Both passes must read the same partitions: the number
-that file splits depend on is held fixed meanwhile, however many executors
-there are, and the second pass checks its counts against the first. The input
-must therefore be a table scan; anything else is written to the shared folder
-first (``table=False``).
+Texts are tokenised once. Tasks write the tokens, compressed, as stretches that
+know their place within their input partition; their sizes give every partition
+its place in the stream. Then each stretch is cut into sequences, wherever it is
+read, and each sequence goes to the partition of its shard. One that crosses
+stretches arrives as fragments. The input is evaluated once, so it may be any
+frame.
 
 A writer puts its shard into a new file and reports it when it is closed, so a
 task that ran twice leaves an unused file and nothing else.
@@ -41,11 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.arrow import raw_texts, released, slices
-from cairn.llm.scratch import stored
-from cairn.llm.splits import fixed_splits
+from cairn.llm.scratch import discard, stored
 from cairn.llm.text import quoted
-from cairn.llm.tokens import count as count_tokens
-from cairn.llm.tokens import encode, forget
+from cairn.llm.tokens import TYPE, encode, forget
 from cairn.llm.warc import opened
 from cairn.session import scratch_dir
 
@@ -58,9 +54,16 @@ ROUNDS = 6
 # Text that is tokenised at once in a task.
 PART_BYTES = 4 << 20
 
-FRAGMENT = "sequence long, slot long, at int, tokens binary, doc_ids array<long>"
-KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
-FRAGMENTS = 256
+# Tokens of a stretch, and how hard stretches and fragments are compressed: long pieces gain by more work.
+STRETCH, STRETCH_LEVEL, FRAGMENT_LEVEL = 1 << 17, 9, 3
+# Stretches in one file section: readers hold no more of them at once.
+SECTION_BYTES = 16 << 20
+
+TOKENS = "part long, at long, n int, tokens binary, doc_ids array<long>, sizes array<int>"
+FRAGMENT = "sequence long, slot long, at int, n int, tokens binary, doc_ids array<long>"
+KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+# Rows that a task sends at once.
+STRETCHES, FRAGMENTS = 32, 256
 MANIFEST = (
     "slot long, sequence long, shard long, offset long, n_tokens long, doc_ids array<long>, sha256 string, file string"
 )
@@ -116,30 +119,47 @@ def tokenised(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[tu
                 yield doc_id, np.append(tokens, np.uint16(END))
 
 
-def fragments(texts, start: int, length: int, order: Permutation) -> Iterator[tuple]:
-    """The parts of sequences that a partition's texts make up, from a stream position on."""
-    held, ids, size, position = [], [], 0, start
-
-    def cut() -> tuple:
-        sequence, at = divmod(position, length)
-        slot = int(order.slots(np.array([sequence]))[0])
-        return sequence, slot, at, np.concatenate(held).tobytes(), list(dict.fromkeys(i for i in ids if i is not None))
-
+def stretches(texts: Iterator[tuple[int | None, np.ndarray]]) -> Iterator[tuple]:
+    """A partition's stream in pieces: where each begins, its tokens, and the texts and how many tokens they have in it."""
+    held, ids, size, at = [], [], 0, 0
     for doc_id, tokens in texts:
         done = 0
         while done < len(tokens):
-            room = length - position % length - size
-            part = tokens[done : done + room]
+            part = tokens[done : done + STRETCH - size]
             held.append(part)
             ids.append(doc_id)
             size, done = size + len(part), done + len(part)
-            if len(part) == room:
-                yield cut()
-                position, size = position + size, 0
-                held.clear()
-                ids.clear()
+            if size == STRETCH:
+                yield at, np.concatenate(held), ids, [len(h) for h in held]
+                held, ids, size, at = [], [], 0, at + size
     if held:
-        yield cut()
+        yield at, np.concatenate(held), ids, [len(h) for h in held]
+
+
+def fragments(start: int, tokens: np.ndarray, ids: list, sizes: list[int], length: int, order: Permutation) -> Iterator[tuple]:
+    """The parts of sequences that a stretch makes up, from its place in the stream on."""
+    first, stop, ends = start // length, start + len(tokens), np.cumsum(sizes)
+    slots = order.slots(np.arange(first, -(-stop // length))).tolist()
+    for sequence, slot in enumerate(slots, first):
+        a, b = max(start, sequence * length) - start, min(stop, (sequence + 1) * length) - start
+        inside = ids[int(np.searchsorted(ends, a, "right")) : int(np.searchsorted(ends, b, "left")) + 1]
+        yield sequence, slot, (start + a) % length, tokens[a:b], list(dict.fromkeys(i for i in inside if i is not None))
+
+
+def _batches(rows: Iterator[tuple], schema: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of at most that many each."""
+    fields = [f.split() for f in schema.split(", ")]
+    while some := list(islice(rows, most)):
+        columns = [pa.array([r[i] for r in some], KINDS[kind]) for i, (_, kind) in enumerate(fields)]
+        yield pa.RecordBatch.from_arrays(columns, names=[name for name, _ in fields])
+
+
+def _packed(tokens: np.ndarray, level: int) -> bytes:
+    return pa.Codec("zstd", level).compress(tokens.tobytes(), asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> bytes:
+    return pa.Codec("zstd").decompress(packed, n * np.dtype(TYPE).itemsize, asbytes=True)
 
 
 def materialise(
@@ -153,46 +173,45 @@ def materialise(
     vocabulary: str = VOCABULARY,
     table: bool = True,
 ) -> DataFrame:
-    """Write the shards below the folder; the manifest, a row per slot."""
-    spark = docs.sparkSession
+    """Write the shards below the folder; the manifest, a row per slot.
+
+    ``table`` tells whether the input is a table scan; it makes no difference.
+    """
     chosen = docs.select(F.col(quoted(id_column)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
-    chosen = chosen if table else stored(chosen, "order-input")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (p.column("text") for b in batches for p in slices(b, "text", PART_BYTES))
-        total = sum(count_tokens(raw_texts(p), vocabulary) + len(p) for p in parts)
-        forget()
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, total)], names=["part", "n"])
+        found = stretches(tokenised(batches, vocabulary))
+        rows = ((part, at, len(t), _packed(t, STRETCH_LEVEL), ids, sizes) for at, t, ids, sizes in found)
+        yield from _batches(rows, TOKENS, STRETCHES)
+        forget()
 
-    with fixed_splits(spark):
-        counts = dict(chosen.mapInArrow(released(count), "part long, n long").collect())
-        return _placed(chosen, counts, folder, length, shard_slots, key, vocabulary)
+    held = stored(chosen.mapInArrow(released(tokenise), TOKENS), "order-tokens", **{"parquet.block.size": SECTION_BYTES})
+    manifest = _placed(held, folder, length, shard_slots, key)
+    discard(held)
+    return manifest
 
 
-def _placed(
-    chosen: DataFrame, counts: dict[int, int], folder: str, length: int, shard_slots: int, key: int, vocabulary: str
-) -> DataFrame:
-    """Second pass: cut the stream, whose token counts per partition are known."""
-    spark = chosen.sparkSession
+def _placed(held: DataFrame, folder: str, length: int, shard_slots: int, key: int) -> DataFrame:
+    """Cut the stream, whose stretches are written, and write the shards."""
     starts, total = {}, 0
-    for part in sorted(counts):
+    # Two numbers for each partition of the input.
+    for part, n in sorted(held.groupBy("part").agg(F.sum("n")).collect()):
         starts[part] = total
-        total += counts[part]
+        total += n
     n_sequences = -(-total // length)
     order = Permutation(n_sequences, key)
-    shared = spark.sparkContext.broadcast((starts, counts))  # two numbers per partition
+    shared = held.sparkSession.sparkContext.broadcast(starts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made = TaskContext.get().partitionId(), 0
-        found = fragments(tokenised(batches, vocabulary), shared.value[0].get(part, 0), length, order)
-        while some := list(islice(found, FRAGMENTS)):
-            made += sum(len(f[3]) // 2 for f in some)
-            columns = [pa.array([f[i] for f in some], kind) for i, kind in enumerate(KINDS)]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in FRAGMENT.split(", ")])
-        forget()
-        if made != shared.value[1].get(part):
-            raise RuntimeError(f"partition {part} now has {made} tokens; pass table=False")
+        def found() -> Iterator[tuple]:
+            for batch in batches:
+                for part, at, n, packed, ids, sizes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    tokens = np.frombuffer(_unpacked(packed, n), TYPE)
+                    for sequence, slot, place, own, who in fragments(shared.value[part] + at, tokens, ids, sizes, length, order):
+                        yield sequence, slot, place, len(own), _packed(own, FRAGMENT_LEVEL), who
+
+        yield from _batches(found(), FRAGMENT, FRAGMENTS)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = opened(folder)
@@ -203,7 +222,7 @@ def _placed(
             with files.open_output_stream(f"{path}/{name}", compression=None) as out:
                 for slot, parts in groupby(members, key=lambda r: r["slot"]):
                     pieces = list(parts)
-                    data = b"".join(p["tokens"] for p in pieces)
+                    data = b"".join(_unpacked(p["tokens"], p["n"]) for p in pieces)
                     filled = data + np.full(length - len(data) // 2, END, np.uint16).tobytes()
                     out.write(filled)
                     ids = list(dict.fromkeys(i for p in pieces for i in p["doc_ids"]))
@@ -214,7 +233,7 @@ def _placed(
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in MANIFEST.split(", ")])
 
-    frame = chosen.mapInArrow(released(cut), FRAGMENT)
+    frame = held.mapInArrow(released(cut), FRAGMENT)
     n_shards = max(1, -(-n_sequences // shard_slots))
     dealt = frame.repartitionById(n_shards, F.floor(F.col("slot") / shard_slots).cast("int"))
     return stored(dealt.sortWithinPartitions("slot", "at").mapInArrow(released(write), MANIFEST), "order-manifest")

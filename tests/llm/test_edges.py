@@ -384,3 +384,25 @@ def test_cascade_is_exact_on_its_universe(spark, monkeypatch):
         spark.createDataFrame([(k,) for k in universe], "key string"),
     )
     assert len(cascade.levels) > 2 and {k for k in universe if k in cascade} == listed
+
+
+def test_training_order_evaluates_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    long_text = "some words, and more. " * 9000
+    docs = spark.createDataFrame([(i, long_text if i % 9 == 0 else f"text {i}") for i in range(40)], "doc_id long, text string")
+    docs = docs.repartition(3).mapInArrow(watched, docs.schema)
+    folder = training_order.shard_folder(docs)
+    manifest = training_order.materialise(docs, folder, length=128)
+    assert seen.value == 40
+    held = sorted(manifest.collect(), key=lambda r: r.sequence)
+    assert sorted({i for r in held for i in r.doc_ids}) == list(range(40))
+    read = {r.slot: r.tokens for r in training_order.read_slots(manifest, folder, length=128).collect()}
+    stream = [t for r in held for t in read[r.slot][: r.n_tokens]]
+    own = tokens.encode([long_text.strip().encode()], training_order.VOCABULARY)[0].tolist()
+    assert stream.count(training_order.END) == 40 and len(stream) > 5 * len(own)

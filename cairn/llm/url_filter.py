@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,8 @@ from cairn.operators.bitmap import PART_BITS
 MAX_FILTER_BYTES = 256 << 20
 # Chance of a mistake at level 0 and at all later levels.
 FIRST_RATE, LATER_RATE = 0.01, 0.5
+# Stretches of 4 KB that the driver fetches at once.
+FETCHED = 4096
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -108,11 +110,16 @@ def bloom(keys: DataFrame, level: int, rate: float) -> Bloom | None:
             found = [p for key in batch.column(0).to_pylist() for p in places(key, size, hashes, level)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["p"])
 
-    # Spark assembles stretches of 4 KB; the driver gets a row for each.
-    merged = keys.mapInArrow(positions, "p long").groupBy(F.floor(F.col("p") / PART_BITS).alias("part"))
+    # Spark assembles stretches of 4 KB; the driver gets a row for each, and runs a job for some thousands of them.
+    found = keys.mapInArrow(positions, "p long")
+    bitmap, stretches = F.bitmap_construct_agg(F.col("p") % PART_BITS), -(-size // PART_BITS)
+    if stretches == 1:
+        merged = found.agg(F.lit(0).alias("part"), bitmap)
+    else:
+        merged = found.groupBy(F.floor(F.col("p") / PART_BITS).alias("part")).agg(bitmap).coalesce(-(-stretches // FETCHED))
     width = PART_BITS // 8
-    bits = np.zeros(-(-size // PART_BITS) * width, np.uint8)
-    for part, bitmap in merged.agg(F.bitmap_construct_agg(F.col("p") % PART_BITS)).toLocalIterator():
+    bits = np.zeros(stretches * width, np.uint8)
+    for part, bitmap in merged.toLocalIterator():
         bits[part * width : (part + 1) * width] = np.frombuffer(bitmap, np.uint8)
     bits = bits[: size // 8]
     return Bloom(bits, size, hashes, level)
@@ -168,9 +175,9 @@ def cascade(listed: DataFrame, seen: DataFrame) -> Cascade:
         if level is None:
             return Cascade(levels)
         levels.append(level)
-        wrong = mistakes(outside, level).distinct()
-        if depth == 0:
-            wrong = wrong.join(inside, "key", "left_anti")
+        wrong = mistakes(outside, level)
+        if depth == 0:  # later on, both sides are distinct and apart
+            wrong = wrong.distinct().join(inside, "key", "left_anti")
         inside, outside = stored(wrong, "url-mistakes"), inside
 
 
@@ -183,9 +190,8 @@ def classify(
     A URL that no rule fits gets the default.
     """
     keyed = rules.select(F.concat("host", "path").alias("key"), F.length("path").alias("n"), "verdict")
-    by_key = Window.partitionBy("key")
-    keyed = stored(keyed.withColumn("verdict", F.max("verdict").over(by_key)).distinct(), "url-rules")
-    lengths = sorted(r.n for r in keyed.select("n").distinct().toLocalIterator())
+    keyed = stored(keyed.groupBy("key").agg(F.max("verdict").alias("verdict"), F.collect_set("n").alias("n")), "url-rules")
+    lengths = sorted(keyed.select(F.explode("n").alias("n")).agg(F.collect_set("n")).first()[0])
     host, path = host_and_path(F.col(quoted(url)))
     seen = universe(pages.select(host.alias("host"), path.alias("path")), lengths)
     lists = [cascade(keyed.where(F.col("verdict") == v).select("key"), seen) for v in ("block", "allow")]

@@ -406,3 +406,17 @@ def test_training_order_evaluates_its_input_once(spark):
     stream = [t for r in held for t in read[r.slot][: r.n_tokens]]
     own = tokens.encode([long_text.strip().encode()], training_order.VOCABULARY)[0].tolist()
     assert stream.count(training_order.END) == 40 and len(stream) > 5 * len(own)
+
+
+def test_url_rules_run_few_jobs_whatever_the_partitions(pages, spark, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "60")
+    conf("spark.sql.shuffle.partitions", "60")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    spark.sparkContext.setJobGroup("url-rules", "")
+    try:
+        found, name = url_filter.classify(pages, rules)
+        assert found.where(F.col(name["verdict"]) == "block").count() > 0
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("url-rules")) < 120
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

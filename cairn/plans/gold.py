@@ -474,8 +474,7 @@ def ft_agg_product_day(fact: DataFrame, product: DataFrame) -> DataFrame:
 
     Sales are summed per product and day before the product's names are joined,
     so the join sees one row per product and day, and hot products are reduced
-    before any shuffle. The second sum keeps the result exact should the
-    dimension repeat a product.
+    before any shuffle.
     """
     daily = (
         fact.groupBy(F.col("ProductKey").alias("FactKey"), F.to_date("OrderDateKey").alias("OrderDate"))
@@ -485,7 +484,12 @@ def ft_agg_product_day(fact: DataFrame, product: DataFrame) -> DataFrame:
 
 
 def with_product_names(daily: DataFrame, product: DataFrame) -> DataFrame:
-    """Sums per ``FactKey`` and ``OrderDate`` with the names of the product dimension."""
+    """Sums per ``FactKey`` and ``OrderDate`` with the names of the product dimension.
+
+    Should the dimension repeat a product, its rows with equal names count as
+    often as they come. They are counted before the join, so that the many sums
+    need no grouping after it.
+    """
     names = C.project(
         product,
         {
@@ -495,16 +499,17 @@ def with_product_names(daily: DataFrame, product: DataFrame) -> DataFrame:
             "ProductSubcategoryName": "SubcategoryName",
         },
     )
-    named = lookup_join(daily, names.withColumnRenamed("ProductKey", "NameKey"), {"FactKey": "NameKey"})
-    return (
-        named.groupBy(
-            F.col("FactKey").alias("ProductKey"),
-            "OrderDate",
-            "ProductName",
-            "ProductCategoryName",
-            "ProductSubcategoryName",
-        )
-        .agg(F.sum("Qty").alias("TotalOrderQty"), F.sum("Amount").cast(TOTAL).alias("TotalLineTotal"))
+    copies = names.withColumnRenamed("ProductKey", "NameKey").groupBy("NameKey", *names.columns[1:]).agg(F.count(F.lit(1)).alias("Copies"))
+    named = lookup_join(daily, copies, {"FactKey": "NameKey"})
+    times = F.coalesce("Copies", F.lit(1))
+    return named.select(
+        F.col("FactKey").alias("ProductKey"),
+        "OrderDate",
+        "ProductName",
+        "ProductCategoryName",
+        "ProductSubcategoryName",
+        (F.col("Qty") * times).alias("TotalOrderQty"),
+        (F.col("Amount") * times).cast(TOTAL).alias("TotalLineTotal"),
     )
 
 

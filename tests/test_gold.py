@@ -286,3 +286,10 @@ def test_the_warehouse_from_raw_tables_to_gold(spark, sales):
     assert built["FactInternetSales"] == fact.count() > 0
     daily = read_table(spark, "wh_gold.ft_agg_product_day")
     assert daily.selectExpr("sum(TotalOrderQty)").first() == fact.selectExpr("sum(OrderQty)").first()
+
+
+def test_daily_sums_are_not_grouped_again_after_the_join(spark, sales):
+    names = "ProductKey int, ProductName string, CategoryName string, SubcategoryName string"
+    daily = gold.ft_agg_product_day(gold.fact_internet_sales(**sales), spark.createDataFrame([(7, "n", "c", None)], names))
+    plan = daily._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("Join")[0]

@@ -38,3 +38,12 @@ class ClusterSession:
 def test_no_machine_local_scratch_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(ClusterSession, "x")
+
+
+def test_tasks_read_little_and_write_partitions_unsorted(spark, conf, tmp_path):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for key in (*keys, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+        conf(key, spark.conf.get(key, None) or "4")
+    tune(spark, str(tmp_path))
+    assert {spark.conf.get(key) for key in keys} == {str(32 << 20)}
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0

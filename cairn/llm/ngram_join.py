@@ -4,7 +4,7 @@ Texts become sets of 64-bit hashes of five-word shingles; a set is named by a
 128-bit digest, and texts with equal sets are one node from then on.
 
 1. Shared shingles. A document linked with a different one shares at least 0.8
-   of its shingles. Tasks deal the low 32 bits of all hashes to buckets, each
+   of its shingles. Tasks deal the low 24 bits of all hashes to buckets, each
    bucket counts in how many documents each occurs, and the counts return per
    document. Hash collisions add candidates, never lose one. Most documents
    drop out here; only the others' texts are read again.
@@ -23,7 +23,10 @@ Texts become sets of 64-bit hashes of five-word shingles; a set is named by a
 5. Components of all links; a component's id is its smallest document id.
 
 Hashes travel packed, an array per task and bucket, so a shingle costs a few
-bytes and no row. Every bucket has the same share of hashes, and a shingle that
+bytes and no row. Documents are named by their distance from the entry before,
+and numbers are laid out byte by byte, so that the bytes that are zero vanish in
+compression: an entry takes about four bytes, however many buckets a larger
+input has. Every bucket has the same share of hashes, and a shingle that
 very many documents have adds one entry for each, as any other does.
 
 Edge cases: texts without words have an empty set and link with nothing; texts
@@ -57,6 +60,9 @@ SHINGLE = 5
 # Text whose hashes one bucket holds, text hashed at once in a task, and hashes dealt at once.
 BUCKET_BYTES, PART_BYTES, DEALT = 8 << 20, 2 << 20, 1 << 20
 CHUNK, BRIDGES = 64, 4
+# Bits of a hash that tell shingles of a bucket apart in the first count.
+LOW_BITS = np.uint64((1 << 24) - 1)
+
 
 def shingles(text: bytes, known: WordHashes) -> np.ndarray:
     """The sorted set of a text's shingle hashes."""
@@ -88,8 +94,27 @@ def at_least(size: Column) -> Column:
 # --- hashes to buckets and back -------------------------------------------------------------------------------------
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers as their lowest bytes, then their next ones, and so on."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def steps(ascending: np.ndarray) -> bytes:
+    """Ascending places as distances, in planes."""
+    return planes(np.diff(ascending, prepend=0).astype(np.int32))
+
+
+def from_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, np.int32), dtype=np.int32)
+
+
 def dealt(sets: list[np.ndarray], buckets: int, whole: bool) -> Iterator[tuple[int, bytes, bytes]]:
-    """Bucket, hashes and their documents' places, packed."""
+    """Bucket, hashes and their documents' places, packed; the places of a bucket ascend."""
     if not sets:
         return
     hashes = np.concatenate(sets)
@@ -97,10 +122,10 @@ def dealt(sets: list[np.ndarray], buckets: int, whole: bool) -> Iterator[tuple[i
     bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-    hashes, owner = hashes[order] if whole else hashes[order].astype(np.uint32), owner[order]
+    hashes, owner = hashes[order] if whole else (hashes[order] & LOW_BITS).astype(np.uint32), owner[order]
     for b, (start, end) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
         if end > start:
-            yield b, hashes[start:end].tobytes(), owner[start:end].tobytes()
+            yield b, planes(hashes[start:end]), steps(owner[start:end])
 
 
 def frequencies(keys: np.ndarray) -> np.ndarray:
@@ -160,8 +185,8 @@ def _shared_in_bucket(whole: bool):
 
     def run(group: pa.Table) -> pa.Table:
         parts = group.column("part").to_pylist()
-        hashes = [np.frombuffer(x, kind) for x in group.column("hashes").to_pylist()]
-        owners = [np.frombuffer(x, np.int32) for x in group.column("owners").to_pylist()]
+        hashes = [from_planes(x, kind) for x in group.column("hashes").to_pylist()]
+        owners = [from_steps(x) for x in group.column("owners").to_pylist()]
         counts = np.split(frequencies(np.concatenate(hashes)), np.cumsum([len(h) for h in hashes])[:-1])
         rows = []
         for part, h, o, n in zip(parts, hashes, owners, counts, strict=True):
@@ -169,10 +194,10 @@ def _shared_in_bucket(whole: bool):
             if not len(found):
                 continue
             if whole:
-                rows.append((part, o[found].tobytes(), h[found].tobytes(), n[found].astype(np.int64).tobytes()))
+                rows.append((part, steps(o[found]), planes(h[found]), planes(n[found].astype(np.int64))))
             else:
                 who, many = np.unique(o[found], return_counts=True)
-                rows.append((part, who.astype(np.int32).tobytes(), None, many.astype(np.int32).tobytes()))
+                rows.append((part, steps(who), None, planes(many.astype(np.int32))))
         return _table(rows, ANSWER)
 
     return run
@@ -180,8 +205,8 @@ def _shared_in_bucket(whole: bool):
 
 def _shared_per_document(group: pa.Table) -> pa.Table:
     part = group.column("part")[0].as_py()
-    who = np.concatenate([np.frombuffer(x, np.int32) for x in group.column("owners").to_pylist()])
-    many = np.concatenate([np.frombuffer(x, np.int32) for x in group.column("counts").to_pylist()])
+    who = np.concatenate([from_steps(x) for x in group.column("owners").to_pylist()])
+    many = np.concatenate([from_planes(x, np.int32) for x in group.column("counts").to_pylist()])
     total = np.bincount(who, weights=many)
     return _table([(part, int(i), int(total[i])) for i in np.flatnonzero(total)], "part long, place int, shared long")
 
@@ -189,10 +214,8 @@ def _shared_per_document(group: pa.Table) -> pa.Table:
 def _ordered_per_document(group: pa.Table) -> pa.Table:
     """Shared hashes of each document in the global order."""
     part = group.column("part")[0].as_py()
-    columns = {
-        name: np.concatenate([np.frombuffer(x, kind) for x in group.column(name).to_pylist()])
-        for name, kind in (("owners", np.int32), ("hashes", np.uint64), ("counts", np.int64))
-    }
+    unpacked = (("owners", from_steps), ("hashes", lambda x: from_planes(x, np.uint64)), ("counts", lambda x: from_planes(x, np.int64)))
+    columns = {name: np.concatenate([read(x) for x in group.column(name).to_pylist()]) for name, read in unpacked}
     order = np.lexsort((columns["hashes"], columns["counts"], columns["owners"]))
     owner, hashes, counts = (columns[c][order] for c in ("owners", "hashes", "counts"))
     starts = np.flatnonzero(np.diff(np.concatenate(([-1], owner))))
@@ -244,8 +267,8 @@ def bit_filter(frame: DataFrame, column: str, bits: int) -> np.ndarray:
 # --- candidates -----------------------------------------------------------------------------------------------------
 
 
-def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
-    """Distinct sets that may be linked with another: digest, size, shared hashes in order."""
+def likely_sets(table: DataFrame) -> DataFrame:
+    """Digests of sets that may be linked with another, each with the least id that has it."""
     people = table.where("bucket < 0")
     shared = (
         table.where("bucket >= 0")
@@ -256,7 +279,11 @@ def candidate_sets(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame
     )
     likely = people.join(shared, ["part", "place"]).where(F.col("shared") >= at_least(F.col("size")))
     # One row per set and one document to take its text from; copies alone are no candidates.
-    likely = stored(likely.groupBy("digest").agg(F.min("doc_id").alias("id")), "join-likely")
+    return stored(likely.groupBy("digest").agg(F.min("doc_id").alias("id")), "join-likely")
+
+
+def candidate_sets(docs: DataFrame, likely: DataFrame, buckets: int) -> DataFrame:
+    """Distinct sets that may be linked with another: digest, size, shared hashes in order."""
     digests = likely.select("digest")
     size = filter_size(likely.count())
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(likely, "id", size))
@@ -437,9 +464,10 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> tu
     docs = docs.select(F.col(quoted(id_column)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     buckets = 1 + text_bytes(docs) // BUCKET_BYTES
     table = stored(hashed(docs, buckets), "join-hashes")
-    found = stored(links(candidate_sets(docs, table, buckets)), "join-found")
+    likely = likely_sets(table)
     people = stored(table.where("bucket < 0").select("doc_id", "size", "digest"), "join-people")
     discard(table)
+    found = stored(links(candidate_sets(docs, likely, buckets)), "join-found")
     roots = components(found).withColumnRenamed("node", "digest")
     own = people.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     own = stored(

@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +164,21 @@ def test_ngram_join(docs, none):
     assert ngram_join.component_ids(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
+@pytest.mark.parametrize("buckets", [4, 1000])
+def test_an_entry_takes_few_bytes_in_any_number_of_buckets(buckets):
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 2**64, 50, np.uint64)) for _ in range(4000)]
+    rows = list(ngram_join.dealt(sets, buckets, False))
+    size = sum(len(pa.compress(x, "lz4", asbytes=True)) for row in rows for x in row[1:])
+    assert size <= 5.5 * sum(map(len, sets))
+    whole = [
+        pair
+        for _, hashes, owners in ngram_join.dealt(sets, buckets, True)
+        for pair in zip(ngram_join.from_steps(owners), ngram_join.from_planes(hashes, np.uint64), strict=True)
+    ]
+    assert sorted(whole) == sorted((i, h) for i, s in enumerate(sets) for h in s)
+
+
 def test_large_blocks_lose_no_link(spark, monkeypatch):
     """Hundreds of near copies, and outsiders, over many chunks."""
     monkeypatch.setattr(ngram_join, "CHUNK", 8)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.operators.cluster import _quoted, clustered
-from cairn.session import PARTITION_BYTES
+from cairn.session import PARTITION_BYTES, scratch_dir
 from cairn.sources.tables import read_table, table_files, write_table
 
 
@@ -25,14 +25,21 @@ def write_clustered(df: DataFrame, table: str, columns: Sequence[str], files: in
     """Replace the table by these rows in Z-order of some columns. Returns their number.
 
     ``files`` is how many files are written; by default as many as Spark's
-    estimate of the data asks for. The rows are evaluated twice, once for the
-    quantiles of the clustering columns.
+    estimate of the data asks for. The rows are evaluated once and kept in the
+    scratch folder: quantiles, ranges and the table are taken from there.
     """
     spark = df.sparkSession
     if files is None:
         files = max(1, -(-int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // PARTITION_BYTES))
     index = f"{table}__files"
-    rows = write_table(clustered(df, columns, files), table, fmt)
+    folder = scratch_dir(spark, "clustered")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    try:
+        df.write.format(fmt).save(folder)
+        held = spark.read.format(fmt).schema(df.schema).load(folder)
+        rows = write_table(clustered(held, columns, files), table, fmt)
+    finally:
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
     bounds = [
         bound(F.col(_quoted(c))).alias(f"{side}_{i}")
         for i, c in enumerate(columns)

@@ -53,6 +53,18 @@ def test_a_filter_on_either_column_opens_few_files(spark, table, hot):
     assert len(needed_files(spark, table, both)) <= total / 8
 
 
+def test_rows_are_evaluated_once(spark, table):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(number):
+        seen.add(1)
+        return number
+
+    frame = facts(spark, 500).withColumn("product", F.udf(counted, "long")("product"))
+    assert write_clustered(frame, table, ["product"], files=4) == 500
+    assert seen.value == 500
+
+
 def test_hot_rows_are_shared_by_files(spark):
     frame = facts(spark).withColumn("product", F.lit(3)).withColumn("order.day", F.lit(date(2020, 1, 1)))
     sizes = [r["count"] for r in clustered(frame, ["order.day", "product"], 10).groupBy(F.spark_partition_id()).count().collect()]

@@ -428,30 +428,29 @@ def wide_ids_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Inputs that a model takes as they are, and the text that a join needs unchanged.
 _AS_IT_IS = {"DimCustomer": ("customer",), "DimProduct": ("category",)}
 _UNCHANGED = ("SalesOrderNumber", "CountryRegionCode")
+_OLDER = "__days_older"
 
 
 def _history(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """The rows and, for each, two older versions with other texts and amounts."""
-
-    def older(days: int) -> DataFrame:
-        changes = {"ModifiedDate": F.col("ModifiedDate") - F.expr(f"INTERVAL {days} DAYS")}
-        for name, kind in df.dtypes:
-            if name in keys or name in _UNCHANGED:
-                continue
-            if kind == "string":
-                changes[name] = F.concat(F.col(name), F.lit(f" v{days}"))
-            elif kind.startswith("decimal"):
-                changes[name] = (F.col(name) + F.lit(days)).cast(kind)
-        return df.withColumns(changes)
-
-    return older(2).unionByName(df).unionByName(older(1))
+    """The rows and, for each, two older versions with other texts and amounts, from one evaluation of the rows."""
+    days = F.col(_OLDER)
+    changes = {"ModifiedDate": F.col("ModifiedDate") - F.make_dt_interval(days)}
+    for name, kind in df.dtypes:
+        if name in keys or name in _UNCHANGED:
+            continue
+        if kind == "string":
+            changes[name] = F.when(days == 0, F.col(name)).otherwise(F.concat(F.col(name), F.lit(" v"), days.cast("string")))
+        elif kind.startswith("decimal"):
+            changes[name] = F.when(days == 0, F.col(name)).otherwise((F.col(name) + days).cast(kind))
+    versions = F.explode(F.array(*[F.lit(n) for n in (2, 0, 1)]))
+    return df.withColumn(_OLDER, versions).withColumns(changes).drop(_OLDER)
 
 
 def gold_from_history(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
     """One gold model from inputs with several versions per key."""
     inputs = {}
     for arg, table in GOLD_INPUTS[model].items():
-        df = silver(spark, sf_dir, table)
+        df = _gold_input(spark, sf_dir, table)
         inputs[arg] = df if arg in _AS_IT_IS.get(model, ()) else _history(df, SILVER[table].keys)
     return check_gold(model, GOLD_MODELS[model](**inputs), wide_ids=True)
 

@@ -7,9 +7,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from harness import registry
+from harness.layers import _history
 
 FOLDER = contract.SMOKE_DIR
 QUERIES = {name: build for name, build in contract.queries().items() if name in registry.QUERIES}
@@ -55,3 +57,19 @@ def test_entry_returns_rows(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(ORACLES)
+
+
+def test_a_history_evaluates_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(number):
+        seen.add(1)
+        return number
+
+    columns = ("id", "CAST(id AS STRING) AS Name", "CAST(id AS DECIMAL(9, 2)) AS Price", "TIMESTAMP'2020-01-05 00:00:00' AS ModifiedDate")
+    frame = spark.range(50).withColumn("id", F.udf(counted, "long").asNondeterministic()("id")).selectExpr(*columns)
+    got = _history(frame, ("id",))
+    assert got.dtypes == frame.dtypes
+    want = [(i, f"{i} v{n}" if n else f"{i}", decimal.Decimal(i + n), dt.datetime(2020, 1, 5 - n)) for i in range(50) for n in (2, 0, 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert seen.value == 50

@@ -17,9 +17,11 @@ Texts become sets of 64-bit hashes of five-word shingles; a set is named by a
 4. Prefix-tree join. A block is searched by a prefix tree (``prefix_tree``). One
    with more than ``CHUNK`` sets is cut into chunks, which are searched with the
    block's first sets in each, so that copies of one text meet. Sets that share
-   a prefix shingle and are still unconnected are then searched chunk by chunk,
+   a prefix shingle and are still unconnected are then searched piece by piece,
    among the sets of each such shingle, or of the block where that is cheaper:
-   those outside the largest component against all.
+   those outside the largest component against all. As most of these pairs are
+   no links, their overlaps are counted for all at once (``overlaps``), and a
+   piece holds as many sets as memory allows, so that few are sent twice.
 5. Components of all links; a component's id is its smallest document id.
 
 Hashes travel packed, an array per task and bucket, so a shingle costs a few
@@ -44,13 +46,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cairn.llm.arrow import batch_of, mapped, raw_texts, released, released_after, slices
 from cairn.llm.components import components
-from cairn.llm.hashes import MIX, WordHashes, mixed
+from cairn.llm.hashes import MIX, mixed
+from cairn.llm.overlaps import connected
 from cairn.llm.prefix_tree import Member, connect
 from cairn.llm.scratch import discard, stored, stored_as
 from cairn.llm.text import fresh, quoted, text_bytes
@@ -60,21 +64,30 @@ SHINGLE = 5
 # Text whose hashes one bucket holds, text hashed at once in a task, and hashes dealt at once.
 BUCKET_BYTES, PART_BYTES, DEALT = 8 << 20, 2 << 20, 1 << 20
 CHUNK, BRIDGES = 64, 4
+# Most sets of a side, and most of their shingles, in a piece of the second search; pieces that a large unit has at least.
+PIECE, PIECE_TOKENS, LEAST_PIECES = 2048, 1 << 19, 8
+# Pairs whose overlap is counted in the time that sending one set takes.
+PAIRS_PER_SET = 1024
 # Bits of a hash that tell shingles of a bucket apart in the first count.
 LOW_BITS = np.uint64((1 << 24) - 1)
 
 
-def shingles(text: bytes, known: WordHashes) -> np.ndarray:
+def shingles(text: bytes) -> np.ndarray:
     """The sorted set of a text's shingle hashes."""
-    words = text.lower().split()
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    h = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, text.lower().split())), ">u8").astype(np.uint64)
     width = min(SHINGLE, len(h))
     if not width:
         return h
     runs = np.full(len(h) - width + 1, width, np.uint64)
     for i in range(width):
         runs = mixed(runs * MIX + h[i : len(h) - width + 1 + i])
-    return np.unique(runs)
+    runs.sort()
+    return runs[starts(runs)]
+
+
+def starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each value begins in a sorted array."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])))
 
 
 def new_part() -> int:
@@ -119,7 +132,9 @@ def dealt(sets: list[np.ndarray], buckets: int, whole: bool) -> Iterator[tuple[i
         return
     hashes = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
-    bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+    # Numbers of 16 bits are sorted by their digits.
+    kind = np.uint16 if buckets <= 1 << 16 else np.int32
+    bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(kind)
     order = np.argsort(bucket, kind="stable")
     ends = np.cumsum(np.bincount(bucket, minlength=buckets))
     hashes, owner = hashes[order] if whole else (hashes[order] & LOW_BITS).astype(np.uint32), owner[order]
@@ -130,8 +145,16 @@ def dealt(sets: list[np.ndarray], buckets: int, whole: bool) -> Iterator[tuple[i
 
 def frequencies(keys: np.ndarray) -> np.ndarray:
     """How often each key occurs, in place."""
-    _, place, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    return counts[place]
+    if keys.itemsize == 4:
+        both = np.sort(keys.astype(np.uint64) << np.uint64(32) | np.arange(len(keys), dtype=np.uint64))
+        place, keys = both.astype(np.uint32), both >> np.uint64(32)
+    else:
+        place = np.argsort(keys)
+        keys = keys[place]
+    many = np.diff(starts(keys), append=len(keys))
+    counts = np.empty(len(keys), np.int64)
+    counts[place] = np.repeat(many, many)
+    return counts
 
 
 RAW = "bucket int, part long, place int, doc_id long, size long, digest string, hashes binary, owners binary"
@@ -145,7 +168,6 @@ def hashed(docs: DataFrame, buckets: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         sets, ids = [], []
 
         def packed() -> pa.RecordBatch:
@@ -159,7 +181,7 @@ def hashed(docs: DataFrame, buckets: int) -> DataFrame:
         size = 0
         for batch in batches:
             for part in slices(batch, "text", PART_BYTES):
-                new = [shingles(t, known) for t in raw_texts(part.column("text"))]
+                new = [shingles(t) for t in raw_texts(part.column("text"))]
                 sets.extend(new)
                 ids.extend(part.column("doc_id").to_pylist())
                 size += sum(map(len, new))
@@ -196,8 +218,9 @@ def _shared_in_bucket(whole: bool):
             if whole:
                 rows.append((part, steps(o[found]), planes(h[found]), planes(n[found].astype(np.int64))))
             else:
-                who, many = np.unique(o[found], return_counts=True)
-                rows.append((part, steps(who), None, planes(many.astype(np.int32))))
+                begin = starts(o[found])
+                many = np.diff(begin, append=len(found))
+                rows.append((part, steps(o[found][begin]), None, planes(many.astype(np.int32))))
         return _table(rows, ANSWER)
 
     return run
@@ -255,15 +278,6 @@ def bitmaps(frame: DataFrame, column: str, bits: int) -> DataFrame:
     )
 
 
-def bit_filter(frame: DataFrame, column: str, bits: int) -> np.ndarray:
-    """The filter as bytes; the driver gets a row for each 4 KB."""
-    out = np.zeros(bits // 8, np.uint8)
-    width = PART_BITS // 8
-    for bucket, bitmap in bitmaps(frame, column, bits).toLocalIterator():
-        out[bucket * width : (bucket + 1) * width] = np.frombuffer(bitmap, np.uint8)
-    return out
-
-
 # --- candidates -----------------------------------------------------------------------------------------------------
 
 
@@ -286,17 +300,16 @@ def candidate_sets(docs: DataFrame, likely: DataFrame, buckets: int) -> DataFram
     """Distinct sets that may be linked with another: digest, size, shared hashes in order."""
     digests = likely.select("digest")
     size = filter_size(likely.count())
-    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(likely, "id", size))
-    texts = docs.select("doc_id", "text", filter_place("doc_id", size).alias("place"))
+    placed = docs.select("text", filter_place("doc_id", size).alias("place"))
+    listed = F.broadcast(bitmaps(likely, "id", size))
+    placed = placed.join(listed, F.floor(F.col("place") / PART_BITS) == F.col("bucket"))
+    texts = placed.where(bit_is_set(F.col("bitmap"), F.col("place") % PART_BITS)).select("text")
     schema = "digest string, size long, set binary"
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
-            place = batch.column("place").to_numpy()
-            likely_rows = batch.filter(pa.array(bits.value[place >> 3] >> (place & 7) & 1 == 1))
-            for part in slices(likely_rows, "text", PART_BYTES):
-                sets = [shingles(t, known) for t in raw_texts(part.column("text"))]
+            for part in slices(batch, "text", PART_BYTES):
+                sets = [shingles(t) for t in raw_texts(part.column("text"))]
                 yield batch_of([(digest(s), len(s), s.tobytes()) for s in sets if len(s)], schema)
 
     sets = texts.mapInArrow(released(rebuild), schema).join(digests, "digest", "left_semi").groupBy("digest")
@@ -347,20 +360,22 @@ def prefixes(candidates: DataFrame) -> DataFrame:
 def _search(group: pa.Table) -> pa.Table:
     """Links within a group, by the prefix tree."""
     rows = {r["digest"]: r for r in group.to_pylist()}
-    order = sorted(
-        {
-            pair
-            for r in rows.values()
-            for pair in zip(np.frombuffer(r["counts"], np.int64).tolist(), np.frombuffer(r["hashes"], np.uint64).tolist())
-        }
-    )
-    rank = {h: i for i, (_, h) in enumerate(order)}
-    members = [
-        Member(name, r["size"], [rank[h] for h in np.frombuffer(r["hashes"], np.uint64).tolist()])
-        for name, r in rows.items()
-    ]
-    links = connect(members, [(r["digest"], r["root"]) for r in rows.values() if r["root"]])
-    return _table(links, "a string, b string")
+    hashes = [np.frombuffer(r["hashes"], np.uint64) for r in rows.values()]
+    counts = [np.frombuffer(r["counts"], np.int64) for r in rows.values()]
+    found, first, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    rank = np.empty(len(found), np.int64)
+    rank[np.lexsort((found, np.concatenate(counts)[first]))] = np.arange(len(found))
+    tokens = np.split(rank[place], np.cumsum([len(h) for h in hashes])[:-1])
+    members = [Member(name, r["size"], t.tolist()) for (name, r), t in zip(rows.items(), tokens, strict=True)]
+    return _table(connect(members, []), "a string, b string")
+
+
+def _counted(group: pa.Table) -> pa.Table:
+    """Links within a group that connect different roots, by counting all overlaps."""
+    _, component = np.unique(np.array(group.column("root").to_pylist()), return_inverse=True)
+    sets = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
+    found = connected(group.column("digest").to_pylist(), group.column("size").to_numpy(), component, sets)
+    return _table(found, "a string, b string")
 
 
 def links(candidates: DataFrame) -> DataFrame:
@@ -386,15 +401,20 @@ def links(candidates: DataFrame) -> DataFrame:
     sets = candidates.select("digest", "size", "hashes", "counts")
     found = stored(
         groups.join(sets, "digest")
-        .withColumn("root", F.lit(None).cast("string"))
         .groupBy("block", "chunk")
         .applyInArrow(released_after(_search), "a string, b string"),
         "join-links",
     )
-    return found.union(_remaining(tokens, placed, sets, found))
+    return found.union(_remaining(tokens, placed, candidates, found))
+
 
+def pieces(sets: Column, tokens: Column, least: int) -> Column:
+    """Pieces for that many sets with that many shingles: ``least`` or more, but none of fewer than ``CHUNK`` sets."""
+    fit = F.greatest(F.ceil(sets / PIECE), F.ceil(tokens / PIECE_TOKENS), F.lit(least))
+    return F.least(F.ceil(sets / CHUNK), fit)
 
-def _remaining(tokens: DataFrame, placed: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+
+def _remaining(tokens: DataFrame, placed: DataFrame, candidates: DataFrame, found: DataFrame) -> DataFrame:
     """Links between chunks of a block that the first search left unconnected.
 
     Two linked sets share a prefix shingle, so it is enough to search among the
@@ -405,10 +425,8 @@ def _remaining(tokens: DataFrame, placed: DataFrame, sets: DataFrame, found: Dat
     """
     large = placed.where(F.col("n") > CHUNK).select("digest", "block")
     roots = components(found).withColumnRenamed("node", "digest")
-    large = stored(
-        large.join(roots, "digest", "left").select("digest", "block", F.coalesce("root", "digest").alias("root")),
-        "join-large",
-    )
+    large = large.join(candidates.select("digest", "shared"), "digest").join(roots, "digest", "left")
+    large = stored(large.select("digest", "block", "shared", F.coalesce("root", "digest").alias("root")), "join-large")
     posted = tokens.join(large, "digest")
     low = F.lit((1 << 40) - 1).cast("long")
     same = [F.sum(F.xxhash64("digest", F.lit(i)).bitwiseAND(low)).alias(f"same{i}") for i in range(2)]
@@ -417,8 +435,8 @@ def _remaining(tokens: DataFrame, placed: DataFrame, sets: DataFrame, found: Dat
     )
     mixed_tokens = stored(held.where("low < high").select("block", "token", "n", "same0", "same1"), "join-mixed")
     different = mixed_tokens.groupBy("block", "n", "same0", "same1").agg(F.min("token").alias("token")).select("token")
-    in_block = posted.join(mixed_tokens.select("token"), "token").select("block", F.lit(0).cast("long").alias("unit"), "digest", "root")
-    by_token = posted.join(different, "token").select("block", F.col("token").alias("unit"), "digest", "root")
+    in_block = posted.join(mixed_tokens.select("token"), "token").select("block", F.lit(0).cast("long").alias("unit"), "digest", "root", "shared")
+    by_token = posted.join(different, "token").select("block", F.col("token").alias("unit"), "digest", "root", "shared")
     ways = [_units(in_block.distinct(), "join-active"), _units(by_token, "join-active-tokens")]
     costs = [way.select("block", "unit", "cost").distinct().groupBy("block").agg(F.sum("cost").alias("cost")) for way in ways]
     cheaper = stored(
@@ -426,7 +444,7 @@ def _remaining(tokens: DataFrame, placed: DataFrame, sets: DataFrame, found: Dat
         "join-ways",
     )
     known = ways[0].join(cheaper.where("not split"), "block").union(ways[1].join(cheaper.where("split"), "block"))
-    minor, every = F.ceil((F.col("all") - F.col("most")) / CHUNK), F.ceil(F.col("all") / CHUNK)
+    minor, every = F.col("minor"), F.col("every")
     spread = F.xxhash64("digest")
     asked = known.where("root <> main").select(
         "digest", "block", "unit", "root", F.pmod(spread, minor).alias("x"), F.explode(F.sequence(F.lit(0), every - 1)).alias("y")
@@ -435,21 +453,27 @@ def _remaining(tokens: DataFrame, placed: DataFrame, sets: DataFrame, found: Dat
         "digest", "block", "unit", "root", F.explode(F.sequence(F.lit(0), minor - 1)).alias("x"), F.pmod(spread, every).alias("y")
     )
     searched = stored(asked.union(answering).distinct(), "join-searched")
-    return (
-        searched.join(sets, "digest").groupBy("block", "unit", "x", "y").applyInArrow(released_after(_search), "a string, b string")
-    )
+    sent = searched.join(candidates.select("digest", "size", "hashes"), "digest")
+    return sent.groupBy("block", "unit", "x", "y").applyInArrow(released_after(_counted), "a string, b string")
 
 
 def _units(active: DataFrame, label: str) -> DataFrame:
-    """Sets to search in each unit, with the unit's sizes, largest component, and number of sets to send."""
+    """Sets to search in each unit, with the unit's largest component, sizes and pieces, and the cost of the search."""
     active = stored(active, label)
-    ranked = active.groupBy("block", "unit", "root").agg(F.count("*").alias("n"))
+    ranked = active.groupBy("block", "unit", "root").agg(F.count("*").alias("n"), F.sum("shared").alias("tokens"))
     sizes = ranked.groupBy("block", "unit").agg(
-        F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")
+        F.max_by("root", F.struct("n", "root")).alias("main"),
+        F.sum("n").alias("all"),
+        F.max("n").alias("most"),
+        F.sum("tokens").alias("tokens"),
+        F.max_by("tokens", F.struct("n", "root")).alias("main_tokens"),
     )
     rest = F.col("all") - F.col("most")
-    cost = F.ceil(rest / CHUNK) * F.col("all") + F.ceil(F.col("all") / CHUNK) * rest
-    return active.join(stored(sizes.withColumn("cost", cost), f"{label}-sizes"), ["block", "unit"])
+    sizes = sizes.withColumn("every", pieces(F.col("all"), F.col("tokens"), LEAST_PIECES))
+    sizes = sizes.withColumn("minor", pieces(rest, F.col("tokens") - F.col("main_tokens"), 1))
+    cost = F.col("minor") * F.col("all") + F.col("every") * rest + F.col("all") * rest / PAIRS_PER_SET
+    sizes = sizes.withColumn("cost", cost).drop("tokens", "main_tokens")
+    return active.join(stored(sizes, f"{label}-sizes"), ["block", "unit"])
 
 
 # --- results --------------------------------------------------------------------------------------------------------
@@ -524,10 +548,9 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     text_place = docs.columns.index(text)
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
             for part in slices(batch, text, PART_BYTES):
-                sets = [shingles(t, known) for t in raw_texts(part.column(text_place))]
+                sets = [shingles(t) for t in raw_texts(part.column(text_place))]
                 found = [digest(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], names=schema.names)
 

@@ -250,6 +250,45 @@ def test_both_ways_of_the_second_search_lose_no_link(spark, monkeypatch):
     assert found == dict(enumerate(want)) and sent[0] > 0
 
 
+def test_second_search_grows_with_a_cluster_and_its_outsiders(spark, monkeypatch):
+    """Near copies of one text, and a third that shares most of it but is no link of any."""
+    monkeypatch.setattr(ngram_join, "CHUNK", 8)
+
+    def cluster(n):
+        rng, texts = random.Random(n), []
+        for i in range(n):
+            words = [f"w{j}" for j in range(200)]
+            for k, j in enumerate(rng.sample(range(0, 200, 5), 6 if i % 3 == 0 else 1)):
+                words[j] = f"own{i}x{k}"
+            texts.append(" ".join(words))
+        return texts
+
+    sizes = []
+    for n in (120, 240):
+        texts = cluster(n)
+        sent, found = searched(spark, monkeypatch, texts)
+        assert found == dict(enumerate(plain.clusters([plain.shingles(t) for t in texts])))
+        assert len(set(found.values())) > n / 4
+        sizes.append(sent[0])
+    assert 0 < sizes[0] and sizes[1] <= 2.2 * sizes[0]
+
+
+@pytest.mark.parametrize("limits", [{"PIECE": 8}, {"PIECE_TOKENS": 300}, {"LEAST_PIECES": 1}])
+def test_second_search_loses_no_link_between_its_pieces(spark, monkeypatch, limits):
+    for name, value in ({"CHUNK": 4, "BRIDGES": 1} | limits).items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(1)
+    texts = []
+    for i in range(90):
+        words = [f"w{j}" for j in range(60)]
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(60)] = f"n{rng.randint(0, 9)}"
+        texts.append(" ".join(words[: 60 - i % 4]))
+    want = plain.clusters([plain.shingles(t) for t in texts])
+    sent, found = searched(spark, monkeypatch, texts)
+    assert found == dict(enumerate(want)) and sent[0] > 0
+
+
 def test_training_order(docs, none):
     folder = training_order.shard_folder(docs)
     manifest = training_order.materialise(docs, folder, length=64, shard_slots=10, table=False)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from cairn.llm import decontaminate, html_text, interpolation, pu_quality, tokens, training_order, url_filter, warc
+from cairn.llm import decontaminate, html_text, interpolation, overlaps, pu_quality, tokens, training_order, url_filter, warc
 from cairn.llm.fm_index import FMIndex, suffix_array
 from cairn.llm.prefix_tree import Member, build, connect, linked
 
@@ -71,6 +71,39 @@ def test_tree_connects_what_brute_force_links(seed):
     assert connect(members, [(m.name, "all") for m in members]) == []
 
 
+@pytest.mark.parametrize("strip, pairs, dense", [(512, 1 << 20, 16), (7, 5, 2), (7, 5, 1), (512, 1, 0), (3, 1, 1000)])
+@pytest.mark.parametrize("seed", range(4))
+def test_counted_overlaps_connect_what_brute_force_links(monkeypatch, seed, strip, pairs, dense):
+    for name, value in (("STRIP", strip), ("PAIRS", pairs), ("DENSE", dense)):
+        monkeypatch.setattr(overlaps, name, value)
+    rng = random.Random(seed)
+    base = [rng.sample(range(200), 40) for _ in range(3)]
+    sets, sizes, roots = [], [], []
+    for i in range(60):
+        tokens = set(rng.choice(base))
+        for _ in range(rng.randint(0, 8)):
+            tokens.discard(rng.randint(0, 199))
+            tokens.add(rng.randint(0, 199))
+        sets.append(np.array(rng.sample(sorted(tokens), len(tokens)), np.uint64))
+        sizes.append(len(tokens) + rng.randint(0, 6))
+        roots.append(rng.choice([0, 0, 0, i + 1]))
+    group = dict(enumerate(roots))
+
+    def classes(pairs):
+        of = dict(group)
+        for a, b in pairs:
+            old, new = of[a], of[b]
+            of = {k: new if v == old else v for k, v in of.items()}
+        return {frozenset(k for k in of if of[k] == v) for v in set(of.values())}
+
+    want = [(a, b) for a in range(60) for b in range(a) if linked(len({*sets[a]} & {*sets[b]}), sizes[a], sizes[b])]
+    _, component = np.unique(roots, return_inverse=True)
+    found = overlaps.connected(list(range(60)), np.array(sizes), component, sets)
+    assert {(max(p), min(p)) for p in found} <= set(want) and all(roots[a] != roots[b] for a, b in found)
+    assert classes(found) == classes(want)
+    assert overlaps.connected([0, 1], np.array([0, 3]), np.array([0, 1]), [sets[0][:0], sets[0][:3]]) == []
+
+
 def test_tree_shares_beginnings_and_bounds_its_subtrees():
     root = build([Member("a", 4, [1, 2, 3, 4]), Member("b", 5, [1, 2, 7]), Member("c", 1, [])])
     (child,) = root.children
